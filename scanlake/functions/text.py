@@ -25,19 +25,27 @@ REQUEST_PATTERN = r"GET (.*) HTTP/1.1\r\nHost: (.*)\r\n"
 
 def domain_from_request(sent: Column) -> Column:
     """Domain (and path) a request text asked for; null when nothing was recorded."""
-    first = F.regexp_extract(sent, REQUEST_PATTERN, 1)
-    second = F.regexp_extract(sent, REQUEST_PATTERN, 2)
-    # Some requests carry host and path in each other's place.
-    swapped = second.startswith("/")
-    host = F.when(swapped, first).otherwise(second)
-    path = F.when(swapped, second).otherwise(first)
-    return (
-        F.when((sent == "") | sent.isNull(), F.lit(None).cast("string"))
-        .when(sent.rlike(REQUEST_PATTERN), F.when(path == "/", host).otherwise(F.concat(host, path)))
-        .when(~sent.contains(" "), sent)
-        .otherwise(F.raise_error(F.concat(F.lit("unknown request format: "), sent)))
+    parts = F.struct(
+        F.regexp_extract(sent, REQUEST_PATTERN, 1).alias("path"),
+        F.regexp_extract(sent, REQUEST_PATTERN, 2).alias("host"),
     )
 
+    def join(host: Column, path: Column) -> Column:
+        return F.when(path == "/", host).otherwise(F.concat(host, path))
+
+    def rebuilt(p: Column) -> Column:
+        unknown = F.raise_error(F.concat(F.lit("unknown request format: "), sent))
+        # Some requests carry host and path in each other's place.
+        return (
+            F.when(p["host"] == "", unknown)
+            .when(p["host"].startswith("/"), join(p["path"], p["host"]))
+            .otherwise(join(p["host"], p["path"]))
+        )
+
+    # The one-element array holds the two parts, so each is searched once.
+    request = F.get(F.transform(F.array(parts), rebuilt), F.lit(0))
+    return F.when(sent != "", F.when(sent.contains(" "), request).otherwise(sent))
+
 
 def is_control_domain(domain: Column) -> Column:
     return F.coalesce(domain.isin(*CONTROL_DOMAINS), F.lit(False))
@@ -81,4 +89,4 @@ def url_host(url: Column) -> Column:
 
 def spaced_json(compact: Column) -> Column:
     """Compact JSON text with a space after each structural comma and colon."""
-    return F.regexp_replace(compact, r'((?:"(?:[^"\\]|\\.)*+"|[^":,])*+)([:,])', "$1$2 ")
+    return F.regexp_replace(compact, r'\G((?:"(?:[^"\\]|\\.)*+"|[^":,])*+)([:,])', "$1$2 ")

@@ -1,4 +1,8 @@
-"""Flatten DNS scan lines of every format version to one row per roundtrip."""
+"""Flatten DNS scan lines of every format version to one row per roundtrip.
+
+Every version is first brought to an array of light roundtrips, which is exploded;
+the fields that the roundtrips of a line share are worked out per row afterwards.
+"""
 
 from __future__ import annotations
 
@@ -15,7 +19,7 @@ from scanlake.constants import (
 from scanlake.functions.paths import base_name, path_date, source_of
 from scanlake.functions.records import ip_metadata, record, tags_to_flags
 from scanlake.functions.text import is_control_domain, iso_timestamp, measurement_id, spaced_json
-from scanlake.operators.lines import number_tests, parse_json, skip_malformed
+from scanlake.operators.lines import explode_once, parse_json, skip_malformed, tests_before
 from scanlake.schemas import (
     ANSWER,
     ANSWER_FIELDS,
@@ -26,287 +30,297 @@ from scanlake.schemas import (
     struct_ddl,
 )
 
-ROW_FIELDS = [
-    ("domain", "STRING"),
-    ("is_control", "BOOLEAN"),
+# Format versions.
+SINGLE, RETRIES, ROUNDTRIPS, CONTROL = "single", "retries", "roundtrips", "control"
+
+ITEM_FIELDS = [
     ("ip", "STRING"),
-    ("is_control_ip", "BOOLEAN"),
-    ("date", "STRING"),
-    ("start_time", "STRING"),
-    ("end_time", "STRING"),
-    ("retry", "BIGINT"),
+    ("http", "STRING"),
+    ("cert", "STRING"),
+    ("asname", "STRING"),
+    ("asnum", "BIGINT"),
+    ("tags", "ARRAY<STRING>"),
+]
+ITEMS = f"ARRAY<{struct_ddl(ITEM_FIELDS)}>"
+TRIP_FIELDS = [
+    ("url", "STRING"),
     ("error", "STRING"),
-    ("anomaly", "BOOLEAN"),
-    ("success", "BOOLEAN"),
-    ("controls_failed", "BOOLEAN"),
     ("rcode", "BIGINT"),
     ("has_type_a", "BOOLEAN"),
-    ("average_confidence", "DOUBLE"),
-    ("untagged_controls", "BOOLEAN"),
-    ("untagged_response", "BOOLEAN"),
-    ("excluded", "BOOLEAN"),
-    ("exclude_reason", "STRING"),
-    ("country", "STRING"),
-    ("received", f"ARRAY<{ANSWER}>"),
+    ("start_time", "STRING"),
+    ("end_time", "STRING"),
+    ("items", ITEMS),
 ]
-ROWS = f"ARRAY<{struct_ddl(ROW_FIELDS)}>"
-
-
-def _no_answers() -> Column:
-    return F.array().cast(f"ARRAY<{ANSWER}>")
-
-
-def _no_tries() -> Column:
-    return F.map_from_arrays(_no_texts(), F.array().cast("ARRAY<ARRAY<STRING>>"))
+TRIPS = f"ARRAY<{struct_ddl(TRIP_FIELDS)}>"
 
 
-def _no_texts() -> Column:
-    return F.array().cast("ARRAY<STRING>")
+def _empty(kind: str) -> Column:
+    return F.array().cast(kind)
 
 
-def answer(ip: Column, **values: Column) -> Column:
-    values.setdefault("ip_metadata", ip_metadata())
-    return record(ANSWER_FIELDS, ip=ip, **values)
+def _item(ip: Column, **values: Column) -> Column:
+    return record(ITEM_FIELDS, ip=ip, **values)
 
 
-def _row(**values: Column) -> Column:
-    values.setdefault("received", _no_answers())
-    return record(ROW_FIELDS, **values)
+def _trip(**values: Column) -> Column:
+    values.setdefault("items", _empty(ITEMS))
+    return record(TRIP_FIELDS, **values)
 
 
-def _tagged_answers(entries: Column) -> Column:
-    """Answers of ``map_entries(ip -> tags)``."""
-    return F.transform(entries, lambda e: answer(e["key"], matches_control=tags_to_flags(e["value"])))
+def _tagged_items(entries: Column) -> Column:
+    """Items of ``map_entries(ip -> tags)``."""
+    return F.transform(entries, lambda e: _item(e["key"], tags=e["value"]))
 
 
-def _v1_rows(scan: Column, path: Column, value: Column) -> Column:
-    """A version-1 line is a single row."""
-    failed = F.array_contains(F.json_object_keys(value), "error")
-    answers = scan["answers"]
-    received = (
-        F.when(
-            answers.startswith("{"), _tagged_answers(F.map_entries(parse_json(answers, DNS_TAG_MAP)))
-        )
+def _with_single_trips(scans: DataFrame, applies: Column) -> DataFrame:
+    """A line of the first version is a single roundtrip; answers are a map or a list."""
+    c = F.col
+    failed = F.array_contains(F.json_object_keys("value"), "error")
+    answers = c("scan.answers")
+    items = (
+        F.when(answers.startswith("{"), _tagged_items(F.map_entries(parse_json(answers, DNS_TAG_MAP))))
         .when(
             answers.startswith("["),
-            F.transform(
-                F.array_distinct(parse_json(answers, "ARRAY<STRING>")), lambda ip: answer(ip)
-            ),
+            F.transform(F.array_distinct(parse_json(answers, "ARRAY<STRING>")), lambda ip: _item(ip)),
         )
-        .otherwise(_no_answers())
+        .otherwise(_empty(ITEMS))
     )
-    error = F.when(scan["error"].startswith("{"), spaced_json(scan["error"])).otherwise(scan["error"])
-    return F.array(
-        _row(
-            domain=scan["query"],
-            is_control=F.lit(False),
-            ip=F.coalesce(scan["resolver"], scan["ip"]),
-            is_control_ip=base_name(path) == DNS_CONTROL_V1_FILE,
-            date=path_date(path),
-            retry=F.lit(0),
-            error=error,
-            anomaly=~scan["passed"],
-            success=~failed,
-            controls_failed=F.lit(False),
-            rcode=F.when(failed, -1).otherwise(0),
-            received=received,
-        )
+    text = c("scan.error")
+    trip = _trip(
+        url=c("scan.query"),
+        error=F.when(text.startswith("{"), spaced_json(text)).otherwise(text),
+        rcode=F.when(failed, -1).otherwise(0),
+        items=items,
     )
+    return scans.withColumn("single", F.when(applies, F.array(trip)))
 
 
-def _v2_base(scan: Column) -> dict[str, Column]:
-    """Fields that the rows of a version-2 result line share."""
-    return {
-        "domain": scan["test_url"],
-        "is_control": is_control_domain(scan["test_url"]),
-        "ip": scan["vp"],
-        "is_control_ip": F.coalesce(scan["vp"].isin(*CONTROL_RESOLVERS), F.lit(False)),
-        "date": F.substring(scan["start_time"], 1, 10),
-        "start_time": iso_timestamp(scan["start_time"]),
-        "end_time": iso_timestamp(scan["end_time"]),
-        "error": scan["error"],
-        "anomaly": scan["anomaly"],
-        "success": ~scan["connect_error"],
-        "country": scan["location"]["country_code"],
-    }
-
-
-def _is_timed(scan: Column) -> Column:
-    return (F.trim(scan["start_time"]) != "") & (F.trim(scan["end_time"]) != "")
-
-
-def _v2_retry_rows(scan: Column, value: Column) -> Column:
-    """Rows of a line that lists the code of each try.
+def _with_retry_trips(scans: DataFrame, applies: Column) -> DataFrame:
+    """Roundtrips of a line that lists the code of each try.
 
     Failed tries come first, each with the next left error when its code is -1;
     then errors that have no code; then the one success, with all answers.
     """
-    base = _v2_base(scan) | {"controls_failed": ~scan["passed_control"]}
-    tries = F.coalesce(parse_json(scan["response"], DNS_TAG_MAP), _no_tries())
-
-    def rows_of(x: Column) -> Column:
-        codes = F.coalesce(F.try_element_at(x, F.lit("rcode")), _no_texts())
-        errors = F.coalesce(F.try_element_at(x, F.lit("error")), _no_texts())
-        addresses = F.filter(F.map_entries(x), lambda e: ~e["key"].isin("rcode", "error"))
-        succeeded = F.coalesce(F.try_element_at(codes, F.lit(-1)) == "0", F.lit(False))
-        failed = F.when(succeeded, F.slice(codes, F.lit(1), F.size(codes) - 1)).otherwise(codes)
-        failed = F.transform(failed, lambda code: code.cast("bigint"))
-        timeouts = F.transform(failed, lambda code: F.when(code == -1, 1).otherwise(0))
-        used = F.aggregate(timeouts, F.lit(0), lambda total, n: total + n)
-
-        def failed_row(code: Column, index: Column) -> Column:
-            earlier = F.aggregate(
-                F.slice(timeouts, F.lit(1), index), F.lit(0), lambda total, n: total + n
+    c = F.col
+    tries = F.when(applies, parse_json(c("scan.response"), DNS_TAG_MAP))
+    scans = scans.withColumn("tries", tries)
+    scans = scans.withColumns(
+        {
+            "codes": F.coalesce(F.try_element_at("tries", F.lit("rcode")), _empty("ARRAY<STRING>")),
+            "errors": F.coalesce(F.try_element_at("tries", F.lit("error")), _empty("ARRAY<STRING>")),
+            "addresses": F.filter(F.map_entries("tries"), lambda e: ~e["key"].isin("rcode", "error")),
+        }
+    )
+    succeeded = F.coalesce(F.try_element_at("codes", F.lit(-1)) == "0", F.lit(False))
+    scans = scans.withColumn("succeeded", succeeded).withColumn(
+        "failed",
+        F.transform(
+            F.when(c("succeeded"), F.slice("codes", F.lit(1), F.size("codes") - 1)).otherwise(c("codes")),
+            lambda code: code.cast("bigint"),
+        ),
+    )
+    timeouts = F.size(F.filter("failed", lambda code: code == -1))
+
+    def failed_trip(code: Column, index: Column) -> Column:
+        earlier = F.size(F.filter(F.slice("failed", F.lit(1), index), lambda x: x == -1))
+        error = F.when(code == -1, F.get("errors", earlier)).otherwise(c("scan.error"))
+        return _trip(rcode=code, error=error)
+
+    left = F.filter("errors", lambda _, index: index >= timeouts)
+    left_trips = F.transform(left, lambda error: _trip(rcode=F.lit(-1), error=error))
+    success = _trip(rcode=F.lit(0), error=c("scan.error"), items=_tagged_items(c("addresses")))
+    several = F.raise_error(
+        F.concat(F.lit("DNS measurement with several successful codes: "), c("value"))
+    )
+    trips = (
+        F.when(~applies, F.lit(None).cast(TRIPS))
+        .when(F.coalesce(F.size("tries"), F.lit(0)) <= 0, F.array(_trip(error=c("scan.error"))))
+        .when(F.exists("failed", lambda code: code == 0), several)
+        # Addresses without a successful code: such measurements are dropped.
+        .when(~c("succeeded") & (F.size("addresses") > 0), _empty(TRIPS))
+        .otherwise(
+            F.concat(
+                F.transform("failed", failed_trip),
+                left_trips,
+                F.when(c("succeeded"), F.array(success)).otherwise(_empty(TRIPS)),
             )
-            error = F.when(code == -1, F.get(errors, earlier)).otherwise(scan["error"])
-            return _row(**(base | {"rcode": code, "retry": index, "error": error}))
-
-        left = F.when(
-            F.size(errors) > used, F.slice(errors, used + 1, F.size(errors) - used)
-        ).otherwise(_no_texts())
-        failed_rows = F.transform(failed, failed_row)
-        error_rows = F.transform(
-            left,
-            lambda error, index: _row(
-                **(base | {"rcode": F.lit(-1), "retry": F.size(failed) + index, "error": error})
-            ),
-        )
-        success_rows = F.when(
-            succeeded,
-            F.array(
-                _row(
-                    **(
-                        base
-                        | {
-                            "rcode": F.lit(0),
-                            "retry": F.size(failed) + F.size(left),
-                            "received": _tagged_answers(addresses),
-                        }
-                    )
-                )
-            ),
-        ).otherwise(F.array().cast(ROWS))
-        several = F.raise_error(
-            F.concat(F.lit("DNS measurement with several successful codes: "), value)
-        )
-        return (
-            F.when(F.size(x) == 0, F.array(_row(**(base | {"retry": F.lit(0)}))))
-            .when(F.exists(failed, lambda code: code == 0), several)
-            # Addresses without a successful code: such measurements are dropped.
-            .when(~succeeded & (F.size(addresses) > 0), F.array().cast(ROWS))
-            .otherwise(F.concat(failed_rows, error_rows, success_rows))
         )
+    )
+    return scans.withColumn("retries", trips)
 
-    rows = F.get(F.transform(F.array(tries), rows_of), F.lit(0))
-    return F.when(_is_timed(scan), rows)
-
-
-def _v2_roundtrip_rows(scan: Column) -> Column:
-    """Rows of a line that holds one object per roundtrip."""
-    confidence = scan["confidence"]
-    base = _v2_base(scan) | {
-        "controls_failed": ~scan["passed_liveness"],
-        "untagged_controls": confidence["untagged_controls"],
-        "untagged_response": confidence["untagged_response"],
-        "excluded": F.coalesce(scan["excluded"], F.lit(False)),
-        "exclude_reason": F.coalesce(F.array_join(scan["exclude_reason"], " "), F.lit("")),
-    }
-
-    def row_of(r: Column, index: Column) -> Column:
-        entries = F.coalesce(F.map_entries(r["response"]), F.array())
-        # An answer without its confidence is dropped, unless there are none at all.
-        count = F.when(confidence["matches"].isNull(), F.size(entries)).otherwise(
-            F.least(F.size(entries), F.size(confidence["matches"]))
-        )
-        answers = F.transform(
-            F.slice(entries, F.lit(1), count),
-            lambda e, i: answer(
+
+def _with_listed_trips(scans: DataFrame, roundtrips: Column, control: Column) -> DataFrame:
+    """Roundtrips of a line that holds one object per roundtrip, and of control files."""
+    c = F.col
+
+    def trip(r: Column) -> Column:
+        items = F.transform(
+            F.map_entries(r["response"]),
+            lambda e: _item(
                 e["key"],
                 http=e["value"]["http"],
                 cert=e["value"]["cert"],
-                match_confidence=F.get(confidence["matches"], i),
-                matches_control=tags_to_flags(e["value"]["matched"]),
-                ip_metadata=ip_metadata(as_name=e["value"]["asname"], asn=e["value"]["asnum"]),
+                asname=e["value"]["asname"],
+                asnum=e["value"]["asnum"],
+                tags=e["value"]["matched"],
             ),
         )
-        has_error = r["error"].isNotNull() & ~r["error"].isin("", "null")
-        row = _row(
-            **(
-                base
-                | {
-                    "domain": r["url"],
-                    "is_control": is_control_domain(r["url"]),
-                    "error": F.when(has_error, r["error"]).otherwise(scan["error"]),
-                    "rcode": r["rcode"],
-                    "success": r["rcode"] == 0,
-                    "has_type_a": F.when((r["rcode"] == 0) & r["has_type_a"], F.lit(True)),
-                    "average_confidence": F.when(F.size(entries) > 0, confidence["average"]),
-                    "received": answers,
-                }
-            )
+        return _trip(
+            url=r["url"],
+            error=F.when(~r["error"].isin("", "null"), r["error"]),
+            rcode=r["rcode"],
+            has_type_a=r["has_type_a"],
+            items=F.coalesce(items, _empty(ITEMS)),
         )
-        return F.struct(index.alias("index"), row.alias("t"))
 
-    rows = number_tests(F.transform(parse_json(scan["response"], DNS_ROUNDTRIPS), row_of))
-    return F.when(_is_timed(scan), rows)
-
-
-def _v2_control_rows(scan: Column) -> Column:
-    """Rows of a control file line: trusted resolver, answers are bare addresses."""
-
-    def row_of(r: Column, index: Column) -> Column:
-        row = _row(
-            domain=r["url"],
-            is_control=is_control_domain(r["url"]),
-            ip=scan["vp"],
-            is_control_ip=F.lit(True),
-            date=F.substring(r["start_time"], 1, 10),
-            start_time=iso_timestamp(r["start_time"]),
-            end_time=iso_timestamp(r["end_time"]),
+    def control_trip(r: Column) -> Column:
+        return _trip(
+            url=r["url"],
             error=F.when(r["error"] != "null", r["error"]),
-            success=~scan["connect_error"],
-            controls_failed=~scan["passed_control"],
             rcode=r["rcode"],
             has_type_a=r["has_type_a"],
-            received=F.coalesce(F.transform(r["response"], lambda ip: answer(ip)), _no_answers()),
+            start_time=r["start_time"],
+            end_time=r["end_time"],
+            items=F.coalesce(F.transform(r["response"], lambda ip: _item(ip)), _empty(ITEMS)),
         )
-        return F.struct(index.alias("index"), row.alias("t"))
 
-    return number_tests(F.transform(parse_json(scan["response"], DNS_CONTROL_ROUNDTRIPS), row_of))
+    response = c("scan.response")
+    return scans.withColumn(
+        "listed",
+        F.when(roundtrips, F.transform(parse_json(response, DNS_ROUNDTRIPS), trip)).when(
+            control, F.transform(parse_json(response, DNS_CONTROL_ROUNDTRIPS), control_trip)
+        ),
+    )
 
 
-def _rows(scans: DataFrame, rows: Column) -> DataFrame:
-    exploded = scans.select(
-        measurement_id(F.col("file_path"), F.col("value")).alias("measurement_id"),
-        source_of(F.col("file_path")).alias("source"),
-        F.posexplode(rows).alias("roundtrip", "t"),
+def _answer(item: Column, confidence: Column) -> Column:
+    return record(
+        ANSWER_FIELDS,
+        ip=item["ip"],
+        http=item["http"],
+        cert=item["cert"],
+        matches_control=tags_to_flags(item["tags"]),
+        match_confidence=confidence,
+        ip_metadata=ip_metadata(as_name=item["asname"], asn=item["asnum"]),
     )
-    kept = [name for name, _ in ROW_FIELDS if name != "country"]
-    return exploded.select(
-        *[F.col(f"t.{name}").alias(name) for name in kept],
-        ip_metadata(country=F.col("t.country")).alias("ip_metadata"),
+
+
+def _flatten(lines: DataFrame, version: Column) -> DataFrame:
+    c = F.col
+    v = c("version")
+    timed = (F.trim("scan.start_time") != "") & (F.trim("scan.end_time") != "")
+    scans = skip_malformed(lines, DNS_LINE).withColumn("version", version)
+    scans = _with_single_trips(scans, v == SINGLE)
+    # Version 2 results without a start or an end are dropped.
+    scans = _with_retry_trips(scans, (v == RETRIES) & timed)
+    scans = _with_listed_trips(scans, (v == ROUNDTRIPS) & timed, v == CONTROL)
+    trips = F.coalesce("single", "retries", "listed").alias("trips")
+    scans = scans.select("file_path", "value", "scan", "version", trips)
+    fields = [
+        "resolver", "ip", "passed", "error", "vp", "test_url", "location", "passed_control",
+        "passed_liveness", "connect_error", "anomaly", "excluded", "exclude_reason", "confidence",
+        "start_time", "end_time",
+    ]
+    tests = F.transform(c("trips"), lambda t: ~is_control_domain(t["url"]))
+    kept = [
+        measurement_id(c("file_path"), c("value")).alias("measurement_id"),
+        source_of(c("file_path")).alias("source"),
+        (base_name(c("file_path")) == DNS_CONTROL_V1_FILE).alias("in_control_file"),
+        path_date(c("file_path")).cast("string").alias("path_date"),
+        F.struct(*[c(f"scan.{f}") for f in fields]).alias("scan"),
+        "version",
+        tests.alias("tests"),
+    ]
+    exploded = explode_once(scans, kept, c("trips"), "roundtrip", "t")
+
+    def by_version(**values: Column | None) -> Column:
+        chain = F.when(F.lit(False), F.lit(None))
+        for name, value in values.items():
+            chain = chain.when(v == name, value)
+        return chain
+
+    item_count = F.size("t.items")
+    # An answer without its confidence is dropped, unless there are none at all.
+    rated = F.when(
+        (v == ROUNDTRIPS) & c("scan.confidence.matches").isNotNull(),
+        F.least(item_count, F.size("scan.confidence.matches")),
+    ).otherwise(item_count)
+    received = F.transform(
+        F.slice("t.items", F.lit(1), rated),
+        lambda item, index: _answer(
+            item, F.when(v == ROUNDTRIPS, F.get(c("scan.confidence.matches"), index))
+        ),
+    )
+    has_trip_times = v == CONTROL
+    start = F.when(has_trip_times, c("t.start_time")).otherwise(c("scan.start_time"))
+    end = F.when(has_trip_times, c("t.end_time")).otherwise(c("scan.end_time"))
+    is_single = v == SINGLE
+    rows = exploded.withColumn("domain", F.coalesce("t.url", "scan.test_url"))
+    rows = rows.withColumn("is_control", ~is_single & is_control_domain(c("domain")))
+    return rows.select(
+        "domain",
+        "is_control",
+        F.when(is_single, F.coalesce("scan.resolver", "scan.ip")).otherwise(c("scan.vp")).alias("ip"),
+        F.when(is_single, c("in_control_file"))
+        .when(v == CONTROL, True)
+        .otherwise(F.coalesce(c("scan.vp").isin(*CONTROL_RESOLVERS), F.lit(False)))
+        .alias("is_control_ip"),
+        F.when(is_single, c("path_date")).otherwise(F.substring(start, 1, 10)).alias("date"),
+        F.when(~is_single, iso_timestamp(start)).alias("start_time"),
+        F.when(~is_single, iso_timestamp(end)).alias("end_time"),
+        F.when(is_single, F.lit(0).cast("bigint"))
+        .when(v == RETRIES, c("roundtrip").cast("bigint"))
+        .when(~c("is_control"), tests_before(c("tests"), c("roundtrip")))
+        .alias("retry"),
+        F.when(v == ROUNDTRIPS, F.coalesce("t.error", "scan.error")).otherwise(c("t.error")).alias("error"),
+        by_version(single=~c("scan.passed"), retries=c("scan.anomaly"), roundtrips=c("scan.anomaly")).alias("anomaly"),
+        by_version(
+            single=c("t.rcode") == 0,
+            retries=~c("scan.connect_error"),
+            roundtrips=c("t.rcode") == 0,
+            control=~c("scan.connect_error"),
+        ).alias("success"),
+        by_version(
+            single=F.lit(False),
+            retries=~c("scan.passed_control"),
+            roundtrips=~c("scan.passed_liveness"),
+            control=~c("scan.passed_control"),
+        ).alias("controls_failed"),
+        c("t.rcode").alias("rcode"),
+        by_version(
+            roundtrips=F.when((c("t.rcode") == 0) & c("t.has_type_a"), True), control=c("t.has_type_a")
+        ).cast("boolean").alias("has_type_a"),
+        F.when((v == ROUNDTRIPS) & (item_count > 0), c("scan.confidence.average")).alias("average_confidence"),
+        F.when(v == ROUNDTRIPS, c("scan.confidence.untagged_controls")).alias("untagged_controls"),
+        F.when(v == ROUNDTRIPS, c("scan.confidence.untagged_response")).alias("untagged_response"),
+        F.when(v == ROUNDTRIPS, F.coalesce("scan.excluded", F.lit(False))).alias("excluded"),
+        F.when(
+            v == ROUNDTRIPS, F.coalesce(F.array_join("scan.exclude_reason", " "), F.lit(""))
+        ).alias("exclude_reason"),
+        received.cast(f"ARRAY<{ANSWER}>").alias("received"),
+        ip_metadata(
+            country=F.when(v.isin(RETRIES, ROUNDTRIPS), c("scan.location.country_code"))
+        ).alias("ip_metadata"),
         "measurement_id",
         "roundtrip",
         "source",
-    )
+    )
 
 
 def flatten_dns_v1(lines: DataFrame) -> DataFrame:
-    scans = skip_malformed(lines, DNS_LINE)
-    return _rows(scans, _v1_rows(F.col("scan"), F.col("file_path"), F.col("value")))
+    return _flatten(lines, F.lit(SINGLE))
 
 
 def flatten_dns_retries(lines: DataFrame) -> DataFrame:
-    scans = skip_malformed(lines, DNS_LINE)
-    return _rows(scans, _v2_retry_rows(F.col("scan"), F.col("value")))
+    return _flatten(lines, F.lit(RETRIES))
 
 
 def flatten_dns_roundtrips(lines: DataFrame) -> DataFrame:
-    return _rows(skip_malformed(lines, DNS_LINE), _v2_roundtrip_rows(F.col("scan")))
+    return _flatten(lines, F.lit(ROUNDTRIPS))
 
 
 def flatten_dns_control(lines: DataFrame) -> DataFrame:
-    return _rows(skip_malformed(lines, DNS_LINE), _v2_control_rows(F.col("scan")))
+    return _flatten(lines, F.lit(CONTROL))
 
 
 def flatten_dns(lines: DataFrame) -> DataFrame:
@@ -314,14 +328,11 @@ def flatten_dns(lines: DataFrame) -> DataFrame:
 
     The version follows from the path date, the file name and the row date.
     """
-    scans = skip_malformed(lines, DNS_LINE)
-    scan, path, value = F.col("scan"), F.col("file_path"), F.col("value")
-    rows = (
-        F.when(path_date(path) < F.lit(DNS_V2_START).cast("date"), _v1_rows(scan, path, value))
-        .when(base_name(path) == DNS_CONTROL_V2_FILE, _v2_control_rows(scan))
-        .when(
-            F.substring(scan["start_time"], 1, 10) < DNS_V2_2_START, _v2_retry_rows(scan, value)
-        )
-        .otherwise(_v2_roundtrip_rows(scan))
+    path = F.col("file_path")
+    version = (
+        F.when(path_date(path) < F.lit(DNS_V2_START).cast("date"), SINGLE)
+        .when(base_name(path) == DNS_CONTROL_V2_FILE, CONTROL)
+        .when(F.substring("scan.start_time", 1, 10) < DNS_V2_2_START, RETRIES)
+        .otherwise(ROUNDTRIPS)
     )
-    return _rows(scans, rows)
+    return _flatten(lines, version)

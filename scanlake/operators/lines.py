@@ -19,41 +19,40 @@ def parse_json(text: Column, schema: str) -> Column:
     return F.from_json(text, schema, JSON_OPTIONS)
 
 
-def json_lines(lines: DataFrame, schema: str) -> DataFrame:
-    """Add ``scan``, the parsed line, and ``malformed``, true when it is not valid JSON.
+def _is_valid(scan: Column) -> Column:
+    return scan.isNotNull() & scan["_corrupt_record"].isNull()
+
+
+def skip_malformed(lines: DataFrame, schema: str) -> DataFrame:
+    """Add ``scan``, the parsed line, and drop lines that are not valid JSON.
 
     ``lines`` has ``file_path`` and ``value``. The schema must end in
-    ``_corrupt_record STRING``.
+    ``_corrupt_record STRING``. The generator keeps the parser from being copied
+    into a pushed-down filter, so each line is parsed once.
     """
-    parsed = lines.withColumn("scan", parse_json(F.col("value"), schema))
-    return parsed.withColumn(
-        "malformed", F.col("scan").isNull() | F.col("scan._corrupt_record").isNotNull()
-    )
+    parsed = F.array(parse_json(F.col("value"), schema))
+    return lines.select("*", F.explode(F.filter(parsed, _is_valid)).alias("scan"))
 
 
-def skip_malformed(lines: DataFrame, schema: str) -> DataFrame:
-    """Parsed lines without the malformed ones."""
-    return json_lines(lines, schema).filter(~F.col("malformed"))
+def explode_once(rows: DataFrame, kept: list, items: Column, position: str, item: str) -> DataFrame:
+    """Explode an array that is costly to compute, evaluating it once per row.
 
+    An inner explode makes the optimizer derive a filter on the array and copy the
+    whole computation below; the outer form does not, and its empty records are
+    dropped here.
+    """
+    exploded = rows.select(*kept, F.posexplode_outer(items).alias(position, item))
+    return exploded.filter(F.col(position).isNotNull())
 
-def number_tests(indexed: Column) -> Column:
-    """Set ``retry`` of each non-control roundtrip to the number of earlier ones.
 
-    ``indexed`` is an array of ``struct(index, t)``.
-    """
-    tests = F.transform(indexed, lambda x: F.when(~x["t"]["is_control"], F.lit(1)).otherwise(0))
-    return F.transform(
-        indexed,
-        lambda x: x["t"].withField(
-            "retry",
-            F.when(
-                ~x["t"]["is_control"],
-                F.aggregate(
-                    F.slice(tests, F.lit(1), x["index"]), F.lit(0), lambda total, n: total + n
-                ).cast("bigint"),
-            ),
-        ),
-    )
+def is_malformed(line: Column) -> Column:
+    """True for a line that is not valid JSON."""
+    return ~F.coalesce(_is_valid(parse_json(line, "_corrupt_record STRING")), F.lit(False))
+
+
+def tests_before(tests: Column, index: Column) -> Column:
+    """How many of the first ``index`` flags are true."""
+    return F.size(F.filter(F.slice(tests, F.lit(1), index), lambda t: t)).cast("bigint")
 
 
 # Input kinds of a DNS scan folder.

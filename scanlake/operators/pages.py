@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scanlake.functions.paths import source_of
 from scanlake.functions.text import iso_timestamp
 from scanlake.operators.lines import skip_malformed
-from scanlake.operators.received import parse_received
+from scanlake.operators.received import add_received
 from scanlake.schemas import PAGE_FETCH_LINE
 
 
@@ -30,24 +30,24 @@ def flatten_page_fetch(lines: DataFrame) -> DataFrame:
             for key, https in (("http", False), ("https", True))
         ]
     )
-    exploded = scans.select(
-        "file_path", "scan", F.explode(fetches).alias("fetch")
-    )
-    payload, is_object = F.col("fetch.payload"), F.col("fetch.is_object")
-    received = parse_received(F.when(is_object, payload), is_object, keep_body=False)
-    return exploded.select(
-        F.col("scan.keyword").alias("domain"),
-        F.col("scan.ip").alias("ip"),
+    exploded = scans.select("file_path", "scan", F.explode(fetches).alias("fetch"))
+    c = F.col
+    rows = exploded.select(
+        c("scan.keyword").alias("domain"),
+        c("scan.ip").alias("ip"),
         F.substring("scan.start_time", 1, 10).alias("date"),
-        iso_timestamp(F.col("scan.start_time")).alias("start_time"),
-        iso_timestamp(F.col("scan.end_time")).alias("end_time"),
-        F.col("scan.fetched").alias("success"),
-        F.col("fetch.https").alias("https"),
-        source_of(F.col("file_path")).alias("source"),
-        F.when(~is_object, payload).alias("error"),
-        received.withField(
-            "tls_cert_has_trusted_ca",
-            F.when(is_object & F.col("fetch.https"), F.col("scan.trusted_cert")),
-        ).alias("received"),
-        is_object.alias("payload_is_object"),
+        iso_timestamp(c("scan.start_time")).alias("start_time"),
+        iso_timestamp(c("scan.end_time")).alias("end_time"),
+        c("scan.fetched").alias("success"),
+        c("fetch.https").alias("https"),
+        source_of(c("file_path")).alias("source"),
+        F.when(~c("fetch.is_object"), c("fetch.payload")).alias("error"),
+        F.when(c("fetch.is_object"), c("fetch.payload")).alias("payload"),
+        c("fetch.is_object").alias("payload_is_object"),
+        c("scan.trusted_cert").alias("trusted"),
     )
+    trusted = F.when(c("payload_is_object") & c("https"), c("trusted"))
+    received = add_received(rows, "payload", "payload_is_object", keep_body=False)
+    return received.withColumn(
+        "received", c("received").withField("tls_cert_has_trusted_ca", trusted)
+    ).drop("payload", "trusted")
