@@ -1 +1,167 @@
-"""Queries."""
+"""Ratios of measurement results per domain, source and day."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks.common import query, relation, rounded, rounded_sql, spread
+from scanlake.functions.labels import label_result
+from scanlake.operators.analysis import (
+    all_under_threshold,
+    any_over_threshold,
+    daily_ratios,
+    log_normalize,
+    lowest_success,
+    pivot_domain_date,
+    pivot_success,
+    result_counts,
+    success_interference_ratios,
+    top_networks,
+    with_label,
+)
+
+# Result texts of the analysed sources, by label.
+SUCCESS = ["HTTP: null", "HTTPS: null", "ECHO: null", "DISCARD: null"]
+INTERFERENCE = [
+    "HTTP: Get http://[IP]: net/http: request canceled (Client.Timeout exceeded while awaiting headers)",
+    "ECHO: Incorrect echo response",
+    "DISCARD: Received response",
+]
+SYSTEM_ERROR = ["HTTP: Get http://[IP]: EOF", "HTTPS: Get https://[IP]: EOF"]
+
+# Events as analysed rows: the type decides the result text.
+ROWS = """SELECT event_id, 'd' || user_id % 10 AS domain,
+    CASE user_id % 3 WHEN 0 THEN 'HTTP' WHEN 1 THEN 'HTTPS' ELSE 'ECHO' END AS source,
+    CAST(CAST(ts AS DATE) AS STRING) AS date, user_id % 15 AS asn, 'AS name ' || user_id % 15 AS as_name,
+    CAST(FLOOR(value) AS BIGINT) + 1 AS count,
+    CASE event_type WHEN 'view' THEN 'HTTP: null' WHEN 'click' THEN 'ECHO: null' WHEN 'signup' THEN 'ECHO: Incorrect echo response'
+      WHEN 'error' THEN CASE WHEN user_id % 2 = 0 THEN 'HTTPS: Get https://[IP]: EOF' ELSE 'DISCARD: Received response' END
+      ELSE 'something else' END AS result
+  FROM {events}"""
+LABELLED = f"""SELECT *, CASE result WHEN 'HTTP: null' THEN 'success' WHEN 'ECHO: null' THEN 'success'
+    WHEN 'ECHO: Incorrect echo response' THEN 'interference' WHEN 'DISCARD: Received response' THEN 'interference'
+    WHEN 'HTTPS: Get https://[IP]: EOF' THEN 'system_error' ELSE 'unknown' END AS result_type FROM ({ROWS}) source_rows"""
+
+
+def ratios_sql(by: str) -> str:
+    return f"""SELECT {by}, CAST(coalesce(sum(count) FILTER (result_type = 'success'), 0) AS BIGINT) AS success_count,
+      CAST(coalesce(sum(count) FILTER (result_type = 'interference'), 0) AS BIGINT) AS interference_count,
+      CAST(sum(count) AS BIGINT) AS total_count,
+      coalesce(sum(count) FILTER (result_type = 'success'), 0) / sum(count) AS success_ratio,
+      coalesce(sum(count) FILTER (result_type = 'interference'), 0) / sum(count) AS interference_ratio
+    FROM ({LABELLED}) WHERE result_type IN ('success', 'interference') GROUP BY {by}"""
+
+
+DAILY_SQL = f"WITH daily AS ({ratios_sql('date, domain, source')}) "
+DATES = [f"2024-01-{day:02d}" for day in range(1, 31)]
+
+
+def rows(spark, sf):
+    found = spread(relation(spark, sf, ROWS))
+    return with_label(found, label_result(F.col("result"), SUCCESS, INTERFERENCE, SYSTEM_ERROR))
+
+
+def rounded_ratios(frame, *by):
+    counts = ["success_count", "interference_count", "total_count"]
+    return frame.select(*by, *counts, rounded("success_ratio"), rounded("interference_ratio"))
+
+
+def rounded_ratios_sql(source: str, by: str) -> str:
+    ratios = ", ".join(rounded_sql(r, r) for r in ("success_ratio", "interference_ratio"))
+    return f"SELECT {by}, success_count, interference_count, total_count, {ratios} FROM {source}"
+
+
+@query("label_results", f"SELECT event_id, result_type FROM ({LABELLED})")
+def labels(spark, sf):
+    return rows(spark, sf).select("event_id", "result_type")
+
+
+@query(
+    "result_counts_by_domain",
+    f"SELECT domain, source, result_type, CAST(sum(count) AS BIGINT) AS count FROM ({LABELLED}) GROUP BY ALL",
+)
+def counts(spark, sf):
+    return result_counts(rows(spark, sf))
+
+
+@query("success_interference_ratios", rounded_ratios_sql(f"({ratios_sql('domain, source')})", "domain, source"))
+def ratios(spark, sf):
+    return rounded_ratios(success_interference_ratios(rows(spark, sf)), "domain", "source")
+
+
+@query("daily_ratios", DAILY_SQL + rounded_ratios_sql("daily", "date, domain, source"))
+def daily(spark, sf):
+    return rounded_ratios(daily_ratios(rows(spark, sf)), "date", "domain", "source")
+
+
+@query(
+    "pivot_success",
+    DAILY_SQL
+    + "SELECT date, "
+    + ", ".join(rounded_sql(f"max(success_ratio) FILTER (source = '{s}')", s) for s in ("HTTP", "HTTPS", "ECHO"))
+    + " FROM daily WHERE domain = 'd3' GROUP BY date",
+)
+def success_pivot(spark, sf):
+    sources = ["HTTP", "HTTPS", "ECHO"]
+    wide = pivot_success(daily_ratios(rows(spark, sf)), "d3", sources)
+    return wide.select("date", *[rounded(s) for s in sources])
+
+
+@query(
+    "pivot_domain_date",
+    DAILY_SQL
+    + "SELECT domain, "
+    + ", ".join(rounded_sql(f"max(interference_ratio) FILTER (date = '{d}')", f'"{d}"') for d in DATES)
+    + " FROM daily WHERE source = 'HTTPS' GROUP BY domain",
+)
+def domain_pivot(spark, sf):
+    https = daily_ratios(rows(spark, sf)).filter(F.col("source") == "HTTPS")
+    wide = pivot_domain_date(https, "interference_ratio", DATES)
+    return wide.select("domain", *[F.round(F.coalesce(F.col(f"`{d}`"), F.lit(-1.0)), 6).alias(d) for d in DATES])
+
+
+@query(
+    "any_over_threshold",
+    DAILY_SQL + "SELECT domain FROM daily WHERE source = 'HTTPS' GROUP BY domain HAVING bool_or(interference_ratio > 0.95)",
+)
+def over(spark, sf):
+    https = daily_ratios(rows(spark, sf)).filter(F.col("source") == "HTTPS")
+    return any_over_threshold(https, 0.95)
+
+
+@query(
+    "all_under_threshold",
+    DAILY_SQL
+    + """SELECT domain FROM daily WHERE source = 'HTTPS' GROUP BY domain
+    HAVING bool_and(interference_ratio < 0.97) AND count(DISTINCT date) = (SELECT count(DISTINCT date) FROM daily WHERE source = 'HTTPS')""",
+)
+def under(spark, sf):
+    https = daily_ratios(rows(spark, sf)).filter(F.col("source") == "HTTPS")
+    return all_under_threshold(https, 0.97)
+
+
+@query(
+    "log_normalize",
+    DAILY_SQL
+    + """, m AS (SELECT max(ln(total_count)) AS top FROM daily)
+    SELECT date, domain, source, round((ln(total_count) + 0.05 * top) / (top + 0.05 * top), 6) AS opacity FROM daily, m""",
+)
+def normalized(spark, sf):
+    scaled = log_normalize(daily_ratios(rows(spark, sf)), "total_count", "opacity")
+    return scaled.select("date", "domain", "source", rounded("opacity"))
+
+
+@query(
+    "top_networks",
+    f"SELECT asn, as_name, CAST(sum(count) AS BIGINT) AS count FROM ({ROWS}) GROUP BY asn, as_name ORDER BY count DESC, asn, as_name LIMIT 5",
+)
+def networks(spark, sf):
+    return top_networks(rows(spark, sf))
+
+
+@query(
+    "lowest_success",
+    f"SELECT * FROM ({rounded_ratios_sql('(' + ratios_sql('domain, source') + ')', 'domain, source')}) ORDER BY success_ratio, domain, source LIMIT 20",
+)
+def lowest(spark, sf):
+    return rounded_ratios(lowest_success(success_interference_ratios(rows(spark, sf))), "domain", "source")

@@ -67,7 +67,7 @@ t AS (SELECT *,
   FROM a)"""
 
 
-def dns_rows(spark, sf, extra: str = "") -> DataFrame:
+def dns_rows(spark, sf, *extra: str) -> DataFrame:
     """The rows as flattened and enriched rows look, answers nested."""
     c = F.col
     base = spread(relation(spark, sf, ROWS))
@@ -126,7 +126,7 @@ def dns_rows(spark, sf, extra: str = "") -> DataFrame:
         null.cast("boolean").alias("untagged_controls"), null.cast("boolean").alias("untagged_response"),
         F.lit(False).alias("excluded"), F.lit("before").alias("exclude_reason"),
         answers.alias("received"), ip_metadata(country=F.lit("own")).alias("ip_metadata"),
-        "measurement_id", F.lit(0).alias("roundtrip"), "source", *([extra] if extra else []),
+        "measurement_id", F.lit(0).alias("roundtrip"), "source", *extra,
     )
 
 
@@ -135,25 +135,26 @@ def table_rows(spark, sf) -> DataFrame:
     return dns_rows(spark, sf).withColumn("answers", F.transform("received", table_answer))
 
 
+OUTCOME_CTES = """g AS (SELECT measurement_id, bool_or(m_ip) AS any_ip, bool_or(matches AND trusted) AS valid,
+      bool_or(matches AND NOT trusted) AS bad_ca, bool_and(NOT matches) AS bad_domain, bool_or(blockpage) AS blocked,
+      bool_or(m_asnum) AS any_asn, min(CASE WHEN i = 0 THEN k END) AS k0, min(CASE WHEN i = 0 THEN issuer END) AS issuer0,
+      min(CASE WHEN i = 0 THEN common_name END) AS cn0, min(CASE WHEN i = 0 THEN fingerprint END) AS fp0 FROM t GROUP BY measurement_id),
+    names AS (SELECT measurement_id, string_agg(label, ',' ORDER BY first) AS signature FROM
+      (SELECT measurement_id, coalesce(as_name, 'AS' || asn, 'missing_as_info') AS label, min(i) AS first FROM t GROUP BY 1, 2) GROUP BY 1)"""
+OUTCOME_CASE = """CASE WHEN error = 'read udp: i/o timeout' THEN '❓dns.timedout'
+    WHEN rcode = -1 THEN '❓dns.timedout' WHEN rcode = 3 THEN '❗️dns.error:NXDomain' WHEN rcode = 40 THEN '❗️dns.unknown_rcode:40'
+    WHEN k0 IS NULL THEN '❗️ip.empty'
+    WHEN k0 % 20 = 0 THEN '❗️ip.invalid:zero' WHEN k0 % 20 = 1 THEN '❗️ip.invalid:local_host' WHEN k0 % 20 < 5 THEN '❗️ip.invalid:local_net'
+    WHEN any_ip THEN '✅ip.matchip' WHEN valid THEN '✅tls.validcert' WHEN bad_ca THEN '❗️tls.badca:' || issuer0
+    WHEN bad_domain THEN '❗️' || chr(65039) || 'tls.baddomain:' || cn0 WHEN blocked THEN '❗️http.blockpage:' || fp0
+    WHEN any_asn THEN '✅ip.matchasn' ELSE '❓tls.connerror:' || signature END"""
+
+
 @query(
     "dns_outcome",
     ANSWERS_SQL
-    + """, g AS (SELECT measurement_id, bool_or(m_ip) AS any_ip, bool_or(matches AND trusted) AS valid,
-        bool_or(matches AND NOT trusted) AS bad_ca, bool_and(NOT matches) AS bad_domain, bool_or(blockpage) AS blocked,
-        bool_or(m_asnum) AS any_asn, min(CASE WHEN i = 0 THEN k END) AS k0, min(CASE WHEN i = 0 THEN issuer END) AS issuer0,
-        min(CASE WHEN i = 0 THEN common_name END) AS cn0, min(CASE WHEN i = 0 THEN fingerprint END) AS fp0 FROM t GROUP BY measurement_id),
-    names AS (SELECT measurement_id, string_agg(label, ',' ORDER BY first) AS signature FROM
-      (SELECT measurement_id, coalesce(as_name, 'AS' || asn, 'missing_as_info') AS label, min(i) AS first FROM t GROUP BY 1, 2) GROUP BY 1)
-    SELECT rows.measurement_id, """
-    + shown_sql(
-        outcome="""CASE WHEN error = 'read udp: i/o timeout' THEN '❓dns.timedout'
-        WHEN rcode = -1 THEN '❓dns.timedout' WHEN rcode = 3 THEN '❗️dns.error:NXDomain' WHEN rcode = 40 THEN '❗️dns.unknown_rcode:40'
-        WHEN k0 IS NULL THEN '❗️ip.empty'
-        WHEN k0 % 20 = 0 THEN '❗️ip.invalid:zero' WHEN k0 % 20 = 1 THEN '❗️ip.invalid:local_host' WHEN k0 % 20 < 5 THEN '❗️ip.invalid:local_net'
-        WHEN any_ip THEN '✅ip.matchip' WHEN valid THEN '✅tls.validcert' WHEN bad_ca THEN '❗️tls.badca:' || issuer0
-        WHEN bad_domain THEN '❗️' || chr(65039) || 'tls.baddomain:' || cn0 WHEN blocked THEN '❗️http.blockpage:' || fp0
-        WHEN any_asn THEN '✅ip.matchasn' ELSE '❓tls.connerror:' || signature END"""
-    )
+    + f", {OUTCOME_CTES} SELECT rows.measurement_id, "
+    + shown_sql(outcome=OUTCOME_CASE)
     + " FROM rows LEFT JOIN g USING (measurement_id) LEFT JOIN names USING (measurement_id)",
 )
 def outcomes(spark, sf):
@@ -380,7 +381,7 @@ _NUMBER = "((l_partkey + i) * 2246822519 + 374761393) % 4294967296"
 )
 def answer_metadata(spark, sf):
     c = F.col
-    rows = dns_rows(spark, sf, extra="l_partkey").withColumn(
+    rows = dns_rows(spark, sf, "l_partkey").withColumn(
         "date", F.when(c("anomaly"), "2021-01-05").when(~c("anomaly"), "2021-04-25").otherwise("2021-10-20")
     )
     number = lambda i: ((c("l_partkey") + i) * 2246822519 + 374761393) % 4294967296

@@ -1 +1,198 @@
-"""Queries."""
+"""Choosing input files, comparing targets, writing tables and counting."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from checks.common import MEASUREMENTS, query, relation, shown, shown_sql, spread
+from checks.flatten import json_text, s
+from scanlake.functions.paths import between_dates, scan_type_of, source_of
+from scanlake.operators.lines import is_malformed
+from scanlake.operators.probe import flatten_probe
+from scanlake.session import shared_folder
+from scanlake.sources.files import (
+    existing_sources,
+    exported_sources,
+    new_sources,
+    reconcile_sources,
+    select_input_files,
+)
+from scanlake.sources.reference_data import completeness_check, parse_two_section_file
+from scanlake.sources.sinks import fail_if_empty, observed, write_base_table
+
+# One file per order, of several scan types and names.
+FILES = """SELECT o_orderkey, 'store/' || kind || '/' || 'Quack-' || kind || '-' || day || '/' || name AS path,
+    'Quack-' || kind || '-' || day AS source, kind, day, name, length
+  FROM (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS STRING) AS day, o_custkey % 90 AS length,
+    CASE o_orderkey % 4 WHEN 0 THEN 'echo' WHEN 1 THEN 'discard' WHEN 2 THEN 'https' ELSE 'http' END AS kind,
+    CASE o_custkey % 4 WHEN 0 THEN 'results.json' WHEN 1 THEN 'results.json.gz' WHEN 2 THEN 'resolvers.json' ELSE 'readme.txt' END AS name
+    FROM {orders}) files"""
+# Sources that are loaded already: of finished orders.
+LOADED = f"SELECT source FROM ({FILES.replace('FROM {orders}', 'FROM {orders} WHERE o_orderstatus = ' + chr(39) + 'F' + chr(39))}) loaded"
+EXPORTED = LOADED.replace("'F'", "'P'")
+
+
+@query(
+    "select_input_files",
+    f"""SELECT path, length FROM ({FILES}) WHERE day BETWEEN '1996-02-01' AND '1998-11-30' AND name LIKE 'results.json%' AND length > 33
+    AND source NOT IN ({LOADED})""",
+)
+def chosen(spark, sf):
+    files = relation(spark, sf, FILES).select("path", "length")
+    return select_input_files(files, "http", "1996-02-01", "1998-11-30", relation(spark, sf, LOADED))
+
+
+@query(
+    "between_dates",
+    """SELECT event_id, event_id % 6 > 0 AND day BETWEEN '2024-01-05' AND '2024-01-20' AS inside,
+      event_id % 6 > 0 AND day >= '2024-01-05' AS later, event_id % 6 > 0 AND day <= '2024-01-20' AS earlier, event_id % 6 > 0 AS dated
+    FROM (SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events)""",
+)
+def dates(spark, sf):
+    day = F.to_date("ts").cast("string")
+    path = F.when(F.col("event_id") % 6 == 0, "store/undated/results.json").otherwise(
+        s("store/Quack-echo-", day, "-06-01/2024-13-99.json")
+    )
+    return relation(spark, sf, "SELECT * FROM {events}").select(
+        "event_id",
+        between_dates(path, "2024-01-05", "2024-01-20").alias("inside"),
+        between_dates(path, start="2024-01-05").alias("later"),
+        between_dates(path, end="2024-01-20").alias("earlier"),
+        between_dates(path).alias("dated"),
+    )
+
+
+@query("source_from_path", f"SELECT o_orderkey, source, kind AS scan_type FROM ({FILES})")
+def sources(spark, sf):
+    files = relation(spark, sf, FILES).select("o_orderkey", source_of(F.col("path")).alias("source"))
+    return files.withColumn("scan_type", scan_type_of(F.col("source")))
+
+
+@query(
+    "existing_sources",
+    f"SELECT 'table' AS target, source FROM (SELECT DISTINCT source FROM ({LOADED})) UNION ALL SELECT 'export', source FROM (SELECT DISTINCT source FROM ({EXPORTED}))",
+)
+def existing(spark, sf):
+    files = relation(spark, sf, EXPORTED).select(
+        s("out/source=", F.col("source"), "/country=X/results.json.gz").alias("path")
+    )
+    other = files.select(F.regexp_replace("path", "/source=", "/notes-").alias("path"))
+    table = existing_sources(relation(spark, sf, LOADED)).select(F.lit("table").alias("target"), "source")
+    return table.union(exported_sources(files.union(other)).select(F.lit("export"), "source"))
+
+
+@query("incremental_new_sources", f"SELECT path FROM ({FILES}) WHERE source NOT IN ({LOADED})")
+def incremental(spark, sf):
+    return new_sources(relation(spark, sf, FILES).select("path"), relation(spark, sf, LOADED))
+
+
+@query(
+    "reconcile_sources",
+    f"""SELECT source, 'export' AS missing_in FROM (SELECT source FROM ({LOADED}) EXCEPT SELECT source FROM ({EXPORTED}))
+    UNION ALL SELECT source, 'table' FROM (SELECT source FROM ({EXPORTED}) EXCEPT SELECT source FROM ({LOADED}))""",
+)
+def reconciled(spark, sf):
+    return reconcile_sources(relation(spark, sf, LOADED), relation(spark, sf, EXPORTED))
+
+
+@query(
+    "completeness_check",
+    """WITH found AS (SELECT l_shipdate AS day, count(DISTINCT l_orderkey) AS found FROM lineitem GROUP BY 1),
+    expected AS (SELECT o_orderdate AS day, count(*) AS expected FROM orders GROUP BY 1)
+    SELECT CAST(CAST(day AS DATE) AS VARCHAR) AS source, CAST(expected AS BIGINT) AS expected, CAST(coalesce(found, 0) AS BIGINT) AS found,
+      expected = coalesce(found, 0) AS complete FROM expected LEFT JOIN found USING (day)""",
+)
+def complete(spark, sf):
+    measured = relation(
+        spark, sf, "SELECT CAST(CAST(l_shipdate AS DATE) AS STRING) AS source, l_orderkey AS measurement_id FROM {lineitem}"
+    )
+    expected = relation(
+        spark, sf, "SELECT CAST(CAST(o_orderdate AS DATE) AS STRING) AS source, count(*) AS count FROM {orders} GROUP BY 1"
+    )
+    return completeness_check(measured, expected)
+
+
+@query(
+    "parse_two_section_file",
+    "SELECT s_suppkey AS asn, "
+    + shown_sql(as_name="s_name", as_full_name="n_name", country="CASE WHEN n_name IS NOT NULL THEN 'R' || n_regionkey END")
+    + " FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey * 2",
+)
+def two_sections(spark, sf):
+    orgs = relation(
+        spark, sf,
+        "SELECT 'ORG' || n_nationkey || '|20120130|' || n_name || '|R' || n_regionkey || '|RIPE' AS value FROM {nation}",
+    )
+    numbers = relation(
+        spark, sf,
+        "SELECT s_suppkey || '|20120224|' || s_name || '|ORG' || s_nationkey * 2 || '|e5e3|ARIN' AS value FROM {supplier}",
+    )
+    comments = relation(spark, sf, "SELECT '# format:' || r_name || '|a|b|c|d' AS value FROM {region}")
+    parsed = parse_two_section_file(comments.union(orgs).union(numbers))
+    return parsed.select("asn", *shown("as_name", "as_full_name", "country"))
+
+
+# Line items as rows of a probe table.
+TABLE = f"""SELECT CAST(day AS DATE) AS date, 'C' || l_suppkey % 9 AS server_country, l_partkey % 50 AS server_asn,
+    'Quack-http-' || SUBSTR(day, 1, 7) AS source, 'd' || l_partkey AS domain, l_orderkey AS measurement_id
+  FROM ({MEASUREMENTS}) m"""
+
+
+def fresh_path(spark, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    "write_base_table",
+    f"""SELECT CAST(date AS VARCHAR) AS date, server_country, CAST(count(*) AS BIGINT) AS measured, CAST(sum(server_asn) AS BIGINT) AS numbers
+    FROM ({TABLE}) GROUP BY 1, 2""",
+)
+def written(spark, sf):
+    path = fresh_path(spark, "base")
+    write_base_table(relation(spark, sf, TABLE), path)
+    return (
+        spark.read.parquet(path)
+        .groupBy(F.col("date").cast("string").alias("date"), "server_country")
+        .agg(F.count("*").alias("measured"), F.sum("server_asn").alias("numbers"))
+    )
+
+
+@query(
+    "fail_if_empty",
+    f"""SELECT source, CAST(count(*) AS BIGINT) AS measured, (SELECT CAST(count(*) AS BIGINT) FROM lineitem) AS written
+    FROM ({TABLE}) GROUP BY source""",
+)
+def guarded(spark, sf):
+    path = fresh_path(spark, "guarded")
+    rows = fail_if_empty(relation(spark, sf, TABLE), path)
+    return spark.read.parquet(path).groupBy("source").agg(
+        F.count("*").alias("measured"), F.lit(rows).cast("bigint").alias("written")
+    )
+
+
+@query(
+    "ingest_counters",
+    """SELECT CAST(count(*) AS BIGINT) AS lines, CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS malformed,
+      CAST(sum(CASE WHEN event_type = 'error' THEN 0 ELSE user_id % 3 END) AS BIGINT) AS flattened FROM events""",
+)
+def counters(spark, sf):
+    """Counted while the rows are written, without a second pass."""
+    c = F.col
+    trip = json_text(matches_template=F.lit(True), start_time=s(F.to_date("ts")), end_time=s(F.to_date("ts")))
+    top = json_text(vp=s("1.2.3.", c("user_id") % 256), test_url=c("event_type"), anomaly=F.lit(False))
+    trips = F.array_join(F.array_repeat(trip, (c("user_id") % 3).cast("int")), ",")
+    text = F.concat(F.expr("left(top, length(top) - 1)"), F.lit(',"response":['), c("trips"), F.lit("]}"))
+    events = spread(relation(spark, sf, "SELECT * FROM {events}"))
+    lines = events.withColumns({"top": top, "trips": trips}).select(
+        s("d/Quack-http-2022-01-01/results.json").alias("file_path"),
+        F.when(c("event_type") == "error", F.expr("left(top, 9)")).otherwise(text).alias("value"),
+    )
+    read, line_counts = observed(
+        lines, F.count("*").alias("lines"), F.count_if(is_malformed(c("value"))).alias("malformed")
+    )
+    rows, row_counts = observed(flatten_probe(read), F.count("*").alias("flattened"))
+    rows.write.parquet(fresh_path(spark, "counted"))
+    counts = line_counts.get | row_counts.get
+    return spark.range(1).select(*[F.lit(counts[k]).cast("bigint").alias(k) for k in ("lines", "malformed", "flattened")])
