@@ -6,8 +6,12 @@ from pyspark.sql import functions as F
 
 from checks.answers import ANSWERS_SQL, OUTCOME_CASE, OUTCOME_CTES, dns_rows, table_rows
 from checks.common import MEASUREMENTS, query, relation, shown, shown_sql, spread, table
+from checks.flatten import ROUNDTRIPS, probe_v2_lines
 from checks.text import PROBE_ERRORS, pick, pick_sql, suffix_rules
+from scanlake.functions.labels import mask_control_domain
+from scanlake.functions.outcomes import mark_outcome
 from scanlake.functions.records import ip_metadata
+from scanlake.operators.probe import flatten_probe
 from scanlake.operators.reduce import (
     bad_resolver_filter,
     capable_domain_semi_join,
@@ -19,9 +23,11 @@ from scanlake.operators.reduce import (
     project_probe_scan,
     reduce_scans,
     union_scans,
+    with_dns_outcome,
 )
 from scanlake.operators.tables import dns_table
 from scanlake.plans.dashboard import build_dashboard
+from scanlake.plans.probe_table import add_outcome
 
 # Tries of measurements: an order is a measurement, its line number the try.
 TRIES = f"""SELECT SUBSTR(day, 1, 4) AS date, 'm' || l_orderkey AS measurement_id,
@@ -49,6 +55,27 @@ def kept(spark, sf):
     )
 
 
+@query(
+    "probe_outcome_counts",
+    ROUNDTRIPS
+    + """SELECT SUBSTR(day, 1, 7) AS month, CASE WHEN (l_partkey + i) % 3 = 0 THEN 'CONTROL' ELSE 'test' || l_partkey || '.net' END AS domain,
+      CASE flag WHEN 'A' THEN '❔unknown/unknown' WHEN 'N' THEN '✅match' ELSE '❓content/mismatch' END AS outcome,
+      CAST(count(*) AS BIGINT) AS count FROM t GROUP BY 1, 2, 3""",
+)
+def outcome_counts(spark, sf):
+    """From raw lines to counts: parse, explode, classify, mark, group."""
+    rows = add_outcome(flatten_probe(probe_v2_lines(spark, sf)))
+    return (
+        rows.select(
+            F.substring("date", 1, 7).alias("month"),
+            mask_control_domain(F.col("domain"), F.col("is_control")).alias("domain"),
+            mark_outcome(F.col("outcome")).alias("outcome"),
+        )
+        .groupBy("month", "domain", "outcome")
+        .agg(F.count("*").alias("count"))
+    )
+
+
 # Rows of other domains than the capable ones: the last two thirds have none.
 VISITS = """SELECT o_orderkey, 'site' || o_custkey % 60 || '.example.com' AS domain, 'sat-' || o_orderkey % 4 AS source FROM {orders}"""
 
@@ -121,7 +148,11 @@ def union(spark, sf):
     flat = dns_table(dns_rows(spark, sf).withColumn("category", F.lit("c")))
     scans.append(
         project_dns_scan(
-            flat.withColumn("received_error", F.lit(None).cast("string")).withColumn("answers", F.slice("answers", 1, 0))
+            with_dns_outcome(
+                flat.withColumn("received_error", F.lit(None).cast("string")).withColumn(
+                    "answers", F.slice("answers", 1, 0)
+                )
+            )
         )
     )
     whole = union_scans(scans).withColumn("server_country", F.coalesce("server_country", F.lit("~")))

@@ -164,6 +164,32 @@ def probe_v1(spark, sf):
     return probe_rows(flatten_probe_v1(lines))
 
 
+def probe_v2_lines(spark, sf) -> DataFrame:
+    c = F.col
+
+    def roundtrip(i):
+        base = json_text(
+            matches_template=c("flag") == "N",
+            control_url=F.when((c("l_partkey") + i) % 3 == 0, s("control", i, ".com")),
+            error=F.when(c("flag") == "A", s("first", i, ";second")),
+            start_time=s(c("day"), "T00:00:0", i, "Z"),
+            end_time=s(c("day"), "T00:00:09Z"),
+        )
+        return with_raw(base, response=payload(i, "response"))
+
+    top = json_text(
+        vp=s("10.1.0.", c("l_suppkey") % 256),
+        test_url=s("test", c("l_partkey"), ".net"),
+        anomaly=c("flag") == "R",
+        controls_failed=F.when(c("l_suppkey") % 7 != 0, c("status") == "O"),
+        stateful_block=c("l_suppkey") % 2 == 0,
+    )
+    return spread(relation(spark, sf, MEASUREMENTS)).select(
+        s("scans/Quack-http-", c("day"), "/results.json.gz").alias("file_path"),
+        with_raw(top, response=json_list(F.transform(steps(c("n") % 4), roundtrip))).alias("value"),
+    )
+
+
 @query(
     "flatten_probe_v2",
     ROUNDTRIPS
@@ -188,30 +214,7 @@ def probe_v1(spark, sf):
     + " FROM t",
 )
 def probe_v2(spark, sf):
-    c = F.col
-
-    def roundtrip(i):
-        base = json_text(
-            matches_template=c("flag") == "N",
-            control_url=F.when((c("l_partkey") + i) % 3 == 0, s("control", i, ".com")),
-            error=F.when(c("flag") == "A", s("first", i, ";second")),
-            start_time=s(c("day"), "T00:00:0", i, "Z"),
-            end_time=s(c("day"), "T00:00:09Z"),
-        )
-        return with_raw(base, response=payload(i, "response"))
-
-    top = json_text(
-        vp=s("10.1.0.", c("l_suppkey") % 256),
-        test_url=s("test", c("l_partkey"), ".net"),
-        anomaly=c("flag") == "R",
-        controls_failed=F.when(c("l_suppkey") % 7 != 0, c("status") == "O"),
-        stateful_block=c("l_suppkey") % 2 == 0,
-    )
-    lines = spread(relation(spark, sf, MEASUREMENTS)).select(
-        s("scans/Quack-http-", c("day"), "/results.json.gz").alias("file_path"),
-        with_raw(top, response=json_list(F.transform(steps(c("n") % 4), roundtrip))).alias("value"),
-    )
-    return probe_rows(flatten_probe_v2(lines))
+    return probe_rows(flatten_probe_v2(probe_v2_lines(spark, sf)))
 
 
 def flags_text(flags: Column) -> Column:

@@ -135,7 +135,7 @@ def two_sections(spark, sf):
 
 
 # Line items as rows of a probe table.
-TABLE = f"""SELECT CAST(day AS DATE) AS date, 'C' || l_suppkey % 9 AS server_country, l_partkey % 50 AS server_asn,
+TABLE = f"""SELECT CAST(SUBSTR(day, 1, 7) || '-01' AS DATE) AS date, 'C' || l_suppkey % 9 AS server_country, l_partkey % 50 AS server_asn,
     'Quack-http-' || SUBSTR(day, 1, 7) AS source, 'd' || l_partkey AS domain, l_orderkey AS measurement_id
   FROM ({MEASUREMENTS}) m"""
 

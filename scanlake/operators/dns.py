@@ -19,7 +19,8 @@ from scanlake.constants import (
 from scanlake.functions.paths import base_name, path_date, source_of
 from scanlake.functions.records import ip_metadata, record, tags_to_flags
 from scanlake.functions.text import is_control_domain, iso_timestamp, measurement_id, spaced_json
-from scanlake.operators.lines import explode_once, parse_json, skip_malformed, tests_before
+from scanlake.operators.barrier import explode_once
+from scanlake.operators.lines import parse_json, skip_malformed, tests_before
 from scanlake.schemas import (
     ANSWER,
     ANSWER_FIELDS,

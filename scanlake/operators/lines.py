@@ -34,17 +34,6 @@ def skip_malformed(lines: DataFrame, schema: str) -> DataFrame:
     return lines.select("*", F.explode(F.filter(parsed, _is_valid)).alias("scan"))
 
 
-def explode_once(rows: DataFrame, kept: list, items: Column, position: str, item: str) -> DataFrame:
-    """Explode an array that is costly to compute, evaluating it once per row.
-
-    An inner explode makes the optimizer derive a filter on the array and copy the
-    whole computation below; the outer form does not, and its empty records are
-    dropped here.
-    """
-    exploded = rows.select(*kept, F.posexplode_outer(items).alias(position, item))
-    return exploded.filter(F.col(position).isNotNull())
-
-
 def is_malformed(line: Column) -> Column:
     """True for a line that is not valid JSON."""
     return ~F.coalesce(_is_valid(parse_json(line, "_corrupt_record STRING")), F.lit(False))

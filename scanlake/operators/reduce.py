@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from scanlake.functions.dns import dns_outcome, is_bad_resolver
 from scanlake.functions.labels import category_or_default, mask_control_domain, subnetwork_label
 from scanlake.functions.outcomes import FAILED, mark_outcome, unexpected_count
+from scanlake.operators.barrier import compute_once
 from scanlake.operators.joins import lookup_join
 
 
@@ -57,7 +58,7 @@ def bad_resolver_filter(rows: DataFrame) -> DataFrame:
 
 def project_probe_scan(rows: DataFrame, source: str) -> DataFrame:
     """Columns of a probe table that the union needs, with a literal source."""
-    return rows.select(
+    dimensions = rows.select(
         F.lit(source).alias("source"),
         "date",
         "server_country",
@@ -65,14 +66,42 @@ def project_probe_scan(rows: DataFrame, source: str) -> DataFrame:
         F.lit(None).cast("string").alias("server_name"),
         "domain_is_control",
         "domain",
-        mark_outcome(F.col("outcome")).alias("outcome"),
+        F.col("outcome").alias("plain_outcome"),
         "server_asn",
         "server_organization",
         "domain_category",
     )
+    return compute_once(dimensions, outcome=mark_outcome(F.col("plain_outcome"))).drop("plain_outcome")
+
+
+def with_dns_outcome(rows: DataFrame) -> DataFrame:
+    """What the reduction needs of a DNS table, answers replaced by their outcome.
+
+    Done before any join, so that answers with their pages are never shuffled.
+    """
+    narrow = rows.select(
+        "date",
+        "measurement_id",
+        "retry",
+        "source",
+        "domain",
+        "domain_is_control",
+        "domain_category",
+        "resolver_country",
+        "resolver_as_full_name",
+        "resolver_name",
+        "resolver_asn",
+        "resolver_organization",
+        "received_error",
+        "received_rcode",
+        "answers",
+    )
+    outcome = dns_outcome(F.col("received_error"), F.col("received_rcode"), F.col("answers"))
+    return compute_once(narrow, outcome=outcome).drop("received_error", "received_rcode", "answers")
 
 
 def project_dns_scan(rows: DataFrame) -> DataFrame:
+    """Columns of the DNS scan that the union needs; ``rows`` have their outcome."""
     return rows.select(
         F.lit("DNS").alias("source"),
         "date",
@@ -81,9 +110,7 @@ def project_dns_scan(rows: DataFrame) -> DataFrame:
         F.col("resolver_name").alias("server_name"),
         "domain_is_control",
         "domain",
-        dns_outcome(F.col("received_error"), F.col("received_rcode"), F.col("answers")).alias(
-            "outcome"
-        ),
+        "outcome",
         F.col("resolver_asn").alias("server_asn"),
         F.col("resolver_organization").alias("server_organization"),
         "domain_category",

@@ -18,6 +18,7 @@ from scanlake.operators.reduce import (
     project_probe_scan,
     reduce_scans,
     union_scans,
+    with_dns_outcome,
 )
 from scanlake.operators.suffixes import registered_domain
 
@@ -34,7 +35,7 @@ def since(table: DataFrame, earliest_date: str | None) -> DataFrame:
 def filtered_dns(table: DataFrame) -> DataFrame:
     """Last retries of usable resolvers for domains that serve valid certificates."""
     good = bad_resolver_filter(table.filter(controls_passed("domain_controls_failed")))
-    kept = keep_last_retry(good, last_retry(table))
+    kept = keep_last_retry(with_dns_outcome(good), last_retry(table))
     return capable_domain_semi_join(kept, capable_domains(table))
 
 
