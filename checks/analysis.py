@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.common import query, relation, rounded, rounded_sql, spread
+from checks.common import query, relation, rounded, rounded_sql
 from scanlake.functions.labels import label_result
 from scanlake.operators.analysis import (
     all_under_threshold,
@@ -57,7 +57,7 @@ DATES = [f"2024-01-{day:02d}" for day in range(1, 31)]
 
 
 def rows(spark, sf):
-    found = spread(relation(spark, sf, ROWS))
+    found = relation(spark, sf, ROWS)
     return with_label(found, label_result(F.col("result"), SUCCESS, INTERFERENCE, SYSTEM_ERROR))
 
 

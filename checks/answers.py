@@ -13,7 +13,6 @@ from checks.common import (
     rounded_sql,
     shown,
     shown_sql,
-    spread,
 )
 from checks.flatten import s, steps
 from checks.networks import DAYS, lookup_of, lookup_sql
@@ -70,7 +69,7 @@ t AS (SELECT *,
 def dns_rows(spark, sf, *extra: str) -> DataFrame:
     """The rows as flattened and enriched rows look, answers nested."""
     c = F.col
-    base = spread(relation(spark, sf, ROWS))
+    base = relation(spark, sf, ROWS)
 
     def answer(i: Column) -> Column:
         k = (c("l_suppkey") * 7 + c("l_partkey") + i) % 97

@@ -39,8 +39,16 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+SMALL_TABLES = {"region", "nation", "supplier"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table; one that comes in fewer pieces than there are cores is dealt out."""
+    rows = spark.read.parquet(f"{sf}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in SMALL_TABLES or rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores)
 
 
 def relation(spark: SparkSession, sf: str, sql: str) -> DataFrame:
@@ -48,12 +56,6 @@ def relation(spark: SparkSession, sf: str, sql: str) -> DataFrame:
     return spark.sql(sql, **{name: table(spark, sf, name) for name in names})
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Deal rows of a small input out to all cores; a large input is split already."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def plain(sql: str) -> str:
     """The SQL with table placeholders replaced by the table names."""
     return re.sub(r"\{(\w+)\}", r"\1", sql)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.answers import ANSWERS_SQL, OUTCOME_CASE, OUTCOME_CTES, dns_rows, table_rows
-from checks.common import MEASUREMENTS, query, relation, shown, shown_sql, spread, table
+from checks.common import MEASUREMENTS, query, relation, shown, shown_sql, table
 from checks.flatten import ROUNDTRIPS, probe_v2_lines
 from checks.text import PROBE_ERRORS, pick, pick_sql, suffix_rules
 from scanlake.functions.labels import mask_control_domain
@@ -49,7 +49,7 @@ def last(spark, sf):
     WHERE t.retry = m.retry OR t.retry IS NULL""",
 )
 def kept(spark, sf):
-    tries = spread(relation(spark, sf, TRIES))
+    tries = relation(spark, sf, TRIES)
     return keep_last_retry(tries, last_retry(tries)).select(
         "date", "measurement_id", *shown("retry"), "l_partkey", "cents"
     )
@@ -118,7 +118,7 @@ KINDS = {0: "DISCARD", 1: "ECHO", 2: "HTTP", 3: "HTTPS"}
 
 
 def probe_rows(spark, sf):
-    rows = spread(relation(spark, sf, PROBE_ROWS)).withColumn("outcome", pick(_OUTCOMES, F.col("cents")))
+    rows = relation(spark, sf, PROBE_ROWS).withColumn("outcome", pick(_OUTCOMES, F.col("cents")))
     return rows.withColumn("date", F.col("date").cast("date"))
 
 

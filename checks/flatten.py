@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from checks.common import MEASUREMENTS, query, relation, shown, shown_sql, spread, table
+from checks.common import MEASUREMENTS, query, relation, shown, shown_sql, table
 from scanlake.functions.text import (
     domain_from_request,
     flatten_headers,
@@ -157,7 +157,7 @@ def probe_v1(spark, sf):
         FailSanity=c("status") == "O",
         StatefulBlock=F.lit(False),
     )
-    lines = spread(relation(spark, sf, MEASUREMENTS)).select(
+    lines = relation(spark, sf, MEASUREMENTS).select(
         s("scans/Quack-https-", c("day"), "/results.json").alias("file_path"),
         with_raw(top, Results=json_list(F.transform(steps(c("n") % 4), roundtrip))).alias("value"),
     )
@@ -184,7 +184,7 @@ def probe_v2_lines(spark, sf) -> DataFrame:
         controls_failed=F.when(c("l_suppkey") % 7 != 0, c("status") == "O"),
         stateful_block=c("l_suppkey") % 2 == 0,
     )
-    return spread(relation(spark, sf, MEASUREMENTS)).select(
+    return relation(spark, sf, MEASUREMENTS).select(
         s("scans/Quack-http-", c("day"), "/results.json.gz").alias("file_path"),
         with_raw(top, response=json_list(F.transform(steps(c("n") % 4), roundtrip))).alias("value"),
     )
@@ -284,7 +284,7 @@ def dns_v1(spark, sf):
         passed=F.when(c("flag") != "N", c("flag") == "A"),
     )
     name = F.when(c("status") == "O", "answers_control.json").otherwise("interference.json.gz")
-    lines = spread(relation(spark, sf, MEASUREMENTS)).select(
+    lines = relation(spark, sf, MEASUREMENTS).select(
         s("dns/Satellite-2020", F.substring("day", 5, 6), "/", name).alias("file_path"),
         with_raw(top, answers=answers, error=error).alias("value"),
     )
@@ -384,7 +384,7 @@ def dns_retries(spark, sf):
         F.array(*[F.lit(_tries_text(*case[:3])) for case in _TRIES]), (c("cents") % len(_TRIES)).cast("int")
     )
     top = json_text(**v2_top(_v2_ip(), _v2_domain(), passed_control=c("status") != "O"))
-    lines = spread(relation(spark, sf, MEASUREMENTS)).select(
+    lines = relation(spark, sf, MEASUREMENTS).select(
         s("dns/Satellite-", c("day"), "/results.json").alias("file_path"),
         with_raw(top, response=response).alias("value"),
     )
@@ -462,7 +462,7 @@ def dns_roundtrips(spark, sf):
             exclude_reason=F.when(even, F.array(F.lit("a"), F.lit("b"))),
         )
     )
-    lines = spread(relation(spark, sf, MEASUREMENTS)).select(
+    lines = relation(spark, sf, MEASUREMENTS).select(
         s("dns/Satellite-", c("day"), "/results.json").alias("file_path"),
         with_raw(top, response=json_list(F.transform(steps(c("n") % 4), roundtrip))).alias("value"),
     )
@@ -524,7 +524,7 @@ def dns_control(spark, sf):
         passed_control=c("status") != "O",
         connect_error=c("flag") == "A",
     )
-    lines = spread(relation(spark, sf, MEASUREMENTS)).select(
+    lines = relation(spark, sf, MEASUREMENTS).select(
         s("dns/Satellite-", c("day"), "/responses_control.json").alias("file_path"),
         with_raw(top, response=json_list(F.transform(steps(c("n") % 4), roundtrip))).alias("value"),
     )

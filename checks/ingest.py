@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from checks.common import MEASUREMENTS, query, relation, shown, shown_sql, spread
+from checks.common import MEASUREMENTS, query, relation, shown, shown_sql
 from checks.flatten import json_text, s
 from scanlake.functions.paths import between_dates, scan_type_of, source_of
 from scanlake.operators.lines import is_malformed
@@ -184,7 +184,7 @@ def counters(spark, sf):
     top = json_text(vp=s("1.2.3.", c("user_id") % 256), test_url=c("event_type"), anomaly=F.lit(False))
     trips = F.array_join(F.array_repeat(trip, (c("user_id") % 3).cast("int")), ",")
     text = F.concat(F.expr("left(top, length(top) - 1)"), F.lit(',"response":['), c("trips"), F.lit("]}"))
-    events = spread(relation(spark, sf, "SELECT * FROM {events}"))
+    events = relation(spark, sf, "SELECT * FROM {events}")
     lines = events.withColumns({"top": top, "trips": trips}).select(
         s("d/Quack-http-2022-01-01/results.json").alias("file_path"),
         F.when(c("event_type") == "error", F.expr("left(top, 9)")).otherwise(text).alias("value"),

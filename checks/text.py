@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.common import query, relation, shown, shown_sql, spread, table, texts_sql
+from checks.common import query, relation, shown, shown_sql, table, texts_sql
 from scanlake.functions.certs import cert_matches_domain
 from scanlake.functions.dns import classify_dns_error, classify_rcode
 from scanlake.functions.labels import mask_control_domain, subnetwork_label
@@ -101,7 +101,7 @@ _SCAN, _ERROR, _OUTCOME = ([e[i] for e in PROBE_ERRORS] for i in range(3))
 def probe_outcome(spark, sf):
     c = F.col
     kind, user = c("event_type"), c("user_id")
-    return spread(table(spark, sf, "events")).select(
+    return table(spark, sf, "events").select(
         "event_id",
         classify_probe_outcome(
             error=F.when(kind == "click", F.when(user % 2 == 0, "")).otherwise(pick(_ERROR, c("event_id"))),
@@ -438,7 +438,7 @@ _TEXTS = """SELECT 'page' AS kind, page_id AS id, html AS page FROM {pages}
     + " FROM m",
 )
 def signatures(spark, sf):
-    rows = spread(relation(spark, sf, _TEXTS))
+    rows = relation(spark, sf, _TEXTS)
     anomaly = F.col("id") % 9 != 4
     found = rows.select("kind", "id", match_signatures(F.col("page"), anomaly, HARMLESS, BLOCKED).alias("m"))
     return found.select(
