@@ -5,6 +5,6 @@ states the expected result directly on the tables.
 """
 
 from checks.common import REGISTRY
-from checks import analysis, answers, dashboard, flatten, ingest, networks, text  # noqa: F401
+from checks import analysis, answers, dashboard, flatten, ingest, networks, tables, text  # noqa: F401
 
 __all__ = ["REGISTRY"]

@@ -164,7 +164,7 @@ def probe_v1(spark, sf):
     return probe_rows(flatten_probe_v1(lines))
 
 
-def probe_v2_lines(spark, sf) -> DataFrame:
+def probe_v2_lines(spark, sf, *extra: str) -> DataFrame:
     c = F.col
 
     def roundtrip(i):
@@ -187,6 +187,7 @@ def probe_v2_lines(spark, sf) -> DataFrame:
     return relation(spark, sf, MEASUREMENTS).select(
         s("scans/Quack-http-", c("day"), "/results.json.gz").alias("file_path"),
         with_raw(top, response=json_list(F.transform(steps(c("n") % 4), roundtrip))).alias("value"),
+        *extra,
     )
 
 

@@ -69,16 +69,15 @@ def http_response_text(status: Column, headers: Column, body: Column) -> Column:
 
 
 def iso_timestamp(text: Column) -> Column:
-    """``2021-04-18 14:49:01.62 -0400 EDT m=+…`` to ``2021-04-18T14:49:01.62-04:00``."""
-    parts = F.split(F.trim(text), r"\s+")
-    zone = F.get(parts, F.lit(2))
+    """``2021-04-18 14:49:01.62 -0400 EDT m=+10.5`` to ``2021-04-18T14:49:01.62-04:00``."""
+    text = F.trim(text)
+
+    def part(number: int) -> Column:
+        return F.substring_index(F.substring_index(text, " ", number), " ", -1)
+
+    zone = part(3)
     return F.concat(
-        F.get(parts, F.lit(0)),
-        F.lit("T"),
-        F.get(parts, F.lit(1)),
-        F.substring(zone, 1, 3),
-        F.lit(":"),
-        F.substring(zone, 4, 2),
+        part(1), F.lit("T"), part(2), F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2)
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,20 +80,19 @@ def read_ranked_lists(spark: SparkSession, paths_by_rank: list[str]) -> DataFram
     return whole
 
 
-def read_signatures(path: str) -> list[Signature]:
+def read_signatures(spark: SparkSession, path: str) -> list[Signature]:
     """Signatures in file order; blank lines are skipped, a repeated fingerprint keeps
     its place and takes the later pattern.
 
-    They become literals of the plan, so this small file is read by the driver.
+    Patterns become literals of the plan, like the rules in code, so this one
+    hand-maintained file goes to the driver.
     """
-    import json
-
+    text = spark.read.text(path, wholetext=True).first()
     found: dict[str, str] = {}
-    with open(path, encoding="utf-8") as lines:
-        for line in lines:
-            if line.strip():
-                item = json.loads(line)
-                found[item["fingerprint"]] = item["pattern"]
+    for line in (text["value"] if text else "").split("\n"):
+        if line.strip():
+            item = json.loads(line)
+            found[item["fingerprint"]] = item["pattern"]
     return [Signature(pattern, fingerprint) for fingerprint, pattern in found.items()]
 
 

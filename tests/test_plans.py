@@ -69,7 +69,7 @@ def data(spark, store):
     ranges = put(store, "ref/ranges.csv", "134744064,134744100,Suborg,15169\n")
     blocked = put(store, "ref/blocked.json", {"pattern": "blocked <b>", "fingerprint": "fp_b"}, "\n", {"pattern": "old", "fingerprint": "fp_c"},
                   {"pattern": "new", "fingerprint": "fp_c"})
-    listed = read_signatures(blocked)
+    listed = read_signatures(spark, blocked)
     assert listed == [Signature("blocked <b>", "fp_b"), Signature("new", "fp_c")]
     certificates = spark.range(1).select(
         F.sha2(F.lit("CERT"), 256).alias("cert_sha"), F.lit("cn").alias("common_name"), F.lit("CA").alias("issuer"),
