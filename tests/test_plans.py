@@ -63,7 +63,7 @@ def data(spark, store):
         store, "ref/org2info.txt", "# format:org_id|changed|org_name|country|source\n", "G-ORG|20120130|Google LLC|US|ARIN\n",
         "# format:aut|changed|aut_name|org_id|opaque_id|source\n", "15169|20120224|GOOGLE|G-ORG|x|ARIN\n", "79|2012|NINE|MISSING|x|RIPE\n",
     )
-    types = put(store, "ref/types.txt", "# comment\n", "15169|CAIDA_class|Content\n")
+    types = put(store, "ref/types.txt", "# comment\n", "15169|some_class|Content\n")
     categories = put(store, "ref/categories.csv", "t.com,News Media\n", "d.com,Gaming\n")
     names = put(store, "ref/names.csv", '"United States",US\n', '"Korea, Republic of",KR\n')
     ranges = put(store, "ref/ranges.csv", "134744064,134744100,Suborg,15169\n")
