@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from scanlake.llm import exact_dedup, mixing, simhash
+from scanlake.llm import byte_bpe, exact_dedup, mixing, simhash
 from scanlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+
 
 def query(run: Callable[[SparkSession, str], DataFrame]):
     QUERIES[run.__name__] = run
@@ -41,3 +42,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    rows = byte_bpe.encoded(documents(spark, sf_dir), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
+    return byte_bpe.digests(rows).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
