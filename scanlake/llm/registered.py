@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scanlake.llm import byte_bpe, exact_dedup, mixing, simhash
+import corpus_pipeline
+from scanlake.llm import byte_bpe, exact_dedup, mixing, quality, simhash
 from scanlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +51,13 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = byte_bpe.encoded(documents(spark, sf_dir), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
     return byte_bpe.digests(rows).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    found, weight, drawn, stays = quality.resampled(documents(spark, sf_dir), labels, carry=False)
+    return found.select("doc_id", weight, drawn, stays)
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
