@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from scanlake.llm import byte_bpe, exact_dedup, mixing, quality, secrets_scan, simhash
+from scanlake.llm import byte_bpe, exact_dedup, mixing, pii, quality, secrets_scan, simhash
 from scanlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ QUERIES["pipeline"] = corpus_pipeline.run
 @query
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.digests(secrets_scan.secrets(documents(spark, sf_dir)))
+
+
+@query
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.personal_data(documents(spark, sf_dir)))
