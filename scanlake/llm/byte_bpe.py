@@ -5,7 +5,12 @@ automaton over strings finds every token at every place in one pass. Encoding wa
 piece with the longest token first. A token may follow another only if merging their
 bytes by rank would leave the border between them; that is memoised by pair. A place
 from which no token leads on is never tried again, because the tokens before a place are
-determined by it: linear time, and the same ids as merging by rank.
+determined by it: linear time, and the same ids as merging by rank. Shorter tokens at a
+place are the prefixes of the longest one, which are linked once for the vocabulary.
+
+Texts are cut before each space with a non-space behind it, where the pattern always
+parts pieces, and the ids of such chunks and of their pieces are memoised in two
+generations, so that frequent ones outlive the bound.
 
 Needs a vocabulary in which every token's own bytes encode to that token and every single
 byte is a token; ``Vocabulary`` checks the second and ``split`` the first.
@@ -18,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 
 import ahocorasick
 import numpy as np
@@ -28,10 +34,14 @@ from pyspark.sql import functions as F
 
 from scanlake.llm.common import ready
 
-#: Entries that a memo holds before it is emptied.
-PIECES = 150_000
+#: Entries of a generation of memoised pieces, and of the memo of pairs before it is emptied.
+PIECES = 200_000
 PAIRS = 1_000_000
+#: Longest chunk or piece that is memoised.
+MEMO_CHARS = 64
 NEVER = 1 << 62
+#: A space with a non-space behind it begins a piece.
+CHUNK = re.compile(r" (?=\S)")
 
 
 class Vocabulary:
@@ -45,9 +55,16 @@ class Vocabulary:
         self.pieces_of = regex.compile(pattern).findall
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
+            self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
-        self.memo: dict[str, bytes] = {}
+        self.size = {rank: len(token) for token, rank in ranks.items()}
+        # The longest token that begins a token; -1 for single bytes.
+        self.shorter = {
+            rank: next((ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in ranks), -1)
+            for token, rank in ranks.items()
+        }
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.right: dict[int, list[int]] = {}
         self.left: dict[int, list[int]] = {}
@@ -102,38 +119,59 @@ class Vocabulary:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        fits: list[list[tuple[int, int]]] = [[] for _ in piece]  # by start, shortest first
-        for end, found in self.automaton.iter(piece.decode("latin-1")):
-            fits[end - found[0] + 1].append(found)
-        out: list[tuple[int, int]] = []  # length and rank
-        left = [list(fits[0])]  # what is still to be tried at each place on the way
-        at, dead = 0, bytearray(len(piece) + 1)
-        while at < len(piece):
-            while left[-1]:
-                length, rank = left[-1].pop()
-                if not dead[at + length] and (not out or self.compatible(out[-1][1], rank)):
-                    out.append((length, rank))
-                    at += length
-                    left.append(list(fits[at]) if at < len(piece) else [])
-                    break
-            else:
+        size, shorter, pairs = self.size, self.shorter, self.pairs
+        longest = [0] * len(piece)
+        for end, rank in self.automaton.iter(piece.decode("latin-1")):  # by end, so the longest comes last
+            longest[end + 1 - size[rank]] = rank
+        out: list[int] = []
+        at, dead, rank = 0, bytearray(len(piece) + 1), longest[0]
+        while True:
+            end = at + size[rank]
+            if not dead[end]:
+                fits = not out or pairs.get((out[-1], rank))
+                if fits is None:
+                    fits = self.compatible(out[-1], rank)
+                if fits:
+                    out.append(rank)
+                    if end == len(piece):
+                        return out
+                    at, rank = end, longest[end]
+                    continue
+            rank = shorter[rank]
+            while rank < 0:  # nothing leads on from here
                 dead[at] = 1
-                left.pop()
-                at -= out.pop()[0]
-        return [rank for _, rank in out]
+                last = out.pop()
+                at -= size[last]
+                rank = shorter[last]
+
+    def remember(self, text: str, ids: bytes) -> None:
+        if len(self.young) >= PIECES:
+            self.old, self.young = self.young, {}
+        self.young[text] = ids
+
+    def ids_of(self, text: str, whole: bool) -> bytes:
+        """Ids of a piece, or of a chunk of pieces, by the memo."""
+        ids = self.young.get(text)
+        if ids is None:
+            ids = self.old.get(text)
+            if ids is None:
+                pieces = [text] if whole else self.pieces_of(text)
+                if len(pieces) == 1:
+                    ids = np.array(self.encode_piece(text.encode()), "<i4").tobytes()
+                else:
+                    ids = b"".join([self.ids_of(piece, True) for piece in pieces])
+            if len(text) <= MEMO_CHARS:
+                self.remember(text, ids)
+        return ids
 
     def encode(self, text: str) -> bytes:
         """The ids as 32-bit little-endian numbers."""
-        memo, out = self.memo, []
-        for piece in self.pieces_of(text):
-            ids = memo.get(piece)
-            if ids is None:
-                ids = np.array(self.encode_piece(piece.encode()), "<i4").tobytes()
-                if len(piece) <= 64:
-                    if len(memo) >= PIECES:
-                        memo.clear()
-                    memo[piece] = ids
-            out.append(ids)
+        first, *others = CHUNK.split(text)
+        out = [self.ids_of(first, False)]
+        known = self.young.get
+        for other in others:
+            chunk = " " + other
+            out.append(known(chunk) or self.ids_of(chunk, False))
         return b"".join(out)
 
     def decode(self, ids: list[int]) -> bytes:
@@ -164,19 +202,31 @@ class Codec:
         with open(path, "rb") as file:
             ranks = spark.sparkContext.broadcast(file.read())
 
-        @F.arrow_udf("array<int>")
-        def encode(texts: pa.Array) -> pa.Array:
+        def ids_of(texts: pa.Array) -> pa.Array:
             vocabulary = read_vocabulary(ranks.value, pattern)
             found = [vocabulary.encode(text.as_py() or "") for text in texts]
             offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in found])]).astype(np.int32)
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")))
 
-        @F.arrow_udf("binary")
-        def decode(ids: pa.Array) -> pa.Array:
+        def bytes_of(ids: pa.Array) -> pa.Array:
             vocabulary = read_vocabulary(ranks.value, pattern)
             return pa.array([vocabulary.decode(some.values.to_pylist() if some.is_valid else []) for some in ids], pa.binary())
 
-        self._encode, self._decode = encode, decode
+        @F.arrow_udf("array<int>")
+        def encode(texts: pa.Array) -> pa.Array:
+            return ids_of(texts)
+
+        @F.arrow_udf("binary")
+        def decode(ids: pa.Array) -> pa.Array:
+            return bytes_of(ids)
+
+        # One function, as two in a row over the same text would encode it twice.
+        @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
+        def round_trip(texts: pa.Array) -> pa.Array:
+            ids = ids_of(texts)
+            return pa.StructArray.from_arrays([ids, bytes_of(ids)], names=["ids", "decoded"])
+
+        self._encode, self._decode, self._round_trip = encode, decode, round_trip
 
     def encode(self, text: Column) -> Column:
         return self._encode(text)
@@ -184,12 +234,16 @@ class Codec:
     def decode(self, ids: Column) -> Column:
         return self._decode(ids)
 
+    def round_trip(self, text: Column) -> Column:
+        """A struct of the ids and the bytes that they decode to."""
+        return self._round_trip(text)
+
 
 def encoded(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, ids and decoded (the bytes that the ids give back) of every row."""
     codec = Codec(docs.sparkSession, path, pattern)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), codec.encode(F.col(text).cast("string")).alias("ids"))
-    return rows.select("doc_id", "ids", codec.decode(F.col("ids")).alias("decoded"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), codec.round_trip(F.col(text).cast("string")).alias("both"))
+    return rows.select("doc_id", "both.ids", "both.decoded")
 
 
 def digests(rows: DataFrame) -> DataFrame:

@@ -55,7 +55,24 @@ def test_memos_are_bounded(pair, monkeypatch):
     monkeypatch.setattr(byte_bpe, "PAIRS", 5)
     text = "The memo of pieces holds only a few entries, entries, entries of them all the same"
     assert ids_of(vocabulary, text) == plain.encode_ordinary(text)
-    assert len(vocabulary.memo) <= 5 + 1
+    vocabulary.encode(text[::-1])
+    assert len(vocabulary.young) <= 5 and len(vocabulary.pairs) <= 5
+
+
+def test_spaces_of_all_kinds(pair):
+    vocabulary, plain = pair
+    rng = random.Random(3)
+    for _ in range(4000):
+        text = "".join(rng.choices([" ", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\x1c", "\x85", "a", "the", "1", "'s", ",", "é"], k=rng.randrange(14)))
+        assert ids_of(vocabulary, text) == plain.encode_ordinary(text), repr(text)
+
+
+def test_columns_go_both_ways(spark, odd_docs):
+    from pyspark.sql import functions as F
+
+    codec = byte_bpe.Codec(spark, public_tokenizers.path(FILES[1]), public_tokenizers.PATTERN)
+    rows = odd_docs.select("text", codec.encode(F.col("text")).alias("ids")).select("text", codec.decode(F.col("ids")).alias("back"))
+    assert all(bytes(r.back) == (r.text or "").encode() for r in rows.collect())
 
 
 def test_query_columns(odd_docs, no_docs):
