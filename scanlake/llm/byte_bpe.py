@@ -8,9 +8,9 @@ from which no token leads on is never tried again, because the tokens before a p
 determined by it: linear time, and the same ids as merging by rank. Shorter tokens at a
 place are the prefixes of the longest one, which are linked once for the vocabulary.
 
-Texts are cut before each space with a non-space behind it, where the pattern always
-parts pieces, and the ids of such chunks and of their pieces are memoised in two
-generations, so that frequent ones outlive the bound.
+The ids of pieces are memoised in two generations, so that frequent ones outlive the
+bound. Texts within Latin-1 are cut by the same pattern written with plain character
+sets, which is compiled to a faster matcher.
 
 Needs a vocabulary in which every token's own bytes encode to that token and every single
 byte is a token; ``Vocabulary`` checks the second and ``split`` the first.
@@ -35,13 +35,31 @@ from pyspark.sql import functions as F
 from scanlake.llm.common import ready
 
 #: Entries of a generation of memoised pieces, and of the memo of pairs before it is emptied.
-PIECES = 200_000
+PIECES = 300_000
 PAIRS = 1_000_000
-#: Longest chunk or piece that is memoised.
+#: Longest piece that is memoised.
 MEMO_CHARS = 64
 NEVER = 1 << 62
-#: A space with a non-space behind it begins a piece.
-CHUNK = re.compile(r" (?=\S)")
+
+
+def latin_pattern(pattern: str) -> re.Pattern | None:
+    """The pattern for texts within Latin-1, its Unicode classes written out; None if it has other ones."""
+    members = lambda of: "".join(re.escape(chr(c)) for c in range(256) if regex.fullmatch(of, chr(c)))
+    out, inside, at = "", False, 0
+    while at < len(pattern):
+        found = regex.compile(r"\\p\{\w+\}|\\[sS]|\\.|.", regex.DOTALL).match(pattern, at)[0]
+        at += len(found)
+        if found in "[]":
+            inside = found == "["
+        if found[:2] in (r"\p", r"\s"):
+            out += members(found) if inside else f"[{members(found)}]"
+        elif found == r"\S" and not inside:
+            out += f"[^{members(chr(92) + 's')}]"
+        elif found[0] == "\\" and found[1].isalpha():
+            return None
+        else:
+            out += found
+    return re.compile(out)
 
 
 class Vocabulary:
@@ -52,17 +70,20 @@ class Vocabulary:
         self.tokens = {rank: token for token, rank in ranks.items()}
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("every single byte must be a token")
-        self.pieces_of = regex.compile(pattern).findall
+        self.wide, self.latin = regex.compile(pattern), latin_pattern(pattern)
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
-        self.size = {rank: len(token) for token, rank in ranks.items()}
-        # The longest token that begins a token; -1 for single bytes.
-        self.shorter = {
-            rank: next((ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in ranks), -1)
-            for token, rank in ranks.items()
-        }
+        self.size, self.shorter = [0] * (max(self.tokens) + 1), [-1] * (max(self.tokens) + 1)
+        for token, rank in ranks.items():
+            self.size[rank] = len(token)
+            # The longest token that begins a token; -1 for single bytes.
+            self.shorter[rank] = next((ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in ranks), -1)
+        # The bytes of all tokens one after the other, for decoding.
+        self.flat = np.frombuffer(b"".join(self.tokens.get(rank, b"") for rank in range(len(self.size))), np.uint8)
+        self.sizes = np.array(self.size, np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
@@ -144,38 +165,40 @@ class Vocabulary:
                 at -= size[last]
                 rank = shorter[last]
 
-    def remember(self, text: str, ids: bytes) -> None:
-        if len(self.young) >= PIECES:
-            self.old, self.young = self.young, {}
-        self.young[text] = ids
-
-    def ids_of(self, text: str, whole: bool) -> bytes:
-        """Ids of a piece, or of a chunk of pieces, by the memo."""
-        ids = self.young.get(text)
+    def pieces_of(self, text: str) -> list[str]:
+        if self.latin is not None:
+            try:
+                text.encode("latin-1")
+                return self.latin.findall(text)
+            except UnicodeEncodeError:
+                pass
+        return self.wide.findall(text)
+
+    def piece_ids(self, piece: str) -> bytes:
+        """Ids of a piece that is not among the young ones."""
+        ids = self.old.get(piece)
         if ids is None:
-            ids = self.old.get(text)
-            if ids is None:
-                pieces = [text] if whole else self.pieces_of(text)
-                if len(pieces) == 1:
-                    ids = np.array(self.encode_piece(text.encode()), "<i4").tobytes()
-                else:
-                    ids = b"".join([self.ids_of(piece, True) for piece in pieces])
-            if len(text) <= MEMO_CHARS:
-                self.remember(text, ids)
+            ids = np.array(self.encode_piece(piece.encode()), "<i4").tobytes()
+        if len(piece) <= MEMO_CHARS:
+            if len(self.young) >= PIECES:
+                self.old, self.young = self.young, {}
+            self.young[piece] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         """The ids as 32-bit little-endian numbers."""
-        first, *others = CHUNK.split(text)
-        out = [self.ids_of(first, False)]
-        known = self.young.get
-        for other in others:
-            chunk = " " + other
-            out.append(known(chunk) or self.ids_of(chunk, False))
-        return b"".join(out)
+        pieces = self.pieces_of(text)
+        found = list(map(self.young.get, pieces))
+        if None in found:
+            found = [self.piece_ids(piece) if ids is None else ids for ids, piece in zip(found, pieces)]
+        return b"".join(found)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of ids, as an array."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        shift = np.repeat(self.starts[ids] - (ends - sizes), sizes)
+        return self.flat[shift + np.arange(len(shift))]
 
 
 _vocabularies: dict[str, Vocabulary] = {}
@@ -209,8 +232,8 @@ class Codec:
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")))
 
         def bytes_of(ids: pa.Array) -> pa.Array:
-            vocabulary = read_vocabulary(ranks.value, pattern)
-            return pa.array([vocabulary.decode(some.values.to_pylist() if some.is_valid else []) for some in ids], pa.binary())
+            decode = read_vocabulary(ranks.value, pattern).decode
+            return pa.array([decode(some.values.to_numpy()).tobytes() if some.is_valid else b"" for some in ids], pa.binary())
 
         @F.arrow_udf("array<int>")
         def encode(texts: pa.Array) -> pa.Array:

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from scanlake.llm import byte_bpe
 
@@ -22,8 +23,6 @@ def pair(request):
 
 
 def ids_of(vocabulary, text):
-    import numpy as np
-
     return np.frombuffer(vocabulary.encode(text), "<i4").tolist()
 
 
@@ -39,7 +38,7 @@ def test_random_texts(pair):
             text = b"".join(rng.choices(tokens, k=rng.randrange(8))).decode("utf-8", "ignore")
         ids = ids_of(vocabulary, text)
         assert ids == plain.encode_ordinary(text), text
-        assert vocabulary.decode(ids) == text.encode()
+        assert vocabulary.decode(np.array(ids, int)).tobytes() == text.encode()
 
 
 def test_long_pieces(pair):
@@ -90,6 +89,18 @@ def test_query_columns(odd_docs, no_docs):
     assert byte_bpe.encoded(no_docs, path, public_tokenizers.PATTERN).collect() == []
 
 
+def test_latin_pattern_is_the_same():
+    import regex
+
+    wide, latin = regex.compile(public_tokenizers.PATTERN), byte_bpe.latin_pattern(public_tokenizers.PATTERN)
+    rng = random.Random(4)
+    every = list(map(chr, range(256))) + ["'s", "'ll", "  ", " a", "ab", "12"] * 8
+    for _ in range(5000):
+        text = "".join(rng.choices(every, k=rng.randrange(12)))
+        assert wide.findall(text) == latin.findall(text), repr(text)
+    assert byte_bpe.latin_pattern(r"\w+") is None
+
+
 def test_vocabulary_without_all_bytes_is_refused():
     with pytest.raises(ValueError):
         byte_bpe.Vocabulary({b"a": 0}, ".")
