@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from scanlake.llm import byte_bpe, exact_dedup, language, mixing, pii, quality, secrets_scan, simhash
+from scanlake.llm import byte_bpe, exact_dedup, language, mixing, outliers, pii, quality, secrets_scan, simhash
 from scanlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,8 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(documents(spark, sf_dir))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judged(documents(spark, sf_dir))
