@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from scanlake.llm import byte_bpe, exact_dedup, language, mixing, outliers, pii, quality, secrets_scan, simhash
+from scanlake.llm import byte_bpe, exact_dedup, language, licences, mixing, outliers, pii, quality, secrets_scan, simhash
 from scanlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +82,9 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judged(documents(spark, sf_dir))
+
+
+@query
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scanned(documents(spark, sf_dir))
+    return found.withColumn("families", F.array_join("families", ","))
