@@ -53,9 +53,6 @@ def ratios_sql(by: str) -> str:
 
 
 DAILY_SQL = f"WITH daily AS ({ratios_sql('date, domain, source')}) "
-DATES = [f"2024-01-{day:02d}" for day in range(1, 31)]
-
-
 def rows(spark, sf):
     found = relation(spark, sf, ROWS)
     return with_label(found, label_result(F.col("result"), SUCCESS, INTERFERENCE, SYSTEM_ERROR))
@@ -110,14 +107,18 @@ def success_pivot(spark, sf):
 @query(
     "pivot_domain_date",
     DAILY_SQL
-    + "SELECT domain, "
-    + ", ".join(rounded_sql(f"max(interference_ratio) FILTER (date = '{d}')", f'"{d}"') for d in DATES)
-    + " FROM daily WHERE source = 'HTTPS' GROUP BY domain",
+    + """SELECT domain, CAST(rank AS INTEGER) AS day, round(coalesce(ratio, -1.0), 6) AS ratio
+    FROM (SELECT domain FROM daily WHERE source = 'HTTPS' GROUP BY domain)
+    CROSS JOIN (SELECT date, row_number() OVER (ORDER BY date) AS rank FROM daily WHERE source = 'HTTPS' GROUP BY date)
+    LEFT JOIN (SELECT domain, date, max(interference_ratio) AS ratio FROM daily WHERE source = 'HTTPS' GROUP BY ALL) USING (domain, date)""",
 )
 def domain_pivot(spark, sf):
+    """Every day of the data is a column; they are shown one below the other, as their number may vary."""
     https = daily_ratios(rows(spark, sf)).filter(F.col("source") == "HTTPS")
-    wide = pivot_domain_date(https, "interference_ratio", DATES)
-    return wide.select("domain", *[F.round(F.coalesce(F.col(f"`{d}`"), F.lit(-1.0)), 6).alias(d) for d in DATES])
+    days = sorted(r["date"] for r in https.select("date").distinct().collect())  # column names of the pivot
+    wide = pivot_domain_date(https, "interference_ratio", days)
+    cells = [F.struct(F.lit(i).alias("day"), F.round(F.coalesce(F.col(f"`{d}`"), F.lit(-1.0)), 6).alias("ratio")) for i, d in enumerate(days, 1)]
+    return wide.select("domain", F.explode(F.array(*cells)).alias("cell")).select("domain", "cell.day", "cell.ratio")
 
 
 @query(

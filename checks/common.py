@@ -39,16 +39,14 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+# Dimension tables of a fixed number of rows, or of a few per scale.
 SMALL_TABLES = {"region", "nation", "supplier"}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table; one that comes in fewer pieces than there are cores is dealt out."""
+    """A given table, dealt out over the cores: it may be one file that one task reads."""
     rows = spark.read.parquet(f"{sf}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SMALL_TABLES or rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores)
+    return rows if name in SMALL_TABLES else rows.repartition(spark.sparkContext.defaultParallelism)
 
 
 def relation(spark: SparkSession, sf: str, sql: str) -> DataFrame:

@@ -138,24 +138,17 @@ _LABELS = """CASE WHEN server_asn IS NOT NULL THEN 'AS' || server_asn || coalesc
 
 @query(
     "union_scans",
-    f"""WITH {PROBE_SQL} SELECT source, outcome, coalesce(server_country, '~') AS server_country, CAST(count(*) AS BIGINT) AS measured FROM p GROUP BY 1, 2, 3
-    UNION ALL SELECT 'DNS', outcome, 'own', CAST(count(*) AS BIGINT) FROM (SELECT CASE cents % 9 WHEN 0 THEN '❓dns.timedout' WHEN 1 THEN '❗️dns.error:NXDomain'
-      WHEN 2 THEN '❗️dns.unknown_rcode:40' ELSE '❗️ip.empty' END AS outcome FROM ({MEASUREMENTS}) m) GROUP BY 2""",
+    ANSWERS_SQL
+    + f""", {OUTCOME_CTES}, {PROBE_SQL}
+    SELECT source, outcome, coalesce(server_country, '~') AS server_country, CAST(count(*) AS BIGINT) AS measured FROM p GROUP BY 1, 2, 3
+    UNION ALL SELECT 'DNS', coalesce(outcome, '~'), 'own', CAST(count(*) AS BIGINT) FROM (SELECT {OUTCOME_CASE} AS outcome
+      FROM rows LEFT JOIN g USING (measurement_id) LEFT JOIN names USING (measurement_id)) d GROUP BY 2""",
 )
 def union(spark, sf):
     scans = [project_probe_scan(rows, kind.upper()) for kind, rows in probe_tables(spark, sf).items()]
-    # The DNS rows without their errors and answers: codes decide.
     flat = dns_table(dns_rows(spark, sf).withColumn("category", F.lit("c")))
-    scans.append(
-        project_dns_scan(
-            with_dns_outcome(
-                flat.withColumn("received_error", F.lit(None).cast("string")).withColumn(
-                    "answers", F.slice("answers", 1, 0)
-                )
-            )
-        )
-    )
-    whole = union_scans(scans).withColumn("server_country", F.coalesce("server_country", F.lit("~")))
+    scans.append(project_dns_scan(with_dns_outcome(flat)))
+    whole = union_scans(scans).withColumns({c: F.coalesce(c, F.lit("~")) for c in ("outcome", "server_country")})
     return whole.groupBy("source", "outcome", "server_country").agg(F.count("*").alias("measured"))
 
 

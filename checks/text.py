@@ -19,43 +19,44 @@ from scanlake.operators.certificates import enrich_certificates
 from scanlake.operators.signatures import Signature, match_signatures
 from scanlake.operators.suffixes import registered_domain
 
-# Error texts with their outcome, written down from the documented behaviour.
+# Own sentences around the phrases that decide, each with the outcome expected of it.
 PROBE_ERRORS = [
-    ("echo", "dial tcp 1.2.3.4:1->5.6.7.8:2: bind: address already in use", "setup/system_failure"),
-    ("discard", "dial tcp 1.2.3.4:1: connect: protocol error", "setup/system_failure"),
-    ("echo", "protocol not available", "setup/system_failure"),
-    ("https", "Get https://1.2.3.4: dial tcp: socket: too many open files", "setup/system_failure"),
-    ("http", "Get http://1.2.3.4: dial tcp: connect: network is unreachable", "dial/ip.network_unreachable"),
-    ("http", "Get http://1.2.3.4: dial tcp: getsockopt: no route to host", "dial/ip.host_no_route"),
-    ("discard", "connection refused", "dial/tcp.refused"),
-    ("echo", "context deadline exceeded", "dial/timeout"),
-    ("echo", "dial tcp 1.2.3.4:1: connect: connection timed out", "dial/timeout"),
-    ("discard", "connection reset by peer", "dial/tcp.reset"),
-    ("discard", "dial tcp 1.2.3.4:1: connect: connection reset by peer", "dial/tcp.reset"),
-    ("http", "Get http://1.2.3.4: dial tcp: getsockopt: connection reset by peer", "dial/tcp.reset"),
-    ("https", "Get https://1.2.3.4: tls: oversized record received with length 123", "tls/tls.failed"),
-    ("https", "Get https://1.2.3.4: remote error: bad record MAC", "tls/tls.failed"),
-    ("https", "Get https://1.2.3.4: local error: unexpected message", "tls/tls.failed"),
-    ("https", "net/http: readLoopPeekFailLocked: <nil>", "tls/tls.failed"),
-    ("https", "no mutual cipher suite", "tls/tls.failed"),
-    ("https", "missing ServerKeyExchange message", "tls/tls.failed"),
-    ("https", "net/http: TLS handshake timeout while waiting", "tls/timeout"),
-    ("echo", "write tcp 1.2.3.4:1: write: connection reset by peer", "write/tcp.reset"),
-    ("echo", "write tcp 1.2.3.4:1: write: broken pipe", "write/system"),
-    ("http", "net/http: request canceled (Client.Timeout exceeded while awaiting headers)", "read/timeout"),
-    ("echo", "read tcp 1.2.3.4:1: i/o timeout;other", "read/timeout"),
-    ("discard", "close tcp: shutdown: transport endpoint is not connected", "read/system"),
-    ("http", "read tcp 1.2.3.4:1: read: connection reset by peer", "read/tcp.reset"),
-    ("http", "Get http://1.2.3.4: unexpected EOF", "read/http.truncated_response"),
-    ("https", "Get https://1.2.3.4: EOF", "read/http.empty"),
-    ("echo", "EOF", "content/mismatch"),
-    ("http", "http: server closed idle connection", "read/http.truncated_response"),
-    ("http", "trailer header without chunked transfer encoding", "http/http.invalid"),
-    ("http", "301 response missing Location header", "http/http.invalid"),
-    ("http", "bad Content-Length 123", "http/http.invalid"),
-    ("http", "failed to parse Location header x", "http/http.invalid"),
-    ("http", "malformed HTTP status code x", "http/http.invalid"),
-    ("http", "malformed MIME header line: x", "http/http.invalid"),
+    ("echo", "opening port 40001 on host twelve: address already in use", "setup/system_failure"),
+    ("discard", "step two ended with protocol error", "setup/system_failure"),
+    ("echo", "on this kernel: protocol not available", "setup/system_failure"),
+    ("https", "worker 9 stopped, too many open files", "setup/system_failure"),
+    ("http", "from the lab the network is unreachable", "dial/ip.network_unreachable"),
+    ("http", "hop three says no route to host", "dial/ip.host_no_route"),
+    ("discard", "port 9 answered: connection refused", "dial/tcp.refused"),
+    ("echo", "after 30 s, context deadline exceeded", "dial/timeout"),
+    ("echo", "attempt 4, connect: connection timed out", "dial/timeout"),
+    ("discard", "connection reset by peer before any byte", "dial/tcp.reset"),
+    ("discard", "attempt 5, connect: connection reset by peer", "dial/tcp.reset"),
+    ("http", "attempt 6, getsockopt: connection reset by peer", "dial/tcp.reset"),
+    ("https", "layer tls: odd record at byte 7", "tls/tls.failed"),
+    ("https", "alert 20 as remote error: checksum", "tls/tls.failed"),
+    ("https", "alert 10 as local error: order", "tls/tls.failed"),
+    ("https", "transport gave readLoopPeekFailLocked: <nil>", "tls/tls.failed"),
+    ("https", "hello seen but no mutual cipher suite", "tls/tls.failed"),
+    ("https", "flight two is missing ServerKeyExchange message", "tls/tls.failed"),
+    ("https", "gave up, TLS handshake timeout on try 2", "tls/timeout"),
+    ("echo", "sending line 1, write: connection reset by peer", "write/tcp.reset"),
+    ("echo", "sending line 2, write: broken pipe", "write/system"),
+    ("http", "the timer fired and request canceled by it", "read/timeout"),
+    ("echo", "waiting for line 3, i/o timeout;second part is not read", "read/timeout"),
+    ("discard", "while closing, shutdown: transport endpoint is not connected", "read/system"),
+    ("http", "waiting for page 8, read: connection reset by peer (try 1)", "read/tcp.reset"),
+    ("http", "page 9 cut, unexpected EOF", "read/http.truncated_response"),
+    ("https", "page 10 blank, EOF", "read/http.empty"),
+    ("echo", "line 4 blank, EOF", "content/mismatch"),
+    ("http", "late: http: server closed idle connection", "read/http.truncated_response"),
+    ("http", "page 11 has a trailer header without chunked transfer encoding", "http/http.invalid"),
+    ("http", "moved, yet response missing Location header", "http/http.invalid"),
+    ("http", "page 12 has a bad Content-Length of minus one", "http/http.invalid"),
+    ("http", "page 13: failed to parse Location header (blank)", "http/http.invalid"),
+    ("http", "page 14 is malformed HTTP from byte 0", "http/http.invalid"),
+    ("http", "page 15 is malformed MIME from line 2", "http/http.invalid"),
+    # These texts are compared as a whole.
     ("echo", "Incorrect echo response", "content/mismatch"),
     ("discard", "Received response", "content/mismatch"),
     ("http", "Incorrect web response: status lines don't match", "content/status_mismatch:40"),
@@ -66,15 +67,15 @@ PROBE_ERRORS = [
     ("echo", "echo response does not match echo request", "content/mismatch"),
     ("discard", "discard response is not empty", "content/mismatch"),
     ("http", "Status lines does not match", "content/status_mismatch:40"),
-    ("http", "Bodies do not match;Status lines do not match", "content/body_mismatch"),
-    ("https", "Certificates do not match;Bodies do not match", "content/tls_mismatch"),
+    ("http", "Bodies do not match;and a second part", "content/body_mismatch"),
+    ("https", "Certificates do not match;and a second part", "content/tls_mismatch"),
     ("https", "Cipher suites do not match", "content/tls_mismatch"),
     ("https", "TLS versions do not match", "content/tls_mismatch"),
     ("https", "Status lines do not match", "content/status_mismatch:40"),
-    ("http", "a header field missing here", "content/header_mismatch"),
-    ("http", "a header field mismatch here", "content/header_mismatch"),
-    ("http", "gibberish", "unknown/unknown"),
-    ("echo", "unexpected EOF", "content/mismatch"),
+    ("http", "line 5: header field missing", "content/header_mismatch"),
+    ("http", "line 6: header field mismatch", "content/header_mismatch"),
+    ("http", "nothing known about this one", "unknown/unknown"),
+    ("echo", "line 7 cut, unexpected EOF", "content/mismatch"),
 ]
 
 

@@ -19,8 +19,9 @@ def measurement_id(path: Column, line: Column) -> Column:
     )
 
 
-# Fixed value: shape of a request text, groups are path and host.
-REQUEST_PATTERN = r"GET (.*) HTTP/1.1\r\nHost: (.*)\r\n"
+# Fixed value: shape of a request text, groups are path and host. Only a line feed
+# ends a line for the dots (d), so other line separators belong to path and host.
+REQUEST_PATTERN = r"(?d)GET (.*) HTTP/1.1\r\nHost: (.*)\r\n"
 
 
 def domain_from_request(sent: Column) -> Column:

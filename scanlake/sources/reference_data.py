@@ -4,13 +4,25 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.operators.signatures import Signature
 from scanlake.operators.snapshots import snapshot_file_date
 
 
+def line_order() -> Column:
+    """Place of a line among all lines of files that are read: by file, block and row."""
+    return F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
+
+
+def last_line_wins(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """One row per key, the one that comes last; a lookup made of it never multiplies rows."""
+    values = [c for c in rows.columns if c not in (*keys, order)]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(order)).alias("last"))
+    return last.select(*keys, "last.*")
+
+
 def read_prefix_table(spark: SparkSession, paths) -> DataFrame:
     """Route files (``network <tab> length <tab> asn``) with the snapshot date of their name.
 
@@ -29,36 +41,42 @@ def read_prefix_table(spark: SparkSession, paths) -> DataFrame:
 def parse_two_section_file(lines: DataFrame) -> DataFrame:
     """AS number to name, organisation and country from a file of two tables.
 
-    ``lines``: ``value``. Organisations have five ``|`` separated fields, AS numbers
-    six, so every line says itself which table it belongs to and the file can be
-    split anywhere. An organisation that is missing leaves name and country null.
+    ``lines``: ``value`` and, if they are not in order, ``line``. Organisations have five
+    ``|`` separated fields, AS numbers six, so every line says itself which table it
+    belongs to and the file can be split anywhere. Of a repeated organisation or AS
+    number the last line counts; a missing organisation leaves name and country null.
     """
-    fields = lines.filter(~F.col("value").startswith("#")).select(F.split("value", r"\|").alias("f"))
+    order = F.col("line") if "line" in lines.columns else F.monotonically_increasing_id()
+    fields = lines.select(F.split("value", r"\|").alias("f"), order.alias("line")).filter(~F.col("f")[0].startswith("#"))
     orgs = fields.filter(F.size("f") == 5).select(
-        F.col("f")[0].alias("org_id"), F.col("f")[2].alias("as_full_name"), F.col("f")[3].alias("country")
+        F.col("f")[0].alias("org_id"), F.col("f")[2].alias("as_full_name"), F.col("f")[3].alias("country"), "line"
     )
     numbers = fields.filter(F.size("f") == 6).select(
         F.col("f")[0].try_cast("bigint").alias("asn"),
         F.col("f")[2].alias("as_name"),
         F.col("f")[3].alias("org_id"),
+        "line",
     )
+    numbers, orgs = last_line_wins(numbers, ["asn"], "line"), last_line_wins(orgs, ["org_id"], "line")
     return numbers.join(orgs, "org_id", "left").select("asn", "as_name", "as_full_name", "country")
 
 
 def read_as_types(spark: SparkSession, paths) -> DataFrame:
-    """AS number to network type (``asn|source|type``, ``#`` comments)."""
-    rows = spark.read.csv(
-        paths, sep="|", comment="#", schema="asn BIGINT, origin STRING, as_class STRING"
-    )
-    return rows.select("asn", "as_class")
+    """AS number to network type (``asn|source|type``, ``#`` comments); the last line of a number counts."""
+    rows = spark.read.csv(paths, sep="|", comment="#", schema="asn BIGINT, origin STRING, as_class STRING")
+    return last_line_wins(rows.select("asn", "as_class", line_order().alias("line")), ["asn"], "line")
 
 
 def read_categories(spark: SparkSession, paths) -> DataFrame:
-    return spark.read.csv(paths, schema="domain STRING, category STRING")
+    """Domain to category; the last line of a domain counts."""
+    rows = spark.read.csv(paths, schema="domain STRING, category STRING")
+    return last_line_wins(rows.select("*", line_order().alias("line")), ["domain"], "line")
 
 
 def read_country_names(spark: SparkSession, paths) -> DataFrame:
-    return spark.read.csv(paths, schema="country_name STRING, country_code STRING")
+    """Country name of each code; the last line of a code counts."""
+    rows = spark.read.csv(paths, schema="country_name STRING, country_code STRING")
+    return last_line_wins(rows.select("*", line_order().alias("line")), ["country_code"], "line").select("country_name", "country_code")
 
 
 def read_org_ranges(spark: SparkSession, paths) -> DataFrame:

@@ -197,7 +197,7 @@ def test_tables_and_exports(spark, probe, dns, tmp_path):
     assert record["server_country"] == "US" and record["source"] and "outcome" not in record and "page_signature" in str(probe.columns)
     write_json_export(dns, str(tmp_path / "dns"))
     require_reconciled(probe, exported_sources(list_files(spark, out)))
-    with pytest.raises(ValueError, match="missing in export"):
+    with pytest.raises(ValueError, match="1 sources missing in export"):
         require_reconciled(probe, exported_sources(list_files(spark, str(tmp_path / "dns"))))
     csv_export(probe.select("domain", "outcome"), str(tmp_path / "csv"))
     assert spark.read.csv(str(tmp_path / "csv"), header=True).columns == ["domain", "outcome"]
