@@ -1,11 +1,13 @@
 """Enrichment of resolver addresses and of the answers inside DNS rows.
 
-Answers are exploded once, joined with every side table, and regrouped once.
+Enrichment explodes only the keys of answers (row key, place, lookup keys), joins these
+narrow records with every side table, regroups what was found by row key, and joins it
+back once: rows with their answers, however wide, are moved a single time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scanlake.constants import DNS_V2_2_START, DNS_V2_START
@@ -69,35 +71,41 @@ def regroup_answers(answers: DataFrame, row_key: tuple[str, ...] = ROW_KEY) -> D
     ).drop("copy")
 
 
-def attach_answer_tags(answers: DataFrame, tags: DataFrame) -> DataFrame:
-    """Merge answer tags by (source, answer ip) into answers dated before the format that has them."""
-    merged = tags.groupBy("source", "ip").agg(
-        *[F.max(name).alias(f"tag_{name}") for name in ("http", "cert", "as_name", "asn")]
-    )
-    keyed = answers.withColumn("source", F.col("row.source")).withColumn("ip", F.col("answer.ip"))
-    joined = lookup_join(
-        keyed, merged, ["source", "ip"], condition=F.col("row.date") < DNS_V2_2_START
-    )
+def answer_keys(rows: DataFrame) -> DataFrame:
+    """Row key, place and lookup keys of every answer, without the answer itself."""
+    placed = rows.select(*ROW_KEY, "source", "domain", "date", F.posexplode("received.ip").alias("position", "ip"))
+    return placed.filter(F.col("ip").isNotNull())
+
+
+def find_tags(keys: DataFrame, tags: DataFrame) -> DataFrame:
+    """Answer tags by (source, answer ip), for answers dated before the format that has them."""
+    names = ("http", "cert", "as_name", "asn")
+    merged = tags.groupBy("source", "ip").agg(*[F.max(n).alias(n) for n in names])
+    merged = merged.select("source", "ip", F.struct(*names).alias("tag"))
+    return lookup_join(keys, merged, ["source", "ip"], condition=F.col("date") < DNS_V2_2_START)
+
+
+def merge_tags(answer: Column, found: Column) -> Column:
+    tag = found["tag"]
     metadata = (
-        F.col("answer.ip_metadata")
-        .withField("as_name", F.coalesce("tag_as_name", "answer.ip_metadata.as_name"))
-        .withField("asn", F.coalesce("tag_asn", "answer.ip_metadata.asn"))
+        answer["ip_metadata"]
+        .withField("as_name", F.coalesce(tag["as_name"], answer["ip_metadata"]["as_name"]))
+        .withField("asn", F.coalesce(tag["asn"], answer["ip_metadata"]["asn"]))
     )
-    answer = (
-        F.col("answer")
-        .withField("http", F.coalesce("tag_http", "answer.http"))
-        .withField("cert", F.coalesce("tag_cert", "answer.cert"))
+    return (
+        answer.withField("http", F.coalesce(tag["http"], answer["http"]))
+        .withField("cert", F.coalesce(tag["cert"], answer["cert"]))
         .withField("ip_metadata", metadata)
     )
-    return _replace_answer(answers, joined, answer)
 
 
-def attach_answer_ip_metadata(answers: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Merge metadata of (date, answer ip) into the answers."""
-    keyed = answers.withColumn("date", F.col("row.date")).withColumn("ip", F.col("answer.ip"))
-    joined = lookup_join(keyed, lookup, ["date", "ip"])
-    merged = merge_ip_metadata(F.col("answer.ip_metadata"), F.col("metadata"))
-    return _replace_answer(answers, joined, F.col("answer").withField("ip_metadata", merged))
+def find_ip_metadata(keys: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Metadata of (date, answer ip)."""
+    return lookup_join(keys, lookup.select("date", "ip", "metadata"), ["date", "ip"])
+
+
+def merge_answer_metadata(answer: Column, found: Column) -> Column:
+    return answer.withField("ip_metadata", merge_ip_metadata(answer["ip_metadata"], found["metadata"]))
 
 
 def first_page_fetches(fetches: DataFrame) -> DataFrame:
@@ -110,50 +118,53 @@ def first_page_fetches(fetches: DataFrame) -> DataFrame:
     )
 
 
-def attach_page_fetches(answers: DataFrame, fetches: DataFrame) -> DataFrame:
-    """Put the fetched pages of (domain, source, answer ip) on the answers."""
-    keyed = (
-        answers.withColumn("domain", F.col("row.domain"))
-        .withColumn("source", F.col("row.source"))
-        .withColumn("ip", F.col("answer.ip"))
-    )
-    joined = lookup_join(
-        keyed,
-        first_page_fetches(fetches),
-        ["domain", "source", "ip"],
-        condition=F.col("row.date") >= DNS_V2_START,
-    )
-    answer = F.col("answer")
+def find_page_fetches(keys: DataFrame, fetches: DataFrame) -> DataFrame:
+    """Fetched pages of (domain, source, answer ip)."""
+    joined = ["domain", "source", "ip"]
+    return lookup_join(keys, first_page_fetches(fetches), joined, condition=F.col("date") >= DNS_V2_START)
+
+
+def merge_page_fetches(answer: Column, found: Column) -> Column:
     for name in ("http", "https"):
-        fetched = F.col(f"{name}_fetch")
-        answer = answer.withField(
-            f"{name}_error", F.coalesce(fetched["error"], F.col(f"answer.{name}_error"))
-        ).withField(
-            f"{name}_response", F.coalesce(fetched["received"], F.col(f"answer.{name}_response"))
+        fetched = found[f"{name}_fetch"]
+        answer = answer.withField(f"{name}_error", F.coalesce(fetched["error"], answer[f"{name}_error"])).withField(
+            f"{name}_response", F.coalesce(fetched["received"], answer[f"{name}_response"])
         )
-    return _replace_answer(answers, joined, answer)
+    return answer
 
 
-def _replace_answer(answers: DataFrame, joined: DataFrame, answer) -> DataFrame:
-    """Keep the columns of ``answers``; a missing answer stays missing."""
-    kept = [c for c in answers.columns if c != "answer"]
-    return joined.select(
-        *kept, F.when(F.col("position").isNotNull(), answer).alias("answer")
-    )
+def give_back(rows: DataFrame, found: DataFrame, names: list[str], merges: list) -> DataFrame:
+    """Merge what was found for answers into their rows.
+
+    Copies of a row find the same, so a set per row key holds each place once.
+    """
+    some = F.lit(False)
+    for name in names:
+        some = some | F.col(name).isNotNull()
+    by_row = found.filter(some).groupBy(*ROW_KEY).agg(F.collect_set(F.struct("position", F.struct(*names).alias("found"))).alias("places"))
+    by_row = by_row.select(*ROW_KEY, F.map_from_entries("places").alias("places"))
+
+    def merged(answer: Column, position: Column) -> Column:
+        for merge in merges:
+            answer = merge(answer, F.try_element_at("places", position))
+        return answer
+
+    joined = lookup_join(rows, by_row, list(ROW_KEY))
+    received = F.when(F.col("places").isNull(), F.col("received")).otherwise(F.transform("received", merged))
+    return joined.withColumn("received", received).select(*rows.columns)
 
 
 def join_answer_tags(rows: DataFrame, tags: DataFrame) -> DataFrame:
-    return regroup_answers(attach_answer_tags(explode_answers(rows), tags)).select(*rows.columns)
+    return give_back(rows, find_tags(answer_keys(rows), tags), ["tag"], [merge_tags])
 
 
 def join_answer_ip_metadata(rows: DataFrame, lookup: DataFrame) -> DataFrame:
-    exploded = attach_answer_ip_metadata(explode_answers(rows), lookup)
-    return regroup_answers(exploded).select(*rows.columns)
+    return give_back(rows, find_ip_metadata(answer_keys(rows), lookup), ["metadata"], [merge_answer_metadata])
 
 
 def join_page_fetches(rows: DataFrame, fetches: DataFrame) -> DataFrame:
-    exploded = attach_page_fetches(explode_answers(rows), fetches)
-    return regroup_answers(exploded).select(*rows.columns)
+    found = find_page_fetches(answer_keys(rows), fetches)
+    return give_back(rows, found, ["http_fetch", "https_fetch"], [merge_page_fetches])
 
 
 def answer_ip_keys(rows: DataFrame) -> DataFrame:
@@ -164,9 +175,7 @@ def answer_ip_keys(rows: DataFrame) -> DataFrame:
 def enrich_answers(
     rows: DataFrame, tags: DataFrame, lookup: DataFrame, fetches: DataFrame
 ) -> DataFrame:
-    """All three answer joins with one explode and one regroup."""
-    exploded = explode_answers(rows)
-    tagged = attach_answer_tags(exploded, tags)
-    located = attach_answer_ip_metadata(tagged, lookup)
-    fetched = attach_page_fetches(located, fetches)
-    return regroup_answers(fetched).select(*rows.columns)
+    """All three answer joins with one explode of keys and one join back."""
+    found = find_page_fetches(find_ip_metadata(find_tags(answer_keys(rows), tags), lookup), fetches)
+    names = ["tag", "metadata", "http_fetch", "https_fetch"]
+    return give_back(rows, found, names, [merge_tags, merge_answer_metadata, merge_page_fetches])

@@ -38,29 +38,21 @@ def page_fetch_rows(lines: DataFrame, data: ReferenceData) -> DataFrame:
 
 
 def build_dns_table(
-    lines: DataFrame, data: ReferenceData, staging: str | None = None
+    lines: DataFrame, data: ReferenceData, staging: str = "dns"
 ) -> DataFrame:
     """DNS table of the ``file_path``, ``value`` lines of all files of a scan.
 
     The flattened rows feed the address lookups and the control counts besides the
-    table itself; with a ``staging`` name they are written once and read back.
+    table itself, so they are written once, under the ``staging`` name, and read back.
     """
     kinds = route_by_filename(lines)
-    rows = flatten_dns(kinds[OBSERVATIONS])
-    fetches = page_fetch_rows(kinds[PAGE_FETCHES], data)
-    if staging is not None:
-        rows = stage(rows, staging + "_rows")
-        fetches = stage(fetches, staging + "_fetches")
-    keys = rows.select("date", "ip").union(answer_ip_keys(rows))
-    lookup = data.ip_lookup(keys)
-    if staging is not None:
-        lookup = stage(lookup, staging + "_addresses")
+    rows = stage(flatten_dns(kinds[OBSERVATIONS]), staging)
+    fetches = stage(page_fetch_rows(kinds[PAGE_FETCHES], data), staging)
+    lookup = stage(data.ip_lookup(rows.select("date", "ip").union(answer_ip_keys(rows))), staging)
     rows = categorize_domain(rows, data.categories)
     rows = join_resolver_tags(
         rows, read_resolver_tags(kinds[RESOLVER_TAGS], data.country_names)
     )
     rows = join_row_ip_metadata(rows, lookup)
     rows = enrich_answers(rows, read_answer_tags(kinds[ANSWER_TAGS]), lookup, fetches)
-    if staging is not None:
-        rows = stage(rows, staging + "_enriched")
-    return dns_table(postprocess(rows))
+    return dns_table(postprocess(stage(rows, staging)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +51,7 @@ def write_json_export(table: DataFrame, path: str) -> None:
     """Gzip JSON under ``source=…/country=…``; both columns also stay in the records.
 
     A missing country becomes the folder ``country=None``. A large folder gets
-    several files.
+    several files. Exporting a source again replaces its folders and no others.
     """
     country = _cluster_columns(table)[0]
     exported = export_projection(table)
@@ -67,7 +69,8 @@ def write_json_export(table: DataFrame, path: str) -> None:
     )
     (
         records.hint("rebalance", "source", "country")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("source", "country")
         .option("compression", "gzip")
         .text(path)
@@ -83,13 +86,21 @@ def stage(rows: DataFrame, name: str, folder: str | None = None) -> DataFrame:
 
     Several later steps read different columns of the flattened rows; a written
     table spares parsing the raw lines again for each and survives lost executors.
+    Every call has a folder of its own, so two loads under one name never meet;
+    ``clear_staged`` removes those of a name.
     """
     spark: SparkSession = rows.sparkSession
-    path = f"{folder or shared_folder(spark)}/{name}"
-    rows.write.mode("overwrite").parquet(path)
+    path = f"{folder or shared_folder(spark)}/{name}/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def clear_staged(spark: SparkSession, name: str, folder: str | None = None) -> bool:
+    """Remove what was staged under a name, when no table read from it is used any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder or shared_folder(spark)}/{name}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def publish_table(table: DataFrame, name: str, version: str, path: str | None = None) -> None:
     """Save a versioned table and point the stable view at it."""
     ordered = ["source", "country_name", "domain", "network"]

@@ -33,7 +33,8 @@ def load_new_files(
     """
 
     def append(batch: DataFrame, number: int) -> None:
-        write_base_table(build(batch), f"{path}/batch={number}")
+        # A gzip file is read by one task: lines are dealt out before they are parsed.
+        write_base_table(build(batch.hint("rebalance")), f"{path}/batch={number}")
 
     return (
         lines.writeStream.trigger(availableNow=True)

@@ -7,6 +7,7 @@ from scanlake.functions.records import ip_metadata, record, response
 from scanlake.operators.answers import (
     enrich_answers,
     explode_answers,
+    join_answer_tags,
     join_page_fetches,
     join_resolver_tags,
     regroup_answers,
@@ -73,9 +74,30 @@ def test_enrichment_explodes_and_regroups_once(spark):
     assert (second.cert, second.ip_metadata.as_name, second.ip_metadata.asn, second.https_response) == ("c", "old", 7, None)
     plan = enriched._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("posexplode") == 1 and plan.count("collect_set") == 1
-    # Tags are for the older format only.
+
+
+def test_wide_rows_move_once(spark):
+    rows = dns_row(spark, "a", [answer("9.0.0.1")]).withColumn("wide", F.lit("w"))
+    tags = spark.createDataFrame([("s", "9.0.0.1", "h", None, "N", 5)], "source STRING, ip STRING, http STRING, cert STRING, as_name STRING, asn BIGINT")
+    kept = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    try:
+        for k in kept:
+            spark.conf.set(k, "-1")
+        plan = join_answer_tags(rows, tags)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in kept:
+            spark.conf.unset(k)
+    assert "BroadcastHashJoin" not in plan
+    # The wide column passes one exchange: the narrow branch does not have it.
+    wide = [line for line in plan.splitlines() if "wide" in line]
+    assert len(wide) <= 4 and plan.count("Exchange hashpartitioning") >= 3
+
+
+def test_tags_are_for_the_older_format(spark):
+    tags = spark.createDataFrame([("s", "9.0.0.1", "h", None, "N", 5)], "source STRING, ip STRING, http STRING, cert STRING, as_name STRING, asn BIGINT")
     newer = dns_row(spark, "a", [answer("9.0.0.1")], date="2021-06-24")
-    assert enrich_answers(newer, tags, lookup, fetches).first().received[0].http is None
+    assert join_answer_tags(newer, tags).first().received[0].http is None
+    assert join_answer_tags(dns_row(spark, "a", [answer("9.0.0.1")]), tags).first().received[0].http == "h"
 
 
 def test_first_fetch_wins_and_old_rows_get_none(spark):
