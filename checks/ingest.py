@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from checks.common import MEASUREMENTS, query, relation, shown, shown_sql
 from checks.flatten import json_text, s
 from scanlake.functions.paths import between_dates, scan_type_of, source_of
-from scanlake.operators.lines import is_malformed
 from scanlake.operators.probe import flatten_probe
 from scanlake.session import shared_folder
 from scanlake.sources.files import (
@@ -178,7 +178,7 @@ def guarded(spark, sf):
       CAST(sum(CASE WHEN event_type = 'error' THEN 0 ELSE user_id % 3 END) AS BIGINT) AS flattened FROM events""",
 )
 def counters(spark, sf):
-    """Counted while the rows are written, without a second pass."""
+    """Counted while the rows are written, without a second pass or parse."""
     c = F.col
     trip = json_text(matches_template=F.lit(True), start_time=s(F.to_date("ts")), end_time=s(F.to_date("ts")))
     top = json_text(vp=s("1.2.3.", c("user_id") % 256), test_url=c("event_type"), anomaly=F.lit(False))
@@ -189,10 +189,8 @@ def counters(spark, sf):
         s("d/Quack-http-2022-01-01/results.json").alias("file_path"),
         F.when(c("event_type") == "error", F.expr("left(top, 9)")).otherwise(text).alias("value"),
     )
-    read, line_counts = observed(
-        lines, F.count("*").alias("lines"), F.count_if(is_malformed(c("value"))).alias("malformed")
-    )
-    rows, row_counts = observed(flatten_probe(read), F.count("*").alias("flattened"))
+    line_counts = Observation()
+    rows, row_counts = observed(flatten_probe(lines, line_counts), F.count("*").alias("flattened"))
     rows.write.parquet(fresh_path(spark, "counted"))
     counts = line_counts.get | row_counts.get
     return spark.range(1).select(*[F.lit(counts[k]).cast("bigint").alias(k) for k in ("lines", "malformed", "flattened")])

@@ -6,7 +6,7 @@ the fields that the roundtrips of a line share are worked out per row afterwards
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from scanlake.constants import (
@@ -205,11 +205,11 @@ def _answer(item: Column, confidence: Column) -> Column:
     )
 
 
-def _flatten(lines: DataFrame, version: Column) -> DataFrame:
+def _flatten(lines: DataFrame, version: Column, counts: Observation | None = None) -> DataFrame:
     c = F.col
     v = c("version")
     timed = (F.trim("scan.start_time") != "") & (F.trim("scan.end_time") != "")
-    scans = skip_malformed(lines, DNS_LINE).withColumn("version", version)
+    scans = skip_malformed(lines, DNS_LINE, counts).withColumn("version", version)
     scans = _with_single_trips(scans, v == SINGLE)
     # Version 2 results without a start or an end are dropped.
     scans = _with_retry_trips(scans, (v == RETRIES) & timed)
@@ -323,7 +323,7 @@ def flatten_dns_control(lines: DataFrame) -> DataFrame:
     return _flatten(lines, F.lit(CONTROL))
 
 
-def flatten_dns(lines: DataFrame) -> DataFrame:
+def flatten_dns(lines: DataFrame, counts: Observation | None = None) -> DataFrame:
     """Rows of observation lines of any version, in one pass.
 
     The version follows from the path date, the file name and the row date.
@@ -335,4 +335,4 @@ def flatten_dns(lines: DataFrame) -> DataFrame:
         .when(F.substring("scan.start_time", 1, 10) < DNS_V2_2_START, RETRIES)
         .otherwise(ROUNDTRIPS)
     )
-    return _flatten(lines, version)
+    return _flatten(lines, version, counts)

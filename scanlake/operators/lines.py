@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from scanlake.constants import (
@@ -23,20 +23,20 @@ def _is_valid(scan: Column) -> Column:
     return scan.isNotNull() & scan["_corrupt_record"].isNull()
 
 
-def skip_malformed(lines: DataFrame, schema: str) -> DataFrame:
+def skip_malformed(lines: DataFrame, schema: str, counts: Observation | None = None) -> DataFrame:
     """Add ``scan``, the parsed line, and drop lines that are not valid JSON.
 
     ``lines`` has ``file_path`` and ``value``. The schema must end in
     ``_corrupt_record STRING``. The generator keeps the parser from being copied
-    into a pushed-down filter, so each line is parsed once.
+    into a pushed-down filter, so each line is parsed once; ``counts`` gets the number
+    of ``lines`` and of ``malformed`` ones from the same parse.
     """
     parsed = F.array(parse_json(F.col("value"), schema))
-    return lines.select("*", F.explode(F.filter(parsed, _is_valid)).alias("scan"))
-
-
-def is_malformed(line: Column) -> Column:
-    """True for a line that is not valid JSON."""
-    return ~F.coalesce(_is_valid(parse_json(line, "_corrupt_record STRING")), F.lit(False))
+    if counts is None:
+        return lines.select("*", F.explode(F.filter(parsed, _is_valid)).alias("scan"))
+    valid = F.coalesce(_is_valid(F.col("scan")), F.lit(False))
+    scans = lines.select("*", F.explode(parsed).alias("scan"))
+    return scans.observe(counts, F.count(F.lit(1)).alias("lines"), F.count_if(~valid).alias("malformed")).filter(valid)
 
 
 def tests_before(tests: Column, index: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from scanlake.operators.answers import (
@@ -38,15 +38,16 @@ def page_fetch_rows(lines: DataFrame, data: ReferenceData) -> DataFrame:
 
 
 def build_dns_table(
-    lines: DataFrame, data: ReferenceData, staging: str = "dns"
+    lines: DataFrame, data: ReferenceData, staging: str = "dns", counts: Observation | None = None
 ) -> DataFrame:
     """DNS table of the ``file_path``, ``value`` lines of all files of a scan.
 
     The flattened rows feed the address lookups and the control counts besides the
-    table itself, so they are written once, under the ``staging`` name, and read back.
+    table itself, so they are written once, under the ``staging`` name, and read back;
+    ``counts`` gets lines and malformed lines of measurements.
     """
     kinds = route_by_filename(lines)
-    rows = stage(flatten_dns(kinds[OBSERVATIONS]), staging)
+    rows = stage(flatten_dns(kinds[OBSERVATIONS], counts), staging)
     fetches = stage(page_fetch_rows(kinds[PAGE_FETCHES], data), staging)
     lookup = stage(data.ip_lookup(rows.select("date", "ip").union(answer_ip_keys(rows))), staging)
     rows = categorize_domain(rows, data.categories)

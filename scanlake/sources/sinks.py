@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,11 +38,26 @@ def observed(rows: DataFrame, *metrics) -> tuple[DataFrame, Observation]:
     return rows.observe(observation, *metrics), observation
 
 
+def counts_of(observation: Observation, *names: str) -> list[int]:
+    """Counts that an action reported; zeros if it had no rows at all.
+
+    Adaptive execution replaces a plan that turns out empty by an empty relation, and the
+    node that counts goes with it; the report is then an empty row, which cannot be read.
+    """
+    try:
+        found = observation.get
+    except Py4JJavaError as error:
+        if "PythonSQLUtils.toPyRow" not in str(error):
+            raise
+        found = {}
+    return [found.get(name) or 0 for name in names]
+
+
 def fail_if_empty(table: DataFrame, path: str, append: bool = False) -> int:
     """Write a table, counting on the way; an empty result is an error. Returns the count."""
     counted, observation = observed(table, F.count(F.lit(1)).alias("rows"))
     write_base_table(counted, path, append)
-    rows = observation.get["rows"]
+    (rows,) = counts_of(observation, "rows")
     if rows == 0:
         raise EmptyResult("zero rows were created although there were new files")
     return rows

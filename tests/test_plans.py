@@ -11,6 +11,7 @@ from scanlake.constants import OBSERVATION_FILES
 from scanlake.operators.signatures import Signature
 from scanlake.plans.dashboard import build_dashboard
 from scanlake.plans.dns_table import build_dns_table
+from scanlake.plans.load import load_scan
 from scanlake.plans.probe_table import ReferenceData, build_probe_table
 from scanlake.schemas import DNS_TABLE, PROBE_TABLE
 from scanlake.sources.files import (
@@ -181,6 +182,45 @@ def test_dashboard(spark, dns, probe, data):
     assert spark.table("reduced_scans").count() == 2 and spark.table("reduced_scans_v1").count() == 2
 
 
+def test_load_scan(spark, store, data, tmp_path):
+    table, out = str(tmp_path / "probe"), str(tmp_path / "out")
+    put(
+        store, "load/Quack-https-2022-06-02-01/results.json.gz", probe_line("8.8.8.8", error="read: i/o timeout"),
+        probe_line("77.0.0.1", anomaly=False), "broken\n",
+    )
+    assert load_scan(spark, f"{store}/load", "https", data, table, out) == (1, 3, 1, 2, 1)
+    assert load_scan(spark, f"{store}/load", "https", data, table, out) == (0, 0, 0, 0, 0)
+    put(store, "load/Quack-https-2022-06-05-01/results.json", probe_line("5.1.1.1"))
+    assert load_scan(spark, f"{store}/load", "https", data, table, out) == (1, 1, 0, 1, 1)
+    assert spark.read.parquet(table).count() == 3
+    assert {r.source for r in exported_sources(list_files(spark, out)).collect()} == {"Quack-https-2022-06-02-01", "Quack-https-2022-06-05-01"}
+    put(store, "load/Quack-https-2022-06-06-01/results.json", "broken, and long enough to be read as a file\n")
+    with pytest.raises(EmptyResult):
+        load_scan(spark, f"{store}/load", "https", data, table, out)
+    report = load_scan(spark, f"{store}/satellite", "satellite", data, str(tmp_path / "dns"))
+    assert report == (5, 3, 0, 3, 2)
+
+
+def test_repeated_exports_replace_their_folders(spark, probe, tmp_path):
+    out = str(tmp_path / "export")
+    for _ in range(2):
+        write_json_export(probe, out)
+    assert spark.read.option("recursiveFileLookup", "true").text(out).count() == probe.count()
+
+
+def test_last_line_of_a_key_wins(spark, store):
+    types = put(store, "twice/types.txt", "7|x|Old\n", "8|x|Other\n", "7|x|New\n")
+    assert {(r.asn, r.as_class) for r in read_as_types(spark, types).collect()} == {(7, "New"), (8, "Other")}
+    categories = put(store, "twice/categories.csv", "a.com,One\n", "a.com,Two\n")
+    assert [tuple(r) for r in read_categories(spark, categories).collect()] == [("a.com", "Two")]
+    names = put(store, "twice/names.csv", "Old Land,OL\n", "New Land,OL\n")
+    assert [tuple(r) for r in read_country_names(spark, names).collect()] == [("New Land", "OL")]
+    lines = spark.createDataFrame(
+        [(1, "O|1|First|AA|s"), (2, "5|1|OLD|O|x|s"), (3, "O|2|Second|BB|s"), (4, "5|2|NEW|O|x|s")], "line INT, value STRING"
+    ).repartition(3)
+    assert [tuple(r) for r in parse_two_section_file(lines).collect()] == [(5, "NEW", "Second", "BB")]
+
+
 def test_tables_and_exports(spark, probe, dns, tmp_path):
     path = str(tmp_path / "table")
     assert fail_if_empty(probe, path) == 3
