@@ -26,11 +26,7 @@ def test_every_surveyed_key_has_a_query_with_sql():
 
 
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
-@pytest.mark.parametrize(
-    "key",
-    ["probe_outcome_counts", "join_answer_tags", "match_signatures", "reduce_scans", "log_normalize", "range_join_org",
-     "keep_last_retry", "longest_prefix_match"],
-)
+@pytest.mark.parametrize("key", sorted(REGISTRY))
 def test_plans_scale(spark, key):
     plan = driver.queries()[key](spark, TABLES)._jdf.queryExecution().executedPlan().toString()
     for operator in ("BroadcastNestedLoopJoin", "CartesianProduct", "PythonUDF", "ArrowEvalPython", "MapInPandas", "BatchEvalPython"):
