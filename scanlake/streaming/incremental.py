@@ -1,4 +1,4 @@
-"""Incremental load as a file stream: every file is loaded once."""
+"""Incremental load as a file stream: the stream tells which sources have new files."""
 
 from __future__ import annotations
 
@@ -8,37 +8,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from scanlake.functions.paths import filename_matches
+from scanlake.functions.paths import filename_matches, source_of
+from scanlake.sources.files import list_files, read_lines
 from scanlake.sources.sinks import write_base_table
 
+#: Columns of a file as the binary source has them; only the path is used.
+FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
-def stream_lines(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame:
-    """New lines of files with one of the given names, with their path."""
-    lines = (
-        spark.readStream.format("text")
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-        .select(F.col("_metadata.file_path").alias("file_path"), "value")
-    )
-    return lines.filter(filename_matches(F.col("file_path"), list(names)) & (F.col("value") != ""))
+
+def stream_files(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame:
+    """``path`` and ``source`` of new files with one of the given names; contents are not read."""
+    files = spark.readStream.format("binaryFile").schema(FILE).option("recursiveFileLookup", "true").load(folder).select("path")
+    return files.filter(filename_matches(F.col("path"), list(names))).withColumn("source", source_of(F.col("path")))
 
 
 def load_new_files(
-    lines: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+    spark: SparkSession,
+    folder: str,
+    names: Sequence[str],
+    build: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
 ) -> StreamingQuery:
-    """Add what ``build`` makes of all files that arrived since the last run, then stop.
+    """Bring the table up to date with all files that arrived since the last run, then stop.
 
-    Each batch owns the folder of its number, so a batch that is repeated after a
-    failure replaces its own output and nothing is loaded twice.
+    The files of a source belong together (measurements, tags, page fetches), so a source
+    with a new file is built anew from all its files. It owns the folder of its name, which
+    that replaces: arriving in parts gives the same table as arriving at once, and a batch
+    that is repeated after a failure loads nothing twice.
     """
 
-    def append(batch: DataFrame, number: int) -> None:
-        # A gzip file is read by one task: lines are dealt out before they are parsed.
-        write_base_table(build(batch.hint("rebalance")), f"{path}/batch={number}")
+    def renew(batch: DataFrame, number: int) -> None:
+        # One name per scan folder with new files.
+        sources = [row["source"] for row in batch.select("source").distinct().toLocalIterator()]
+        listed = list_files(spark, folder).filter(filename_matches(F.col("path"), list(names)))
+        listed = listed.withColumn("source", source_of(F.col("path")))
+        for source in sources:
+            paths = [row["path"] for row in listed.filter(F.col("source") == source).select("path").toLocalIterator()]
+            write_base_table(build(read_lines(spark, paths)), f"{path}/load={source}")
 
     return (
-        lines.writeStream.trigger(availableNow=True)
+        stream_files(spark, folder, names)
+        .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(append)
+        .foreachBatch(renew)
         .start()
     )

@@ -39,7 +39,7 @@ from scanlake.sources.sinks import (
     write_base_table,
     write_json_export,
 )
-from scanlake.streaming.incremental import load_new_files, stream_lines
+from scanlake.streaming.incremental import load_new_files
 
 
 def put(folder, name, *lines):
@@ -243,22 +243,30 @@ def test_tables_and_exports(spark, probe, dns, tmp_path):
     assert spark.read.csv(str(tmp_path / "csv"), header=True).columns == ["domain", "outcome"]
 
 
-def test_every_file_is_streamed_once(spark, tmp_path):
+def test_sources_are_renewed_as_their_files_arrive(spark, tmp_path):
     put(tmp_path, "in/Satellite-2022-06-02/results.json", {"a": 1}, {"a": 2})
     put(tmp_path, "in/Satellite-2022-06-02/notes.json", {"a": 3})
-    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    out, checkpoint, built = str(tmp_path / "out"), str(tmp_path / "checkpoint"), []
 
     def build(lines):
-        return lines.select(F.lit("2022-06-02").cast("date").alias("date"), "value")
+        """Every row knows how many lines its source has, as rows know the tags of their source."""
+        built.append(1)
+        whole = lines.select(F.count("*").alias("lines"))
+        return lines.crossJoin(F.broadcast(whole)).select(F.lit("2022-06-02").cast("date").alias("date"), "value", "lines")
 
-    def run():
-        load_new_files(stream_lines(spark, str(tmp_path / "in"), OBSERVATION_FILES), build, out, checkpoint).awaitTermination()
-        return sorted(r.value for r in spark.read.parquet(out).collect())
+    def run(target=out, mark=checkpoint):
+        load_new_files(spark, str(tmp_path / "in"), OBSERVATION_FILES, build, target, mark).awaitTermination()
+        return sorted((r.value, r.lines) for r in spark.read.parquet(target).collect())
 
-    assert run() == ['{"a": 1}', '{"a": 2}']
+    assert run() == [('{"a": 1}', 2), ('{"a": 2}', 2)]
     put(tmp_path, "in/Satellite-2022-06-03/results.json.gz", {"a": 4})
-    assert run() == ['{"a": 1}', '{"a": 2}', '{"a": 4}']
-    assert run() == ['{"a": 1}', '{"a": 2}', '{"a": 4}']
+    assert run() == [('{"a": 1}', 2), ('{"a": 2}', 2), ('{"a": 4}', 1)]
+    assert run() == [('{"a": 1}', 2), ('{"a": 2}', 2), ('{"a": 4}', 1)] and len(built) == 2
+    # The rest of the first source arrives in a later run: the table is that of one run.
+    put(tmp_path, "in/Satellite-2022-06-02/interference.json", {"a": 5})
+    later = run()
+    assert later == [('{"a": 1}', 3), ('{"a": 2}', 3), ('{"a": 4}', 1), ('{"a": 5}', 3)] and len(built) == 3
+    assert run(str(tmp_path / "once"), str(tmp_path / "once-checkpoint")) == later
 
 
 def test_ranked_lists_are_numbered(spark, tmp_path):
