@@ -8,7 +8,7 @@ however long, settles the tags: windows are reconciled globally, not cut at bord
 
 It is trained on the driver, in numpy, on labelled spans: samples of each kind in many
 spellings (with look-alikes as negatives) set into stretches of at most ``SAMPLE``
-documents, those with the smallest hashed ids; pattern matches in these stretches are
+documents, the smallest hashed id of each of as many buckets; pattern matches in these stretches are
 labelled too. The model is a few thousand numbers and travels in the task.
 
 Defined cases: a null text is empty; offsets are code points; a network span that meets
@@ -269,8 +269,9 @@ def contexts_of(docs: DataFrame, doc_id: str, text: str, most: int = SAMPLE) ->
     length = F.greatest(F.length(text) - 400, F.lit(0))
     start = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.lit(1)), length + 1).cast("int") + 1
     piece = F.substr(F.col(text), start, F.lit(400))
-    rows = docs.where(F.length(text) > 0).select(hashed.alias("h"), piece.alias("piece")).orderBy("h", "piece").limit(most).collect()
-    return [r["piece"] for r in rows]
+    rows = docs.where(F.length(text) > 0).select(F.pmod(hashed, F.lit(most)).alias("bucket"), F.struct(hashed.alias("h"), piece.alias("piece")).alias("one"))
+    # The smallest hash of each of so many buckets: tasks send partial minima, the driver gets one row a bucket.
+    return [r["piece"] for r in rows.groupBy("bucket").agg(F.min("one").alias("one")).select("bucket", "one.piece").orderBy("bucket").collect()]
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = SAMPLE) -> dict[str, np.ndarray]:
