@@ -30,8 +30,8 @@ from scanlake.llm.common import free_name, ready, written
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
 RUNS = (3, 5)
-#: Labelled good documents used at most, those with the smallest hashed ids.
-MAX_LABELLED = 20_000
+#: Labelled good documents used at most: of so many hash buckets the smallest one each.
+MAX_LABELLED = 50_000
 KEEP_TARGET = 0.995
 SEED = 11
 #: Fixed point of ranked weights, and bits of a rank.
@@ -81,8 +81,9 @@ def log_ratios(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
 def labelled_good(labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
     """At most ``most`` ids whose lowest quality label is 1."""
     known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    good = known.where("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return good.select(F.col("doc_id").cast("bigint").alias("good_id"))
+    hashed = F.xxhash64("doc_id")
+    good = known.where("quality = 1").groupBy(F.pmod(hashed, F.lit(most)).alias("bucket"))
+    return good.agg(F.min(F.struct(hashed.alias("h"), F.col("doc_id").cast("bigint").alias("id"))).alias("one")).select(F.col("one.id").alias("good_id"))
 
 
 def weight_column(spark, ratios: np.ndarray, text: Column) -> Column:
@@ -128,10 +129,11 @@ def resampled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     ``carry`` all columns of docs are there, otherwise only the id.
     """
     spark = ready(docs.sparkSession)
-    good = F.broadcast(labelled_good(labels))  # MAX_LABELLED rows at most
+    good_id = free_name(docs.columns, "good_id")
+    good = F.broadcast(labelled_good(labels).toDF(good_id))  # MAX_LABELLED rows at most
     weight, drawn, stays, flag = (free_name(docs.columns, n) for n in ("log_weight", "drawn_weight", "selected", "labelled_good"))
-    marked = docs.join(good, docs[doc_id].cast("bigint") == good["good_id"], "left")
-    marked = marked.withColumn(flag, F.col("good_id").isNotNull()).select(*[docs[c] for c in docs.columns], flag)
+    marked = docs.join(good, docs[doc_id].cast("bigint") == good[good_id], "left")
+    marked = marked.withColumn(flag, F.col(good_id).isNotNull()).drop(good_id)
     counts = marked.select(F.col(text).cast("string"), flag).mapInArrow(_count, "bucket BIGINT, raw BIGINT, target BIGINT")
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for bucket, r, t in counts.groupBy("bucket").agg(F.sum("raw"), F.sum("target")).collect():  # BUCKETS rows at most
