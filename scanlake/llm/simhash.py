@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scanlake.llm.common import ready, written
+from scanlake.llm.common import free_name, ready, written
 from scanlake.operators.joins import lookup_join
 
 SHINGLE = 3
@@ -157,5 +157,6 @@ def drop_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     A document without a doc_id stays only if its component has no doc_id at all.
     """
     groups = near_groups(docs, doc_id, text)
-    dropped = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, docs[doc_id].cast("bigint").eqNullSafe(dropped["__dropped"]), "left_anti")
+    name = free_name(docs.columns, "dropped")
+    dropped = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(dropped, docs[doc_id].cast("bigint").eqNullSafe(dropped[name]), "left_anti")
