@@ -19,7 +19,13 @@ from scanlake.sources.files import (
     reconcile_sources,
     select_input_files,
 )
-from scanlake.sources.reference_data import completeness_check, parse_two_section_file
+from scanlake.sources.reference_data import (
+    completeness_check,
+    parse_two_section_file,
+    read_as_types,
+    read_categories,
+    read_country_names,
+)
 from scanlake.sources.sinks import fail_if_empty, observed, write_base_table
 
 # One file per order, of several scan types and names.
@@ -194,3 +200,33 @@ def counters(spark, sf):
     rows.write.parquet(fresh_path(spark, "counted"))
     counts = line_counts.get | row_counts.get
     return spark.range(1).select(*[F.lit(counts[k]).cast("bigint").alias(k) for k in ("lines", "malformed", "flattened")])
+
+
+# Side files with repeated keys, written in the order of the parts: the last line of a key counts.
+SIDE = """SELECT p_partkey, 'dom' || p_partkey % 70 AS domain, p_partkey % 90 AS asn, 'kind ' || p_brand AS label FROM {part}"""
+
+
+def side_file(spark, sf, name: str, *columns, sep: str = ",") -> str:
+    """A file of several parts whose names follow the order of their lines."""
+    path = fresh_path(spark, name)
+    relation(spark, sf, SIDE).orderBy("p_partkey").select(*columns).write.option("sep", sep).csv(path)
+    return path
+
+
+@query("read_categories", "SELECT 'dom' || p_partkey % 70 AS domain, arg_max('kind ' || p_brand, p_partkey) AS category FROM part GROUP BY 1")
+def categories(spark, sf):
+    return read_categories(spark, side_file(spark, sf, "categories", "domain", "label"))
+
+
+@query("read_as_types", "SELECT p_partkey % 90 AS asn, arg_max('kind ' || p_brand, p_partkey) AS as_class FROM part GROUP BY 1")
+def as_types(spark, sf):
+    return read_as_types(spark, side_file(spark, sf, "types", "asn", F.lit("origin"), "label", sep="|"))
+
+
+@query(
+    "read_country_names",
+    "SELECT 'dom' || p_partkey % 70 AS country_code, arg_max('kind ' || p_brand || ', of ' || p_partkey, p_partkey) AS country_name FROM part GROUP BY 1",
+)
+def country_list(spark, sf):
+    name = s(F.col("label"), ", of ", F.col("p_partkey"))
+    return read_country_names(spark, side_file(spark, sf, "countries", name, "domain"))
