@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from scanlake.llm.common import ready
 
 #: Entries of a generation of memoised pieces, and of the memo of pairs before it is emptied.
-PIECES = 300_000
+PIECES = 120_000
 PAIRS = 1_000_000
 #: Longest piece that is memoised.
 MEMO_CHARS = 64

@@ -39,6 +39,8 @@ def ready(spark: SparkSession) -> SparkSession:
             file.write(data.getvalue())
         context.addPyFile(place)
         _shipped.add(context.applicationId)
+    # A worker holds a batch of texts, their ids and their bytes at once: rows are long.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return configure(spark)
 
 
