@@ -16,7 +16,9 @@ label near it, and labels are shortened by one more hop) over written tables.
 Defined cases: a null text counts as empty; no word gives fingerprint zero; a null
 doc_id takes part and is smaller than no other (component_id is the smallest non-null
 doc_id of the component, null if there is none); repeated rows are given back as often
-as they come; an empty table gives an empty result; other columns are ignored.
+as they come; an empty table gives an empty result; other columns are ignored. Where
+documents are dropped, rows are told apart by a digest of all their columns, never by
+doc_id alone.
 """
 
 from __future__ import annotations
@@ -63,7 +65,9 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+        carried = batch.schema.names[2:]
+        columns = [batch.column(0), *batch.columns[2:], pa.array(found.view(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *carried, "fp"])
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -132,12 +136,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", segments: int = SEGMENTS) -> DataFrame:
-    """One row per document: doc_id, fp, fingerprint (hex), component_id, n_links.
-
-    n_links counts the other distinct fingerprints within 2 bits.
-    """
-    found = written(fingerprints(docs, doc_id, text), "fingerprints")
+def labelled(found: DataFrame, segments: int = SEGMENTS) -> DataFrame:
+    """One row per fingerprint: fp, class (the smallest fingerprint of its component), component_id, n_links."""
     distinct = written(found.groupBy("fp").agg(F.min("doc_id").alias("low_id")), "distinct-fingerprints")
     pairs = written(links(distinct.select("fp"), segments), "fingerprint-links")
     labels = components(pairs)
@@ -146,17 +146,42 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", seg
     classes = classes.select("fp", "low_id", F.coalesce("label", "fp").alias("class"))
     smallest = classes.groupBy("class").agg(F.min("low_id").alias("component_id"))
     known = lookup_join(lookup_join(classes, smallest, ["class"]), degree, ["fp"])
-    known = known.select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return known.select("fp", "class", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", segments: int = SEGMENTS) -> DataFrame:
+    """One row per document: doc_id, fp, fingerprint (hex), component_id, n_links.
+
+    n_links counts the other distinct fingerprints within 2 bits.
+    """
+    found = written(fingerprints(docs, doc_id, text), "fingerprints")
+    known = labelled(found, segments).select("fp", "component_id", "n_links")
     # A third of all rows may have one fingerprint; such a lookup join can be split.
     return lookup_join(found, known, ["fp"], "inner").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
 
 
 def drop_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with all their columns; of each component the smallest doc_id stays.
+    """The documents with all their columns; of each component one row stays.
 
-    A document without a doc_id stays only if its component has no doc_id at all.
+    It is one of smallest doc_id, or without any if the component has no doc_id at all; of
+    several such rows that with the smallest digest of its columns. Of rows that are equal
+    in all columns it makes no difference which one stays.
     """
-    groups = near_groups(docs, doc_id, text)
-    name = free_name(docs.columns, "dropped")
-    dropped = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(dropped, docs[doc_id].cast("bigint").eqNullSafe(dropped[name]), "left_anti")
+    ready(docs.sparkSession)
+    row = F.coalesce(F.unhex(F.sha2(F.to_json(F.struct("*")), 256)), F.lit(b""))
+    narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), row.alias("row"))
+    found = written(narrow.mapInArrow(_fingerprints, "doc_id BIGINT, row BINARY, fp BIGINT"), "fingerprints")
+    classes = lookup_join(found, labelled(found).select("fp", "class"), ["fp"], "inner")
+    times = classes.groupBy("class", "doc_id", "row").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row", "n"))
+    name = free_name(docs.columns, "row")
+    stays = times.groupBy("class").agg(first.alias("first")).select(F.col("first.row").alias(name), F.col("first.n").alias("n"))
+    stays = written(stays, "near-keepers")
+    keyed = docs.select("*", row.alias(name))
+    kept = lookup_join(keyed, stays.where("n = 1").select(name), [name], "left_semi").drop(name)
+    if stays.where("n > 1").isEmpty():
+        return kept
+    # Rows that come more than once as a whole: one of each, by partial aggregates.
+    equal = lookup_join(keyed, stays.where("n > 1").select(name), [name], "left_semi")
+    one = equal.groupBy(name).agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("one"))
+    return kept.union(one.select("one.*"))

@@ -114,6 +114,25 @@ def test_near_groups(odd_docs, no_docs):
     assert {r.doc_id for r in kept.collect()} == {c for _, _, c in brute_components(prints) if c is not None}
 
 
+def test_drop_near_decides_by_row(spark):
+    words = "the quick brown fox jumps over the lazy dog near the river bank and then it sleeps".split()
+    near, unique, other = " ".join(words), "an entirely different line of words", "something else again that nobody has written before"
+    bare, twice = "these words have no id at all in any copy", "this text comes back in the very same row"
+    rows = [
+        (1, near, "a"), (5, near.upper(), "b"), (None, near, "c"),  # null id in a component with ids
+        (None, unique, "d"),  # a unique text without an id
+        (5, other, "e"),  # the id of a dropped row, with a text of its own
+        (None, bare, "f"), (None, bare.upper(), "g"), (None, bare, "f"),  # copies without any id
+        (9, twice, "h"), (9, twice, "h"), (9, twice, "i"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, row STRING").repartition(3)
+    found = [tuple(r) for r in simhash.drop_near(docs).collect()]
+    assert found.count((1, near, "a")) == found.count((None, unique, "d")) == found.count((5, other, "e")) == 1
+    assert sum(r[1].lower() == bare for r in found) == sum(r[:2] == (9, twice) for r in found) == 1
+    assert len(found) == 5 and set(found) <= set(rows)
+    assert Counter(found) == Counter(tuple(r) for r in simhash.drop_near(docs.repartition(5)).collect())
+
+
 def test_links_and_chains(spark):
     rng = random.Random(5)
     prints = {0, (1 << 64) - 1}
