@@ -141,3 +141,26 @@ def viterbi(emitted: np.ndarray, moves: np.ndarray) -> np.ndarray:
     for t in range(steps - 1, 0, -1):
         path[:, t - 1] = came[np.arange(n), t, path[:, t]]
     return path
+
+
+def viterbi_blocks(blocks, moves: np.ndarray) -> np.ndarray:
+    """Best tag path of one row of scores that comes in blocks (t, tags): only a byte a place and tag is kept."""
+    best, came = None, []
+    for block in blocks:
+        back = np.zeros(block.shape, np.int8)
+        for t, emitted in enumerate(block.astype(np.float64)):
+            if best is None:
+                best = emitted
+                continue
+            options = best[:, None] + moves
+            back[t] = options.argmax(axis=0)
+            best = options.max(axis=0) + emitted
+        came.append(back)
+    tag, paths = int(best.argmax()), []
+    for back in reversed(came):
+        path = np.empty(len(back), np.int8)
+        for t in range(len(back) - 1, -1, -1):
+            path[t] = tag
+            tag = int(back[t, tag])
+        paths.append(path)
+    return np.concatenate(paths[::-1])

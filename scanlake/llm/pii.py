@@ -44,6 +44,8 @@ WINDOW, STRIDE, REACH = 64, 32, 24
 HIDDEN, EPOCHS, SEED = 16, 7, 5
 #: Documents whose stretches serve as context in training, and windows trained on.
 SAMPLE, TRAINED = 300, 2600
+#: Padded places that stretches are tagged in at once, and the length from which a stretch is tagged alone.
+CELLS, LONG = 1 << 18, 1 << 15
 TAGS = 1 + 2 * len(KINDS)  # outside; first and further characters of each kind
 IMPOSSIBLE = -1e4
 
@@ -123,9 +125,62 @@ def allowed_moves(moves: np.ndarray) -> np.ndarray:
 _CENTRAL = np.minimum(np.arange(WINDOW) + 1, WINDOW - np.arange(WINDOW)).astype(np.float32)
 
 
+def window_starts(length: int) -> list[int]:
+    return list(range(0, max(1, length - WINDOW + STRIDE), STRIDE))
+
+
+def blended_blocks(model: dict[str, np.ndarray], piece: np.ndarray) -> Iterator[np.ndarray]:
+    """Blended scores of a long piece in order, some thousand places at a time."""
+    at, many = window_starts(len(piece)), 1024
+    over = np.zeros((WINDOW, TAGS), np.float32), np.zeros((WINDOW, 1), np.float32)  # what earlier windows left
+    for i in range(0, len(at), many):
+        part = at[i : i + many]
+        windows = np.zeros((len(part), WINDOW), np.int64)
+        for row, s in enumerate(part):
+            shown = piece[s : s + WINDOW]
+            windows[row, : len(shown)] = shown
+        emitted = lstm_crf.scores(model, windows)
+        size = part[-1] - part[0] + WINDOW
+        total, weight = np.zeros((size, TAGS), np.float32), np.zeros((size, 1), np.float32)
+        total[: WINDOW - STRIDE], weight[: WINDOW - STRIDE] = over[0][: WINDOW - STRIDE], over[1][: WINDOW - STRIDE]
+        for row, s in enumerate(part):
+            total[s - part[0] : s - part[0] + WINDOW] += emitted[row] * _CENTRAL[:, None]
+            weight[s - part[0] : s - part[0] + WINDOW] += _CENTRAL[:, None]
+        ready_to = len(part) * STRIDE if i + many < len(at) else len(piece) - part[0]
+        yield total[:ready_to] / weight[:ready_to]
+        over = total[ready_to:], weight[ready_to:]
+
+
 def tag_stretches(model: dict[str, np.ndarray], pieces: list[np.ndarray]) -> list[np.ndarray]:
-    """Tags of each piece (symbols of a stretch): blended window scores, one path per piece."""
-    starts = [list(range(0, max(1, len(p) - WINDOW + STRIDE), STRIDE)) for p in pieces]
+    """Tags of each piece (symbols of a stretch): blended window scores, one path per piece.
+
+    Pieces of like length go together, as many as have CELLS places when padded; a long
+    piece goes alone and in blocks. So memory does not grow with what else is there.
+    """
+    moves = allowed_moves(model["moves"])
+    tags: list[np.ndarray] = [np.zeros(0, np.int8)] * len(pieces)
+    order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
+    while order and len(pieces[order[-1]]) > LONG:
+        which = order.pop()
+        tags[which] = lstm_crf.viterbi_blocks(_opened(blended_blocks(model, pieces[which])), moves)
+    while order:
+        many = max(1, CELLS // max(1, len(pieces[order[-1]])))
+        order, group = order[:-many], order[-many:]
+        for which, path in zip(group, _paths(model, [pieces[i] for i in group], moves)):
+            tags[which] = path
+    return tags
+
+
+def _opened(blocks: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+    for i, block in enumerate(blocks):
+        if i == 0:
+            block[0, 2::2] += IMPOSSIBLE  # nothing begins with a further character
+        yield block
+
+
+def _paths(model: dict[str, np.ndarray], pieces: list[np.ndarray], moves: np.ndarray) -> list[np.ndarray]:
+    """Tags of pieces that are padded to the longest one."""
+    starts = [window_starts(len(p)) for p in pieces]
     windows = np.zeros((sum(map(len, starts)), WINDOW), np.int64)
     row = 0
     for piece, at in zip(pieces, starts):
@@ -134,29 +189,19 @@ def tag_stretches(model: dict[str, np.ndarray], pieces: list[np.ndarray]) -> lis
             windows[row, : len(part)] = part
             row += 1
     emitted = np.concatenate([lstm_crf.scores(model, windows[i : i + 1024]) for i in range(0, len(windows), 1024)])
-    blended, row = [], 0
-    for piece, at in zip(pieces, starts):
+    padded = np.zeros((len(pieces), max(map(len, pieces)), TAGS), np.float32)
+    padded[:, :, 1:] = IMPOSSIBLE  # behind its end a piece is outside
+    row = 0
+    for i, (piece, at) in enumerate(zip(pieces, starts)):
         size = at[-1] + WINDOW
         total, weight = np.zeros((size, TAGS), np.float32), np.zeros((size, 1), np.float32)
         for s in at:
             total[s : s + WINDOW] += emitted[row] * _CENTRAL[:, None]
             weight[s : s + WINDOW] += _CENTRAL[:, None]
             row += 1
-        blended.append((total / weight)[: len(piece)])
-    moves = allowed_moves(model["moves"])
-    tags: list[np.ndarray] = [np.zeros(0, np.int8)] * len(pieces)
-    order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
-    for start in range(0, len(order), 256):
-        group = order[start : start + 256]
-        longest = len(pieces[group[-1]])
-        padded = np.zeros((len(group), longest, TAGS), np.float32)
-        padded[:, :, 1:] = IMPOSSIBLE  # behind its end a piece is outside
-        for i, which in enumerate(group):
-            padded[i, : len(pieces[which])] = blended[which]
-        padded[:, 0, 2::2] += IMPOSSIBLE  # nothing begins with a further character
-        for which, path in zip(group, lstm_crf.viterbi(padded, moves)):
-            tags[which] = path[: len(pieces[which])]
-    return tags
+        padded[i, : len(piece)] = (total / weight)[: len(piece)]
+    padded[:, 0, 2::2] += IMPOSSIBLE  # nothing begins with a further character
+    return [path[: len(piece)] for piece, path in zip(pieces, lstm_crf.viterbi(padded, moves))]
 
 
 def tagged_spans(tags: np.ndarray) -> list[tuple[int, int, int]]:
@@ -200,11 +245,17 @@ def network_spans(model: dict[str, np.ndarray], texts: list[str], known: list[li
             pieces.append(SYMBOL[codes[start:end]])
     added: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     if pieces:
+        covered: dict[int, bytearray] = {}  # places of known and added spans, of one text at a time
         for (i, offset), tags in zip(places, tag_stretches(model, pieces)):
+            if i not in covered:
+                covered = {i: bytearray(len(texts[i]))}
+                for s, _, e in known[i]:
+                    covered[i][s:e] = b"\1" * (e - s)
             for start, kind, end in tagged_spans(tags):
                 run = whole_run(texts[i], start + offset, end + offset)
-                if run and plausible(kind, texts[i][slice(*run)]) and not any(run[0] < e and s < run[1] for s, _, e in known[i] + added[i]):
+                if run and plausible(kind, texts[i][slice(*run)]) and not any(covered[i][slice(*run)]):
                     added[i].append((run[0], kind, run[1]))
+                    covered[i][slice(*run)] = b"\1" * (run[1] - run[0])
     return added
 
 

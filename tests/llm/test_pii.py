@@ -101,6 +101,39 @@ def test_windows_agree_over_long_stretches(model):
     assert len(spans) > 150 and all(text[s:e] == "4929118000001234" for s, _, e in spans)
 
 
+def test_long_stretch_among_short_ones(model):
+    import tracemalloc
+
+    long = "call 4929118000001234, or " * 13_000  # one stretch of 325,000 characters
+    short = [f"the thing and {i} call (614) 555-80{i % 100:02d} and so on" for i in range(255)]
+    tracemalloc.start()
+    found = pii.network_spans(model, [long, *short], [[]] * 256)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
+    assert found[1:] == pii.network_spans(model, short, [[]] * 255)
+    assert sum(long[s:e] == "4929118000001234" for s, _, e in found[0]) > 9000
+
+
+def test_blocks_give_the_same_path(model):
+    rng = np.random.default_rng(4)
+    for n in (5, 64, 65, 32_768, 32_768 + 31, 70_000):
+        piece = rng.integers(1, 99, n)
+        blocks = list(pii.blended_blocks(model, piece))
+        total, weight = np.zeros((n + 64, pii.TAGS)), np.zeros((n + 64, 1))
+        at = pii.window_starts(n)
+        windows = np.zeros((len(at), 64), np.int64)
+        for row, s in enumerate(at):
+            windows[row, : len(piece[s : s + 64])] = piece[s : s + 64]
+        for s, scored in zip(at, lstm_crf.scores(model, windows)):
+            total[s : s + 64] += scored * pii._CENTRAL[:, None]
+            weight[s : s + 64] += pii._CENTRAL[:, None]
+        assert np.allclose(np.concatenate(blocks), total[:n] / weight[:n], atol=1e-3)
+    emitted, moves = rng.normal(size=(1, 500, 5)), rng.normal(size=(5, 5))
+    blocks = [emitted[0, i : i + 77] for i in range(0, 500, 77)]
+    assert (lstm_crf.viterbi_blocks(iter(blocks), moves) == lstm_crf.viterbi(emitted, moves)[0]).all()
+
+
 def test_digests(spark, odd_docs, no_docs, model):
     rows = [(i, t) for i, t in enumerate(texts(200))] + [(7, None), (None, "call +1 (614) 555-8001"), (7, None)]
     docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3)
