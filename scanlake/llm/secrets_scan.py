@@ -7,8 +7,9 @@ test about the middle of the alphabet, and lag-one serial correlation. The stati
 the sum of squares of the three normal scores (of chi-squared only excess counts); for a
 random string it is near chi-squared with three degrees of freedom.
 
-Ordinary text is the null hypothesis. All documents, white space taken out, are cut into
-windows of each length class, and the same battery over them gives the distribution of
+Ordinary text is the null hypothesis: what is neither in a pattern match nor in a run as
+long as a candidate, so that random strings of one source never hide those of others. All
+documents, the rest taken out with the white space, are cut into windows of each length class, and the same battery over them gives the distribution of
 the statistic by length. A candidate's p-value is the share of windows of its class that
 look as random. The Benjamini-Hochberg rule over the candidates of all documents then
 bounds the share of false discoveries; a candidate that fails as random is never taken.
@@ -177,6 +178,16 @@ def candidates(codes: np.ndarray, base: list[tuple[int, int, int]]) -> list[tupl
     return found
 
 
+def ordinary(codes: np.ndarray, base: list[tuple[int, int, int]]) -> np.ndarray:
+    """The codes outside pattern matches and runs as long as a candidate."""
+    inside = np.ones(len(codes), bool)
+    for start, end in _runs(_IS_WORD[codes], SHORTEST):
+        inside[start:end] = False
+    for start, _, end in base:
+        inside[start:end] = False
+    return codes[inside]
+
+
 class Windows:
     """Counts the windows of texts by class and bin; they tile each whole text.
 
@@ -242,7 +253,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = base_spans(text, codes)
             base.append([dict(zip(("start", "kind", "end"), s)) for s in spans])
             found.append([dict(zip(("start", "end", "encoding", "statistic"), c)) for c in candidates(codes, spans)])
-            windows.add(codes)
+            windows.add(ordinary(codes, spans))
         yield rows(batch.column(0).to_pylist(), base, found, [None] * len(base))
     windows.flush()
     if windows.counts.any():

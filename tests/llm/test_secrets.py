@@ -65,6 +65,25 @@ def test_random_strings_are_added(corpus):
     assert right >= 0.8 * len(planted) and wrong <= 0.1 * (right + wrong)
 
 
+def test_hot_source_of_digests_hides_no_other(spark):
+    rng = random.Random(6)
+    syllables = ["an", "er", "th", "ou", "ing", "re", "st", "the", "tion", "and", "ble"]
+    prose = lambda n: " ".join("".join(rng.choices(syllables, k=rng.randrange(1, 4))) for _ in range(n))
+    base62 = string.ascii_letters + string.digits
+    rows, planted = [], {}
+    for i in range(200):
+        planted[i] = random_string(rng, base62, 44)
+        rows.append((i, f"{prose(80)} {planted[i]} {prose(80)}"))
+    for i in range(100):  # a third of the rows are digests and blobs
+        blobs = [random_string(rng, "0123456789abcdef", 64) if k % 2 else random_string(rng, base62 + "+/", 76) for k in range(30)]
+        rows.append((1000 + i, "\n".join(blobs)))
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4)
+    texts, right = dict(rows), 0
+    for r in secrets_scan.secrets(docs).where("doc_id < 1000").collect():
+        right += planted[r.doc_id] in [texts[r.doc_id][s.start : s.end] for s in r.added]
+    assert right >= 0.8 * len(planted)
+
+
 def test_digests(spark, odd_docs, no_docs):
     rows = [(i, t) for i, t in enumerate(texts()[:200])] + [(7, None), (None, "token = abcdefgh1"), (7, None)]
     docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3)
