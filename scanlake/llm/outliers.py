@@ -44,7 +44,9 @@ SIZE = 5
 UNIT = 1024
 #: Smallest standard deviation of each statistic, in its own unit.
 FLOORS = (0.3, 0.25, 0.3, 1.0, 1.2)
-SHARE, STEPS, LEAST = 0.75, 4, 60
+#: Half of a group is enough for an estimate, so that fewer than half of its rows cannot turn it. Steps
+#: end when estimates stay as they are, and at STEPS.
+SHARE, STEPS, LEAST = 0.5, 20, 60
 #: Upper 1e-5 quantile and median of chi-squared with five degrees of freedom.
 CUT, MIDDLE = 30.86, 4.351
 #: Bins per doubling of a squared distance.
@@ -204,7 +206,9 @@ def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: st
     passed, members = grouped(counted.where("NOT base_failed"))
     estimate = written(start(members), "starts")
     for _ in range(STEPS):
-        estimate = concentrate(members, estimate)
+        last, estimate = estimate, concentrate(members, estimate)
+        if estimate.subtract(last).isEmpty():
+            break
     # The nearest rows vary less than all do: distances are scaled to the median they should have.
     distances = lookup_join(members, estimate, ["key"], "inner").select("key", bin_of(squared_distance()).alias("bin"))
     middle = quantiles(distances, 0.5, "key").select("key", F.greatest(F.lit(1.0), (F.pow(F.lit(2.0), (F.col("limit") + 1) / FINE) - 1) / MIDDLE).alias("scale"))

@@ -115,6 +115,19 @@ def test_judged(corpus):
     assert not any(r.kept for r in starred) and sum(r.kept for r in plain) > 0.99 * len(plain)
 
 
+def test_a_third_of_copies_or_junk(spark):
+    rng = random.Random(8)
+    text = lambda n, mark="": " ".join("".join(rng.choices(["an", "er", "th", "ou", "ing"], k=rng.randrange(1, 5))) + mark for _ in range(n))
+    plain = [text(int(math.exp(rng.gauss(5, 0.5))) + 50) for _ in range(200)]
+    copies = [text(120, "***")] * 100
+    junk = [text(rng.randrange(60, 400), "#" * rng.randrange(1, 9)) for _ in range(100)]
+    for n, bad in enumerate((copies, junk)):
+        docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in enumerate(plain + bad)], SCHEMA).repartition(3)
+        kept = {r.doc_id for r in outliers.judged(docs).where("kept").collect()}
+        assert not any(i in kept for i in range(200, 300)), n
+        assert sum(i in kept for i in range(200)) > 0.97 * 200
+
+
 def test_reruns_agree(corpus):
     _, docs = corpus
     assert sorted(map(str, outliers.judged(docs).collect())) == sorted(map(str, outliers.judged(docs.repartition(7)).collect()))
