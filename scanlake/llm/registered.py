@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from scanlake.llm import byte_bpe, exact_dedup, language, licences, mixing, outliers, pii, quality, secrets_scan, simhash
+from scanlake.llm import byte_bpe, exact_dedup, language, licences, mixing, outliers, pii, prefix_trie, quality, secrets_scan, simhash
 from scanlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,45 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scanned(documents(spark, sf_dir))
     return found.withColumn("families", F.array_join("families", ","))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+#: CRC-32 of a decimal number, bit by bit: eight steps for each of its characters.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda acc, b: list_reduce(list_prepend(xor(acc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda a, z: xor(a >> 1, 3988292384 * (a & 1)) + z)), 4294967295::BIGINT)"""
+
+ORACLE_SQL["op12_prefix_trie"] = f"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT c, c - c % 100 AS base, {CRC32} % 6 AS h FROM (SELECT DISTINCT conv_id AS c FROM own)
+), turns AS (
+  SELECT c, 0 AS part, pos, role, text FROM ids JOIN own ON conv_id = base AND pos <= h
+  UNION ALL SELECT c, 1, pos, role, text FROM ids JOIN own ON conv_id = c AND pos > h
+), numbered AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d, struct_pack(role := role, text := text) AS turn FROM turns
+), pre AS (
+  SELECT c, d, list(turn) OVER (PARTITION BY c ORDER BY d) AS key FROM numbered
+  UNION ALL SELECT c, 0, CAST([] AS STRUCT(role VARCHAR, text VARCHAR)[]) FROM ids
+), whole AS (SELECT c, max(d) AS length FROM pre GROUP BY c), nodes AS (
+  SELECT d, key, min(c) AS conv_id, count(*) AS n_convs, CASE WHEN d = 0 THEN 0 ELSE length(key[-1].text) END AS chars,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE d = length), '')) AS ends_sha256
+  FROM pre JOIN whole USING (c) GROUP BY d, key
+), linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN nodes p ON n.d > 0 AND p.d = n.d - 1 AND p.key = n.key[1:n.d - 1]
+), children AS (
+  SELECT d - 1 AS d, key[1:d - 1] AS key, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+), full_nodes AS (
+  SELECT l.*, coalesce(n_children, 0) AS n_children FROM linked l LEFT JOIN children USING (d, key)
+), below AS (
+  SELECT pre.d, pre.key, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * chars) AS BIGINT) AS saved_tokens
+  FROM full_nodes q JOIN pre ON pre.c = q.conv_id AND pre.d <= q.d GROUP BY pre.d, pre.key
+)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM full_nodes JOIN below USING (d, key)"""
