@@ -4,8 +4,11 @@ import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
+import pytest
 from scanlake.llm import prefix_trie
+from scanlake.llm.tables import Tables
 
 SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING, depth STRING, total INT, n_convs STRING"
 
@@ -66,8 +69,6 @@ def test_long_conversation_is_cut_over_tasks(spark):
     rows += [(300 + c, t, "user" if t % 2 else "bot", f"turn {t}") for c in range(1, 9) for t in range(6 + c)]
     rows += [(301, 3, "bot", "same")] * 200  # equal rows are dealt out too
     frame = table(spark, rows).repartition(4)
-    from scanlake.llm.tables import Tables
-
     with Tables(spark, "cut") as tables:
         turns = prefix_trie.hashed_turns(frame, tables)
         assert [r["at"] for r in turns.where("conv_id = 300").orderBy("at").collect()] == list(range(1, 701))
@@ -87,11 +88,12 @@ def test_no_rows_and_no_turns(spark):
     assert got(prefix_trie.trie(table(spark, rows))) == brute_trie(rows) == Counter({(lone, 0, None, 1, 0, 1, 0, hashlib.sha256(str(lone).encode()).hexdigest()): 1})
 
 
-def test_tables_end_with_the_call(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        prefix_trie.trie(table(spark, [(1, 1, "user", "a")])).collect()
-        assert [p.name.endswith("-result") for p in tmp_path.iterdir()] == [True]
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+def test_tables_end_with_the_call(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    prefix_trie.trie(table(spark, [(1, 1, "user", "a")])).collect()
+    assert [p.name.endswith("-result") for p in set(shared.iterdir()) - before] == [True]
+    with pytest.raises(ZeroDivisionError), Tables(spark, "failing") as tables:
+        tables.written(spark.range(3), "numbers")
+        1 / 0  # noqa: B018
+    assert len(set(shared.iterdir()) - before) == 1
