@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from scanlake.llm import byte_bpe, exact_dedup, language, licences, mixing, outliers, pii, prefix_trie, quality, secrets_scan, simhash
+from scanlake.llm import byte_bpe, exact_dedup, language, licences, minhash, mixing, outliers, pii, prefix_trie, quality, secrets_scan, simhash
 from scanlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,24 @@ WITH own AS (
 )
 SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
 FROM full_nodes JOIN below USING (d, key)"""
+
+
+@query
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(documents(spark, sf_dir))
+
+
+ORACLE_SQL["op11_minhash"] = rf"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words
+), single AS (SELECT r, unnest(s) AS v FROM sets), common AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS n FROM single a JOIN single b USING (v) WHERE a.r < b.r GROUP BY a.r, b.r
+), links AS (
+  SELECT a, b FROM common JOIN sets x ON x.r = a JOIN sets y ON y.r = b WHERE 100 * n >= 85 * (len(x.s) + len(y.s) - n)
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links), reach AS (
+  SELECT r AS a, r AS b FROM sets UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.b
+), lowest AS (SELECT reach.a AS r, min(doc_id) AS component_id FROM reach JOIN sets ON sets.r = reach.b GROUP BY reach.a)
+SELECT doc_id, len(s) AS n_shingles, component_id, coalesce(doc_id = component_id, false) AS kept FROM sets JOIN lowest USING (r)"""
