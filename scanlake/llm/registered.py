@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from scanlake.llm import byte_bpe, exact_dedup, language, licences, minhash, mixing, outliers, pii, prefix_trie, quality, secrets_scan, simhash
+from scanlake.llm import byte_bpe, exact_dedup, hard_negatives, language, licences, minhash, mixing, outliers, pii, prefix_trie, quality, secrets_scan, simhash
 from scanlake.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,32 @@ WITH RECURSIVE words AS (
   SELECT r AS a, r AS b FROM sets UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.b
 ), lowest AS (SELECT reach.a AS r, min(doc_id) AS component_id FROM reach JOIN sets ON sets.r = reach.b GROUP BY reach.a)
 SELECT doc_id, len(s) AS n_shingles, component_id, coalesce(doc_id = component_id, false) AS kept FROM sets JOIN lowest USING (r)"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), "embedding")
+    found = hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0, "vec_id", "label", "embedding")
+    return found.withColumn("rank", F.col("rank").cast("int"))
+
+
+ORACLE_SQL["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER best <= 5
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)"""
