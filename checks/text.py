@@ -413,12 +413,22 @@ BLOCKED = [
     Signature(r"<title>[^<]*%%%", "b_block_title"),
     Signature(r"the .* by .* of", "c_block_words"),
     Signature("copyright|license", "d_block_notice"),
+    Signature(r"ouen{,1} ", "e_block_quantifier"),
+    Signature(r"(?i)LEON EN", "f_block_case"),
+    Signature(r"(on|er|th)\1", "g_block_reference"),
+    Signature(r"{font|<div class={,2}", "h_block_brace"),
 ]
+#: What the other engine's pattern language says otherwise.
+OTHERWISE = {
+    "e_block_quantifier": "oue(n|) ",
+    "g_block_reference": "onon|erer|thth",
+    "h_block_brace": r"\{font|<div class(=){0,2}",
+}
 
 
 def _search_sql(signatures, column: str) -> str:
     cases = " ".join(
-        f"WHEN regexp_matches({column}, '{s.pattern}', 's') THEN '{s.fingerprint}'" for s in signatures
+        f"WHEN regexp_matches({column}, '{OTHERWISE.get(s.fingerprint, s.pattern)}', 's') THEN '{s.fingerprint}'" for s in signatures
     )
     return f"CASE {cases} END"
 

@@ -7,9 +7,11 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanlake.operators.signatures import Signature
+from scanlake.operators.signatures import Signature, refuse_unsupported
 from scanlake.operators.snapshots import snapshot_file_date
 
+SIGNATURE_BYTES = 8 << 20
+
 
 def line_order() -> Column:
     """Place of a line among all lines of files that are read: by file, block and row."""
@@ -103,15 +105,21 @@ def read_signatures(spark: SparkSession, path: str) -> list[Signature]:
     its place and takes the later pattern.
 
     Patterns become literals of the plan, like the rules in code, so this one
-    hand-maintained file goes to the driver.
+    hand-maintained file goes to the driver; one of over ``SIGNATURE_BYTES`` is refused
+    before it is read. A pattern that cannot be searched is refused by its fingerprint.
     """
+    sizes = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    if sizes > SIGNATURE_BYTES:
+        raise ValueError(f"{path} has {sizes} bytes; signatures may have {SIGNATURE_BYTES}")
     text = spark.read.text(path, wholetext=True).first()
     found: dict[str, str] = {}
     for line in (text["value"] if text else "").split("\n"):
         if line.strip():
             item = json.loads(line)
             found[item["fingerprint"]] = item["pattern"]
-    return [Signature(pattern, fingerprint) for fingerprint, pattern in found.items()]
+    signatures = [Signature(pattern, fingerprint) for fingerprint, pattern in found.items()]
+    refuse_unsupported(spark, signatures)
+    return signatures
 
 
 def completeness_check(rows: DataFrame, expected: DataFrame) -> DataFrame:
