@@ -35,6 +35,7 @@ from scanlake.operators.postprocess import (
 )
 from scanlake.operators.reduce import capable_domains
 from scanlake.operators.tables import dns_table, export_projection, table_answer
+from scanlake.sources.sinks import stage
 from scanlake.schemas import ANSWER, ANSWER_FIELDS, MATCHES_CONTROL_FIELDS
 
 # Rows: one per line item. Columns that need no arrays are shared SQL.
@@ -387,7 +388,8 @@ def answer_metadata(spark, sf):
     rows = rows.withColumn(
         "received", F.transform("received", lambda a, i: a.withField("ip", long_to_ip(number(i))))
     ).drop("l_partkey")
-    joined = join_answer_ip_metadata(rows, lookup_of(spark, sf, answer_ip_keys(rows)))
+    rows = stage(rows, "answers")
+    joined = join_answer_ip_metadata(rows, lookup_of(spark, sf, answer_ip_keys(rows)), staging=None)
     fields = ["netblock", "organization", "as_class", "asn", "as_name"]
     return answers_of(joined, ip="ip", http="http", **{f: f"ip_metadata.{f}" for f in fields})
 

@@ -2,7 +2,9 @@
 
 Enrichment explodes only the keys of answers (row key, place, lookup keys), joins these
 narrow records with every side table, regroups what was found by row key, and joins it
-back once: rows with their answers, however wide, are moved a single time.
+back once: rows with their answers, however wide, are moved a single time. Rows are read
+twice for that, for the keys and for the join back; rows that are no table yet are staged
+first, so that they are worked out once.
 """
 
 from __future__ import annotations
@@ -12,9 +14,13 @@ from pyspark.sql import functions as F
 
 from scanlake.constants import DNS_V2_2_START, DNS_V2_START
 from scanlake.functions.records import merge_ip_metadata
+from scanlake.operators.barrier import explode_once
 from scanlake.operators.joins import lookup_join
+from scanlake.sources.sinks import stage
 
 ROW_KEY = ("measurement_id", "roundtrip")
+#: Name under which rows are staged; ``clear_staged`` removes them once the result is written.
+STAGING = "answers"
 _RESOLVER_FIELDS = [
     "name", "country", "non_zero_rcode_rate", "private_ip_rate", "zero_ip_rate",
     "connect_error_rate", "invalid_cert_rate",
@@ -73,7 +79,7 @@ def regroup_answers(answers: DataFrame, row_key: tuple[str, ...] = ROW_KEY) -> D
 
 def answer_keys(rows: DataFrame) -> DataFrame:
     """Row key, place and lookup keys of every answer, without the answer itself."""
-    placed = rows.select(*ROW_KEY, "source", "domain", "date", F.posexplode("received.ip").alias("position", "ip"))
+    placed = explode_once(rows, [*ROW_KEY, "source", "domain", "date"], F.col("received.ip"), "position", "ip")
     return placed.filter(F.col("ip").isNotNull())
 
 
@@ -144,25 +150,32 @@ def give_back(rows: DataFrame, found: DataFrame, names: list[str], merges: list)
     by_row = found.filter(some).groupBy(*ROW_KEY).agg(F.collect_set(F.struct("position", F.struct(*names).alias("found"))).alias("places"))
     by_row = by_row.select(*ROW_KEY, F.map_from_entries("places").alias("places"))
 
-    def merged(answer: Column, position: Column) -> Column:
-        for merge in merges:
-            answer = merge(answer, F.try_element_at("places", position))
-        return answer
-
     joined = lookup_join(rows, by_row, list(ROW_KEY))
-    received = F.when(F.col("places").isNull(), F.col("received")).otherwise(F.transform("received", merged))
+    # Each answer with what was found for it, searched once; every merge sees both as plain values.
+    pairs = F.transform("received", lambda answer, place: F.struct(answer.alias("answer"), F.try_element_at("places", place).alias("found")))
+    for merge in merges:
+        pairs = F.transform(pairs, lambda p: F.struct(merge(p["answer"], p["found"]).alias("answer"), p["found"].alias("found")))  # noqa: B023
+    received = F.when(F.col("places").isNull(), F.col("received")).otherwise(F.transform(pairs, lambda p: p["answer"]))
     return joined.withColumn("received", received).select(*rows.columns)
 
 
-def join_answer_tags(rows: DataFrame, tags: DataFrame) -> DataFrame:
+def _table(rows: DataFrame, staging: str | None) -> DataFrame:
+    """Rows as a staged table; ``staging`` is None where they are one already."""
+    return rows if staging is None else stage(rows, staging)
+
+
+def join_answer_tags(rows: DataFrame, tags: DataFrame, staging: str | None = STAGING) -> DataFrame:
+    rows = _table(rows, staging)
     return give_back(rows, find_tags(answer_keys(rows), tags), ["tag"], [merge_tags])
 
 
-def join_answer_ip_metadata(rows: DataFrame, lookup: DataFrame) -> DataFrame:
+def join_answer_ip_metadata(rows: DataFrame, lookup: DataFrame, staging: str | None = STAGING) -> DataFrame:
+    rows = _table(rows, staging)
     return give_back(rows, find_ip_metadata(answer_keys(rows), lookup), ["metadata"], [merge_answer_metadata])
 
 
-def join_page_fetches(rows: DataFrame, fetches: DataFrame) -> DataFrame:
+def join_page_fetches(rows: DataFrame, fetches: DataFrame, staging: str | None = STAGING) -> DataFrame:
+    rows = _table(rows, staging)
     found = find_page_fetches(answer_keys(rows), fetches)
     return give_back(rows, found, ["http_fetch", "https_fetch"], [merge_page_fetches])
 
@@ -173,9 +186,10 @@ def answer_ip_keys(rows: DataFrame) -> DataFrame:
 
 
 def enrich_answers(
-    rows: DataFrame, tags: DataFrame, lookup: DataFrame, fetches: DataFrame
+    rows: DataFrame, tags: DataFrame, lookup: DataFrame, fetches: DataFrame, staging: str | None = STAGING
 ) -> DataFrame:
     """All three answer joins with one explode of keys and one join back."""
+    rows = _table(rows, staging)
     found = find_page_fetches(find_ip_metadata(find_tags(answer_keys(rows), tags), lookup), fetches)
     names = ["tag", "metadata", "http_fetch", "https_fetch"]
     return give_back(rows, found, names, [merge_tags, merge_answer_metadata, merge_page_fetches])

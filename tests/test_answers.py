@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from scanlake.functions.dns import all_true, any_true
 from scanlake.functions.records import ip_metadata, record, response
 from scanlake.operators.answers import (
+    STAGING,
     enrich_answers,
     explode_answers,
     join_answer_tags,
@@ -14,6 +15,7 @@ from scanlake.operators.answers import (
 )
 from scanlake.operators.postprocess import postprocess
 from scanlake.schemas import ANSWER, ANSWER_FIELDS, MATCHES_CONTROL_FIELDS
+from scanlake.sources.sinks import clear_staged
 
 
 def answer(ip, flags=None, http=None, cert=None, as_name=None, asn=None):
@@ -93,6 +95,20 @@ def test_wide_rows_move_once(spark):
     assert len(wide) <= 4 and plan.count("Exchange hashpartitioning") >= 3
 
 
+def test_rows_are_read_once_and_answers_searched_once(spark, tmp_path):
+    """Rows that are no table are staged: the join reads that table and never works them out again."""
+    source = tmp_path / "source"
+    dns_row(spark, "a", [answer("9.0.0.1")]).write.parquet(str(source))
+    rows = spark.read.parquet(str(source)).withColumn("source", F.concat("source", F.lit("")))
+    tags = spark.createDataFrame([("s", "9.0.0.1", "h", None, "N", 5)], "source STRING, ip STRING, http STRING, cert STRING, as_name STRING, asn BIGINT")
+    joined = join_answer_tags(rows, tags)
+    assert not any("/source/" in f for f in joined.inputFiles())
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_element_at") + plan.count("element_at(places") == 1
+    assert joined.first().received[0].http == "h"
+    assert clear_staged(spark, STAGING)
+
+
 def test_tags_are_for_the_older_format(spark):
     tags = spark.createDataFrame([("s", "9.0.0.1", "h", None, "N", 5)], "source STRING, ip STRING, http STRING, cert STRING, as_name STRING, asn BIGINT")
     newer = dns_row(spark, "a", [answer("9.0.0.1")], date="2021-06-24")
