@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
+from checks.authored import certificate_text
 from checks.common import query, relation, shown, shown_sql, table, texts_sql
 from scanlake.functions.certs import cert_matches_domain
 from scanlake.functions.dns import classify_dns_error, classify_rcode
@@ -15,7 +17,9 @@ from scanlake.operators.categories import (
     first_wins_by_priority,
     lookup_with_fallback,
 )
-from scanlake.operators.certificates import enrich_certificates
+from scanlake.operators.certificates import cert_key, enrich_certificates
+from scanlake.operators.decoded_certificates import decode_certificates
+from scanlake.operators.joins import lookup_join
 from scanlake.operators.signatures import Signature, match_signatures
 from scanlake.operators.suffixes import registered_domain
 
@@ -407,6 +411,42 @@ def certificates(spark, sf):
     )
 
 
+CERTIFIED = "SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 9 = 8 THEN 1 ELSE c_custkey END AS cert_of FROM {customer}"
+
+
+def _certificate_texts(frames):
+    """The certificates of customers: some cut off, no base64, or of a version that is none."""
+    for frame in frames:
+        texts = []
+        for key, name, nation, of in frame[["c_custkey", "c_name", "c_nationkey", "cert_of"]].itertuples(index=False):
+            name, nation = (name, nation) if of == key else ("Customer#000000001", 0)
+            names = [f"n{nation}.example.org", "*.a.com"] if of % 2 else []
+            text = certificate_text(name, f"CA{nation}", f"2101{1 + nation:02}000000Z", "20510630235959Z", names, version=2 if of % 7 == 2 else 3)
+            texts.append({0: text[: len(text) // 2 // 4 * 4], 1: "?" + text}.get(of % 7, text) if of != 1 else text)
+        yield pd.DataFrame({"c_custkey": frame["c_custkey"], "tls_cert": texts})
+
+
+@query(
+    "decode_certificates",
+    f"""WITH c AS (SELECT c_custkey, cert_of, CASE WHEN cert_of = c_custkey THEN c_name ELSE 'Customer#000000001' END AS name,
+      CASE WHEN cert_of = c_custkey THEN c_nationkey ELSE 0 END AS nation FROM ({CERTIFIED})),
+    g AS (SELECT *, cert_of = 1 OR cert_of % 7 > 2 AS good FROM c)
+    SELECT c_custkey, """
+    + shown_sql(
+        common_name="CASE WHEN good THEN name END", issuer="CASE WHEN good THEN 'CA' || nation END",
+        not_before="CASE WHEN good THEN '2021-01-' || lpad(CAST(1 + nation AS VARCHAR), 2, '0') || 'T00:00:00' END",
+        not_after="CASE WHEN good THEN '2051-06-30T23:59:59' END",
+        sans="CASE WHEN good THEN CASE WHEN cert_of % 2 = 1 THEN 'n' || nation || '.example.org|*.a.com' ELSE '' END END",
+    )
+    + " FROM g",
+)
+def decoded_certificates(spark, sf):
+    texts = relation(spark, sf, CERTIFIED).mapInPandas(_certificate_texts, "c_custkey BIGINT, tls_cert STRING")
+    keyed = texts.withColumn("cert_sha", cert_key(F.col("tls_cert")))
+    joined = lookup_join(keyed, decode_certificates(texts), ["cert_sha"])
+    return joined.select("c_custkey", *shown("common_name", "issuer", "not_before", "not_after", sans=F.array_join("sans", "|")))
+
+
 HARMLESS = [Signature("<video[^>]*autoplay", "a_fp_video"), Signature(r"Is and \w+ing ouen", "b_fp_text")]
 BLOCKED = [
     Signature(r"track\(1[0-9]*\).*</table>", "a_block_table"),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +29,29 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to every Python worker, once per application, for functions that run there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    place = os.path.join(tempfile.mkdtemp(prefix="scanlake-"), "scanlake_core.zip")  # on the driver, which serves it
+    with open(place, "wb") as file:
+        file.write(data.getvalue())
+    context.addPyFile(place)
+    _shipped.add(context.applicationId)
+
+
 _local_folders: dict[str, str] = {}
 
 
