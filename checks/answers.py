@@ -34,8 +34,10 @@ from scanlake.operators.postprocess import (
     postprocess,
 )
 from scanlake.operators.reduce import capable_domains
+from scanlake.operators.resolvers import RATES, resolver_error_rates
 from scanlake.operators.tables import dns_table, export_projection, table_answer
 from scanlake.sources.sinks import stage
+from scanlake.operators.tags import read_answer_tags
 from scanlake.schemas import ANSWER, ANSWER_FIELDS, MATCHES_CONTROL_FIELDS
 
 # Rows: one per line item. Columns that need no arrays are shared SQL.
@@ -495,3 +497,30 @@ def exported(spark, sf):
     )
 
 
+
+
+@query(
+    "resolver_error_rates",
+    ANSWERS_SQL
+    + """, failed AS (SELECT rows.measurement_id, source, ip, domain, rcode < 0 AS c, rcode > 0 AS z,
+      coalesce((SELECT bool_or(matches IS NOT NULL AND NOT coalesce(matches AND trusted, false)) FROM t WHERE t.measurement_id = rows.measurement_id), false) AS v FROM rows),
+    folded AS (SELECT source, ip, domain, bool_or(c) AS c, bool_or(z) AS z, bool_or(v) AS v FROM failed GROUP BY 1, 2, 3)
+    SELECT source, ip AS resolver_ip, CAST(count(*) AS BIGINT) AS domains, """
+    + ", ".join(rounded_sql(f"avg(CASE WHEN {c} THEN 1.0 ELSE 0.0 END)", f"{n}_rate") for c, n in (("c", "connect_error"), ("v", "invalid_cert"), ("z", "non_zero_rcode")))
+    + " FROM folded GROUP BY 1, 2",
+)
+def error_rates(spark, sf):
+    rates = resolver_error_rates(dns_table(dns_rows(spark, sf).withColumn("category", F.lit("cat"))))
+    return rates.select("source", "resolver_ip", "domains", *[rounded(f"{k}_rate") for k in RATES])
+
+
+@query(
+    "read_answer_tags",
+    f"SELECT source, ip, {shown_sql('http', 'cert', 'as_name', 'asn')} FROM ({ANSWER_TAGS})",
+)
+def answer_tag_lines(spark, sf):
+    tags = relation(spark, sf, ANSWER_TAGS)
+    line = F.to_json(F.struct("ip", "http", "cert", F.col("as_name").alias("asname"), F.col("asn").alias("asnum")))
+    lines = tags.select(s("d/", F.col("source"), "/tagged_responses.json").alias("file_path"), line.alias("value"))
+    bad = tags.select(s("d/x/tagged_responses.json").alias("file_path"), F.expr("left(ip, 4)").alias("value"))
+    return read_answer_tags(lines.union(bad)).select("source", "ip", *shown("http", "cert", "as_name", "asn"))

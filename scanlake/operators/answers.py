@@ -186,10 +186,15 @@ def answer_ip_keys(rows: DataFrame) -> DataFrame:
 
 
 def enrich_answers(
-    rows: DataFrame, tags: DataFrame, lookup: DataFrame, fetches: DataFrame, staging: str | None = STAGING
+    rows: DataFrame, tags: DataFrame, lookup: DataFrame, fetches: DataFrame, staging: str | None = STAGING, keyed: DataFrame | None = None
 ) -> DataFrame:
-    """All three answer joins with one explode of keys and one join back."""
-    rows = _table(rows, staging)
-    found = find_page_fetches(find_ip_metadata(find_tags(answer_keys(rows), tags), lookup), fetches)
+    """All three answer joins with one explode of keys and one join back.
+
+    ``keyed``: the same rows as a table, before other columns were added to them; the keys of
+    answers are read from there, and ``rows`` are worked out once, without being staged.
+    """
+    if keyed is None:
+        keyed = rows = _table(rows, staging)
+    found = find_page_fetches(find_ip_metadata(find_tags(answer_keys(keyed), tags), lookup), fetches)
     names = ["tag", "metadata", "http_fetch", "https_fetch"]
     return give_back(rows, found, names, [merge_tags, merge_answer_metadata, merge_page_fetches])

@@ -20,7 +20,7 @@ from scanlake.functions.paths import base_name, path_date, source_of
 from scanlake.functions.records import ip_metadata, record, tags_to_flags
 from scanlake.functions.text import is_control_domain, iso_timestamp, measurement_id, spaced_json
 from scanlake.operators.barrier import explode_once
-from scanlake.operators.lines import parse_json, skip_malformed, tests_before
+from scanlake.operators.lines import DeadLetters, parse_json, skip_malformed, tests_before
 from scanlake.schemas import (
     ANSWER_FIELDS,
     DNS_CONTROL_ROUNDTRIPS,
@@ -205,11 +205,11 @@ def _answer(item: Column, confidence: Column) -> Column:
     )
 
 
-def _flatten(lines: DataFrame, version: Column, counts: Observation | None = None) -> DataFrame:
+def _flatten(lines: DataFrame, version: Column, counts: Observation | None = None, dead: DeadLetters | None = None) -> DataFrame:
     c = F.col
     v = c("version")
     timed = (F.trim("scan.start_time") != "") & (F.trim("scan.end_time") != "")
-    scans = skip_malformed(lines, DNS_LINE, counts).withColumn("version", version)
+    scans = skip_malformed(lines, DNS_LINE, counts, dead).withColumn("version", version)
     scans = _with_single_trips(scans, v == SINGLE)
     # Version 2 results without a start or an end are dropped.
     scans = _with_retry_trips(scans, (v == RETRIES) & timed)
@@ -323,7 +323,7 @@ def flatten_dns_control(lines: DataFrame) -> DataFrame:
     return _flatten(lines, F.lit(CONTROL))
 
 
-def flatten_dns(lines: DataFrame, counts: Observation | None = None) -> DataFrame:
+def flatten_dns(lines: DataFrame, counts: Observation | None = None, dead: DeadLetters | None = None) -> DataFrame:
     """Rows of observation lines of any version, in one pass.
 
     The version follows from the path date, the file name and the row date.
@@ -335,4 +335,4 @@ def flatten_dns(lines: DataFrame, counts: Observation | None = None) -> DataFram
         .when(F.substring("scan.start_time", 1, 10) < DNS_V2_2_START, RETRIES)
         .otherwise(ROUNDTRIPS)
     )
-    return _flatten(lines, version, counts)
+    return _flatten(lines, version, counts, dead)

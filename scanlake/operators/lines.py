@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from scanlake.constants import (
 )
 from scanlake.functions.paths import base_name, filename_matches
 from scanlake.schemas import JSON_OPTIONS
+from scanlake.sources.sinks import stage
 
 
 def parse_json(text: Column, schema: str) -> Column:
@@ -23,20 +26,48 @@ def _is_valid(scan: Column) -> Column:
     return scan.isNotNull() & scan["_corrupt_record"].isNull()
 
 
-def skip_malformed(lines: DataFrame, schema: str, counts: Observation | None = None) -> DataFrame:
+class DeadLetters(NamedTuple):
+    """Where lines that cannot be parsed are kept, and the name under which parsed lines are staged for that."""
+
+    path: str
+    staging: str = "parsed"
+
+
+def skip_malformed(lines: DataFrame, schema: str, counts: Observation | None = None, dead: DeadLetters | None = None) -> DataFrame:
     """Add ``scan``, the parsed line, and drop lines that are not valid JSON.
 
     ``lines`` has ``file_path`` and ``value``. The schema must end in
     ``_corrupt_record STRING``. The generator keeps the parser from being copied
     into a pushed-down filter, so each line is parsed once; ``counts`` gets the number
     of ``lines`` and of ``malformed`` ones from the same parse.
+
+    With ``dead``, lines that are dropped are appended to a table (``dead_letters``). Two
+    sinks read one parse then: the parsed lines are written once and both read them back.
     """
     parsed = F.array(parse_json(F.col("value"), schema))
-    if counts is None:
+    if counts is None and dead is None:
         return lines.select("*", F.explode(F.filter(parsed, _is_valid)).alias("scan"))
     valid = F.coalesce(_is_valid(F.col("scan")), F.lit(False))
     scans = lines.select("*", F.explode(parsed).alias("scan"))
-    return scans.observe(counts, F.count(F.lit(1)).alias("lines"), F.count_if(~valid).alias("malformed")).filter(valid)
+    if counts is not None:
+        scans = scans.observe(counts, F.count(F.lit(1)).alias("lines"), F.count_if(~valid).alias("malformed"))
+    if dead is not None:
+        scans = stage(scans, dead.staging)
+        dead_letters(scans.filter(~valid)).write.mode("append").parquet(dead.path)
+    return scans.filter(valid)
+
+
+def dead_letters(bad: DataFrame) -> DataFrame:
+    """Path, digest of the line, its length and the reason why it is no measurement."""
+    is_json = F.try_parse_json("value").isNotNull()
+    reason = (
+        F.when(F.trim("value") == "", "no text")
+        .when(is_json & ~F.ltrim("value").startswith("{"), "no object")
+        .when(is_json, "a field of another type")
+        .when(~F.rtrim("value").endswith("}"), "cut off")
+        .otherwise("no JSON")
+    )
+    return bad.select("file_path", F.sha2("value", 256).alias("line_sha256"), F.length("value").alias("characters"), reason.alias("reason"))
 
 
 def tests_before(tests: Column, index: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanlake.functions.paths import source_of
+from scanlake.operators.joins import lookup_join
 from scanlake.operators.lines import skip_malformed
 from scanlake.schemas import ANSWER_TAG_LINE, RESOLVER_TAG_LINE
 
@@ -16,12 +17,8 @@ def country_name_to_code(rows: DataFrame, names: DataFrame, column: str) -> Data
     ``names``: ``country_name``, ``country_code``, one row per name.
     """
     codes = names.select(F.col("country_name").alias(column), "country_code")
-    return (
-        rows.join(codes, column, "left")
-        .withColumn(column, F.coalesce("country_code", column))
-        .drop("country_code")
-        .select(*rows.columns)
-    )
+    named = lookup_join(rows, codes, [column])
+    return named.withColumn(column, F.coalesce("country_code", column)).select(*rows.columns)
 
 
 def read_resolver_tags(lines: DataFrame, names: DataFrame) -> DataFrame:

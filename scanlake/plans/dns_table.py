@@ -19,6 +19,7 @@ from scanlake.operators.lines import (
     OBSERVATIONS,
     PAGE_FETCHES,
     RESOLVER_TAGS,
+    DeadLetters,
     route_by_filename,
 )
 from scanlake.operators.pages import flatten_page_fetch
@@ -38,16 +39,17 @@ def page_fetch_rows(lines: DataFrame, data: ReferenceData) -> DataFrame:
 
 
 def build_dns_table(
-    lines: DataFrame, data: ReferenceData, staging: str = "dns", counts: Observation | None = None
+    lines: DataFrame, data: ReferenceData, staging: str = "dns", counts: Observation | None = None,
+    dead: DeadLetters | None = None,
 ) -> DataFrame:
     """DNS table of the ``file_path``, ``value`` lines of all files of a scan.
 
     The flattened rows feed the address lookups and the control counts besides the
     table itself, so they are written once, under the ``staging`` name, and read back;
-    ``counts`` gets lines and malformed lines of measurements.
+    ``counts`` gets lines and malformed lines of measurements, ``dead`` keeps the latter.
     """
     kinds = route_by_filename(lines)
-    rows = stage(flatten_dns(kinds[OBSERVATIONS], counts), staging)
+    flat = rows = stage(flatten_dns(kinds[OBSERVATIONS], counts, dead), staging)
     fetches = stage(page_fetch_rows(kinds[PAGE_FETCHES], data), staging)
     lookup = stage(data.ip_lookup(rows.select("date", "ip").union(answer_ip_keys(rows))), staging)
     rows = categorize_domain(rows, data.categories)
@@ -55,5 +57,5 @@ def build_dns_table(
         rows, read_resolver_tags(kinds[RESOLVER_TAGS], data.country_names)
     )
     rows = join_row_ip_metadata(rows, lookup)
-    rows = enrich_answers(rows, read_answer_tags(kinds[ANSWER_TAGS]), lookup, fetches)
+    rows = enrich_answers(rows, read_answer_tags(kinds[ANSWER_TAGS]), lookup, fetches, keyed=flat)
     return dns_table(postprocess(stage(rows, staging)))

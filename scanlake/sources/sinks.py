@@ -21,14 +21,17 @@ def _cluster_columns(table: DataFrame) -> list[str]:
     return [f"{side}_country", f"{side}_asn"]
 
 
-def write_base_table(table: DataFrame, path: str, append: bool = False) -> None:
-    """Write a table partitioned by date, sorted by country and network inside files.
+def write_base_table(table: DataFrame, path: str, append: bool = False, partitions: int | None = None) -> None:
+    """Write a table partitioned by date and clustered by country and network across files.
 
-    Rows of a date are brought together and evened out by size: a large day becomes
-    several files, small days share a task.
+    Rows are dealt out by ranges of (date, country, network), with bounds from a sample, and
+    sorted so inside files: the files of a large day follow each other by country and overlap
+    at most with their neighbours, small days share a task, and readers skip files by minimum
+    and maximum. The sample reads the rows once more, so they had better be a table already.
     """
-    order = [c for c in _cluster_columns(table) if c in table.columns]
-    arranged = table.hint("rebalance", "date").sortWithinPartitions("date", *order)
+    order = ["date", *[c for c in _cluster_columns(table) if c in table.columns]]
+    dealt = table.repartitionByRange(partitions, *order) if partitions else table.repartitionByRange(*order)
+    arranged = dealt.sortWithinPartitions(*order)
     arranged.write.mode("append" if append else "overwrite").partitionBy("date").parquet(path)
 
 
@@ -54,12 +57,20 @@ def counts_of(observation: Observation, *names: str) -> list[int]:
 
 
 def fail_if_empty(table: DataFrame, path: str, append: bool = False) -> int:
-    """Write a table, counting on the way; an empty result is an error. Returns the count."""
+    """Write a table, counting on the way; an empty result is an error. Returns the count.
+
+    The rows are staged first, which works them out and counts them once.
+    """
+    spark, name = table.sparkSession, f"counted-{uuid.uuid4().hex}"
     counted, observation = observed(table, F.count(F.lit(1)).alias("rows"))
-    write_base_table(counted, path, append)
-    (rows,) = counts_of(observation, "rows")
-    if rows == 0:
-        raise EmptyResult("zero rows were created although there were new files")
+    try:
+        staged = stage(counted, name)
+        (rows,) = counts_of(observation, "rows")
+        if rows == 0:
+            raise EmptyResult("zero rows were created although there were new files")
+        write_base_table(staged, path, append)
+    finally:
+        clear_staged(spark, name)
     return rows
 
 
