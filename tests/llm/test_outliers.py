@@ -57,30 +57,46 @@ def test_statistics():
     assert outliers.statistics(None) == (0, 0, 0, 0, 0, 0)
 
 
-def bins(values):
-    return np.floor(np.log2(values + 1) * outliers.FINE).astype(int)
-
-
-def limit_of(found, share):
-    ordered = sorted(found)
-    return next(b for i, b in enumerate(ordered, 1) if i == ordered.count(b) + ordered.index(b) and i >= share * len(ordered))
-
-
-def brute_distances(x):
-    """Whole-number statistics of a group to a function that gives squared distances."""
-    middle = [limit_of((x[:, i] >> 4).tolist(), 0.5) for i in range(5)]
-    off = np.abs(x - np.array(middle) * 16) >> 4
-    spread = [limit_of(off[:, i].tolist(), 0.5) for i in range(5)]
-    center = (np.array(middle) * 16 + 8) / 1024
-    inverse = np.diag(1 / np.maximum(1.4826 * (np.array(spread) * 16 + 8) / 1024, outliers.FLOORS) ** 2)
-    distance = lambda y: np.maximum(0, np.einsum("ni,ij,nj->n", y / 1024 - center, inverse, y / 1024 - center))
-    for _ in range(outliers.STEPS):
-        found = bins(distance(x))
-        near = x[found <= limit_of(found.tolist(), outliers.SHARE)] / 1024
-        center = near.mean(axis=0)
-        inverse = np.linalg.inv(np.cov(near.T, bias=True) + np.diag(np.square(outliers.FLOORS)))
-    scale = max(1.0, (2 ** ((limit_of(bins(distance(x)).tolist(), 0.5) + 1) / outliers.FINE) - 1) / outliers.MIDDLE)
-    return lambda y: distance(y) / scale
+def brute_determinant(x, center, cov):
+    """Concentration steps over single rows; log determinant, center and covariance of the nearest half."""
+    half, last = (len(x) + 6) // 2, np.inf
+    while True:
+        near = np.argsort(np.einsum("ni,ij,nj->n", x - center, np.linalg.inv(cov), x - center), kind="stable")[:half]
+        center, cov = x[near].mean(axis=0), outliers.floored(np.cov(x[near].T, bias=True))
+        size = np.linalg.slogdet(cov)[1]
+        if size >= last - 1e-9:
+            return last, center, cov
+        last = size
+
+
+def test_least_determinant_of_many_starts():
+    """Cells of one row each: from the same 300 starts the most compact half is that found over rows."""
+    rng = np.random.default_rng(3)
+    for spread in (0.5, 1.5):
+        x = np.vstack([rng.normal(0, [1, 0.3, 2, 0.2, 1], (90, 5)), rng.normal([4, 3, 9, 0, 2], spread, (45, 5))])
+        cells = outliers.Cells(np.ones(len(x)), x, np.einsum("ni,nj->nij", x, x))
+        subsets = [rng.choice(len(x), 6, replace=False) for _ in range(300)]
+        brute = min(brute_determinant(x, x[s].mean(axis=0), outliers.floored(np.cov(x[s].T, bias=True)))[0] for s in subsets)
+        starts = [cells.moments(np.bincount(s, minlength=len(x)).astype(float)) for s in subsets]
+        found = min(outliers.concentrate(cells, c, outliers.floored(v))[0] for c, v in starts)
+        assert found == pytest.approx(brute, abs=1e-6)
+        center, cov = outliers.estimate(cells)
+        distance = np.einsum("ni,ij,nj->n", x - center, np.linalg.inv(cov), x - center)
+        assert (distance[90:] > outliers.CUT).all() and (distance[:90] <= outliers.CUT).mean() > 0.93
+
+
+def test_folded_cells_add_up():
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (400, 5))
+    parts = np.array_split(x, 37)
+    whole = outliers.Cells(np.array([float(len(p)) for p in parts]), np.array([p.sum(axis=0) for p in parts]), np.array([p.T @ p for p in parts]))
+    center, cov = whole.moments(np.ones(37))
+    assert np.allclose(center, x.mean(axis=0)) and np.allclose(cov, np.cov(x.T, bias=True))
+    inverse = np.linalg.inv(cov)
+    each = [np.mean(np.einsum("ni,ij,nj->n", p - center, inverse, p - center)) for p in parts]
+    assert np.allclose(whole.distances(center, cov), each)
+    taken = whole.nearest(whole.distances(center, cov), 151.5)
+    assert taken @ whole.n == pytest.approx(151.5) and ((taken > 0) & (taken < 1)).sum() <= 1
 
 
 def test_judged(corpus):
@@ -91,11 +107,12 @@ def test_judged(corpus):
     assert all(r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) for r in found)
     assert all(not r.kept and r.distance is None for r in found if r.base_failed)
 
+    # The same statistics, grid and groups by plain code; the estimate of each group from its cells.
     values, groups = {}, defaultdict(list)
     for row in rows:
         n, chars, symbols, dup, rep, lines = brute_statistics(row[1])
         if n >= 50 and 100 * rep <= 50 * n:
-            v = [math.log1p(n), chars / n, math.log1p(100 * symbols / n), math.log1p(100 * dup / lines), math.log1p(100 * rep / n)]
+            v = [math.log1p(n), math.log1p(chars / n), math.log1p(100 * symbols / n), math.log1p(100 * dup / lines), math.log1p(100 * rep / n)]
             x = np.array([int(math.floor(a * 1024 + 0.5)) for a in v])
             values[row[0]] = (x, row[2], row[3])
             for key in ((row[2], row[3]), (row[2],), ()):
@@ -106,13 +123,19 @@ def test_judged(corpus):
             x, lang, source = values[r.doc_id]
             key = next(k for k in ((lang, source), (lang,), ()) if len(groups[k]) >= outliers.LEAST)
             if key not in fitted:
-                fitted[key] = brute_distances(np.array(groups[key]))
-            assert r.distance == pytest.approx(float(fitted[key](x[None])[0]), rel=1e-6, abs=1e-6)
+                cells = defaultdict(list)
+                for y in groups[key]:
+                    cells[tuple(y // np.array(outliers.WIDTHS))].append(y / 1024)
+                parts = [np.array(cells[c]) for c in sorted(cells)]
+                fitted[key] = outliers.estimate(outliers.Cells(np.array([float(len(p)) for p in parts]), np.array([p.sum(axis=0) for p in parts]), np.array([p.T @ p for p in parts])))
+            center, cov = fitted[key]
+            off = x / 1024 - center
+            assert r.distance == pytest.approx(off @ np.linalg.inv(cov) @ off, rel=1e-5, abs=1e-5)
             assert r.kept == (r.distance <= outliers.CUT)
     assert {len(k) for k in fitted} == {1, 2}
     starred = [r for r in found if r.doc_id is not None and r.doc_id < 1500 and r.doc_id % 12 == 0 and not r.base_failed]
     plain = [r for r in found if r.doc_id is not None and r.doc_id < 1500 and r.doc_id % 12 and not r.base_failed]
-    assert not any(r.kept for r in starred) and sum(r.kept for r in plain) > 0.99 * len(plain)
+    assert not any(r.kept for r in starred) and sum(r.kept for r in plain if r.n_dup_lines + r.n_repeat_words == 0) > 0.95 * sum(r.n_dup_lines + r.n_repeat_words == 0 for r in plain)
 
 
 def test_a_third_of_copies_or_junk(spark):
@@ -125,7 +148,27 @@ def test_a_third_of_copies_or_junk(spark):
         docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in enumerate(plain + bad)], SCHEMA).repartition(3)
         kept = {r.doc_id for r in outliers.judged(docs).where("kept").collect()}
         assert not any(i in kept for i in range(200, 300)), n
-        assert sum(i in kept for i in range(200)) > 0.97 * 200
+        assert sum(i in kept for i in range(200)) > 0.95 * 200
+
+
+def test_repetition_below_the_base_limit(spark):
+    """A third of the lines, or a third of the words, repeated among clean documents of one group."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices(["an", "er", "th", "ou", "ing", "est"], k=rng.randrange(1, 5))) + rng.choice("abcdefgh") * rng.randrange(3)
+    lines = lambda n: [" ".join(word() for _ in range(rng.randrange(6, 14))) for _ in range(int(n))]
+    clean = ["\n".join(lines(8 + math.exp(rng.gauss(3, 0.4)))) for _ in range(600)]
+    repeated_lines = ["\n".join((lambda x: x + x[:11])(["\t".join([str(i), *p.split()[:2], str(i)]) if i < 11 else p for i, p in enumerate(lines(24))])) for _ in range(40)]
+    phrases = []
+    for _ in range(40):
+        own, often = lines(20), " ".join(word() for _ in range(8))
+        phrases.append("\n".join(p + " " + often if i % 2 else p for i, p in enumerate(own)))
+    texts = clean + repeated_lines + phrases
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    found = {r.doc_id: r for r in outliers.judged(docs).collect()}
+    planted = [found[i] for i in range(600, 680)]
+    assert all(not r.base_failed for r in planted)
+    assert sum(not r.kept for r in planted[:40]) >= 36 and sum(not r.kept for r in planted[40:]) >= 36
+    assert sum(found[i].kept for i in range(600)) > 0.95 * 600
 
 
 def test_reruns_agree(corpus):
