@@ -9,20 +9,22 @@ proportion, and bounded-knapsack dynamic programming over the remaining counts f
 reachable sum nearest to the rest (all of it when the source is small). The documents of
 a length are picked by the smallest seeded hashes.
 
-No group of documents meets in one task: the threshold hash of a (source, length) is
-found through counts of about sqrt(n) hash buckets and a ranking inside one bucket.
+No group of documents meets in one task: equal hashes are folded to counts, the threshold
+hash of a (source, length) is found through counts of about sqrt(n) hash buckets and a
+ranking of the hashes inside one bucket. The hash is over all columns, so rows that share it
+are equal and it makes no difference which of them are taken: where only some fit, that
+many are taken, dealt out over the tasks they lie in.
 
 Defined cases: a null text has size 0; null is a source of its own; a document of size 0
-takes 0; rows that share doc_id, source and size are taken together (where only some
-would fit, none is); an empty table gives an empty result; clashing columns are kept, as
-the operator's own columns get names that are free.
+takes 0; repeated rows, and rows without an id, count singly; an empty table gives an empty
+result; clashing columns are kept, as the operator's own columns get names that are free.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scanlake.llm.common import WORD, free_name, ready, written
@@ -134,20 +136,22 @@ def targets(totals: DataFrame) -> DataFrame:
 def _sized(docs: DataFrame, doc_id: str, text: str, source: str, seed: int):
     """key, source, size and hash as columns of docs; the key stands for the source, null too."""
     named = F.col(source).cast("string")
+    hashed = [F.col(doc_id).cast("string"), *[F.col(f"`{c}`") for c, kind in docs.dtypes if c != doc_id and "map<" not in kind]]
     return {
         "key": F.coalesce(F.concat(F.lit("s"), named), F.lit("n")),
         "source": named,
         "size": F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint"),
         # 63 bits, never negative.
-        "hash": F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(doc_id).cast("string")), 1),
+        "hash": F.shiftrightunsigned(F.xxhash64(F.lit(seed), *hashed), 1),
     }
 
 
 def decisions(sized: DataFrame) -> DataFrame:
-    """What is taken by key and size: source_size, target, whole and limit.
+    """What is taken by key and size: source_size, target, whole, limit, tied and more.
 
     sized has a row per document: key, source, size, hash. A document is taken ``whole``
-    times, and once more if its hash is at most the limit.
+    times, and once more if its hash is at most the limit; of those whose hash is ``tied``,
+    ``more`` are taken once more.
     """
     counts = sized.groupBy("key", "size").agg(F.first("source").alias("source"), F.count(F.lit(1)).alias("n"))
     counts = written(counts, "length-counts")
@@ -160,30 +164,46 @@ def decisions(sized: DataFrame) -> DataFrame:
     # Documents by leading hash bits, about sqrt(n) buckets, then one bucket's documents in order.
     some = plan.where("extra > 0 AND extra < n").select("key", "size", "extra", F.ceil(F.log2("n") / 2).cast("int").alias("bits"))
     split = lookup_join(sized.select("key", "size", "hash"), some, ["key", "size"], "inner")
-    split = split.withColumn("bucket", F.expr("shiftright(hash, 63 - bits)"))
-    tally = split.groupBy("key", "size", "bits", "bucket").agg(F.count(F.lit(1)).alias("here"), F.first("extra").alias("extra"))
+    split = split.groupBy("key", "size", "hash", "bits", "extra").agg(F.count(F.lit(1)).alias("rows"))
+    split = written(split.withColumn("bucket", F.expr("shiftright(hash, 63 - bits)")), "hash-counts")
+    tally = split.groupBy("key", "size", "bits", "bucket").agg(F.sum("rows").alias("here"), F.first("extra").alias("extra"))
     upto = F.sum("here").over(Window.partitionBy("key", "size").orderBy("bucket"))
     edge = tally.withColumn("upto", upto).where("upto >= extra AND upto - here < extra")
     edge = edge.selectExpr("key", "size", "bucket", "extra - upto + here AS wanted", "shiftleft(bucket, 63 - bits) AS start")
-    inside = lookup_join(split.select("key", "size", "bucket", "hash"), edge, ["key", "size", "bucket"], "inner")
-    # A hash counts with its equals; the limit is the last one whose equals all fit.
-    last = F.count(F.lit(1)).over(Window.partitionBy("key", "size").orderBy("hash").rangeBetween(Window.unboundedPreceding, 0))
+    inside = lookup_join(split.select("key", "size", "bucket", "hash", "rows"), edge, ["key", "size", "bucket"], "inner")
+    last = F.sum("rows").over(Window.partitionBy("key", "size").orderBy("hash"))
+    inside = inside.withColumn("last", last)
+    part = F.when((F.col("last") > F.col("wanted")) & (F.col("last") - F.col("rows") < F.col("wanted")), F.struct("hash", (F.col("wanted") - F.col("last") + F.col("rows")).alias("more")))
     fits = F.max(F.when(F.col("last") <= F.col("wanted"), F.col("hash")))
-    limits = inside.withColumn("last", last).groupBy("key", "size").agg(F.coalesce(fits, F.min("start") - 1).alias("edge"))
+    limits = inside.groupBy("key", "size").agg(F.coalesce(fits, F.min("start") - 1).alias("edge"), F.max(part).alias("part"))
     limit = F.when(F.col("extra") == 0, F.lit(-1)).when(F.col("extra") == F.col("n"), F.lit((1 << 63) - 1)).otherwise(F.col("edge"))
-    known = plan.join(limits, ["key", "size"], "left").select("key", "size", "whole", limit.alias("limit"))
+    known = plan.join(limits, ["key", "size"], "left").select("key", "size", "whole", limit.alias("limit"), F.col("part.hash").alias("tied"), F.col("part.more").alias("more"))
     return lookup_join(known, aims.select("key", "source_size", "target"), ["key"], "inner")
 
 
+def _allotted(key: str, size: str, part: str, rows: str, more: str) -> Column:
+    """How many of a part's equal rows are taken once more: ``more`` in all, the first parts first."""
+    upto = F.sum(rows).over(Window.partitionBy(key, size).orderBy(part))  # a part per task
+    return F.greatest(F.lit(0), F.least(F.col(rows), F.col(more) - (upto - F.col(rows))))
+
+
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken."""
     ready(docs.sparkSession)
     columns = _sized(docs, doc_id, text, source, seed)
     sized = docs.select(F.col(doc_id).alias("doc_id"), *[c.alias(n) for n, c in columns.items()])
     sized = written(sized, "document-sizes")  # texts are read once
-    copies = F.col("whole") + (F.col("hash") <= F.col("limit")).cast("bigint")
-    found = lookup_join(sized, decisions(sized), ["key", "size"], "inner").withColumn("copies", copies)
-    return found.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    found = lookup_join(sized, decisions(sized), ["key", "size"], "inner")
+    is_tied = F.coalesce(F.col("hash") == F.col("tied"), F.lit(False))
+    plain = found.where(~is_tied).withColumn("copies", F.col("whole") + (F.col("hash") <= F.col("limit")).cast("bigint"))
+    same = ["doc_id", "source", "key", "size", "source_size", "target", "whole", "more"]
+    tied = found.where(is_tied).withColumn("part", F.spark_partition_id()).groupBy(*same, "part").agg(F.count(F.lit(1)).alias("rows"))
+    tied = written(tied, "tied-rows")
+    tied = tied.withColumn("also", _allotted("key", "size", "part", "rows", "more"))
+    tied = tied.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("rows"))).alias("at"))
+    tied = tied.withColumn("copies", F.col("whole") + (F.col("at") <= F.col("also")).cast("bigint"))
+    columns = ["doc_id", "source", "size", "source_size", "target", "copies"]
+    return plain.select(*columns).union(tied.select(*columns)).withColumn("taken", F.col("size") * F.col("copies"))
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED) -> DataFrame:
@@ -193,11 +213,20 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     key, named, size, hashed = columns
     rows = docs.withColumns(columns)
     sized = written(rows.select(F.col(key).alias("key"), F.col(named).alias("source"), F.col(size).alias("size"), F.col(hashed).alias("hash")), "document-sizes")
-    known = decisions(sized).where("whole > 0 OR limit >= 0").selectExpr("key k", "size s", "whole w", "limit l")
-    known = known.toDF(*[free_name(rows.columns, n) for n in ("key", "size", "whole", "limit")])
-    k, s, whole, limit = known.columns
-    lookup = known.withColumnsRenamed({k: key, s: size})
+    known = decisions(sized).where("whole > 0 OR limit >= 0 OR more > 0").selectExpr("key k", "size s", "whole w", "limit l", "tied t", "more m")
+    known = known.toDF(*[free_name(rows.columns, n) for n in ("key", "size", "whole", "limit", "tied", "more")])
+    k, s, whole, limit, tied, more = known.columns
+    found = lookup_join(rows, known.withColumnsRenamed({k: key, s: size}), [key, size], "inner").where(F.col(size) > 0)
+    is_tied = F.coalesce(F.col(hashed) == F.col(tied), F.lit(False))
     copies = F.col(whole) + (F.col(hashed) <= F.col(limit)).cast("bigint")
-    repeated = F.explode(F.sequence(F.lit(1), copies.cast("int")))
-    taken = lookup_join(rows, lookup, [key, size], "inner").where((copies > 0) & (F.col(size) > 0))
-    return taken.select(*docs.columns, repeated.alias(free_name(docs.columns, "copy"))).select(*docs.columns)
+    again = lambda n: F.explode(F.sequence(F.lit(1).cast("bigint"), n))
+    copy = free_name(docs.columns, "copy")
+    plain = found.where(~is_tied).where(copies > 0).select(*docs.columns, again(copies).alias(copy)).select(*docs.columns)
+    # Equal rows: one of each task stands for its others.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    parts = found.where(is_tied).select(F.col(key).alias("key"), F.col(size).alias("size"), F.col(whole).alias("whole"), F.col(more).alias("more"), row.alias("row"))
+    parts = parts.withColumn("part", F.spark_partition_id()).groupBy("key", "size", "whole", "more", "part").agg(F.first("row").alias("row"), F.count(F.lit(1)).alias("rows"))
+    parts = written(parts, "tied-rows")
+    times = F.col("whole") * F.col("rows") + _allotted("key", "size", "part", "rows", "more")
+    parts = parts.withColumn("times", times).where("times > 0").select("row", again(F.col("times")).alias("copy"))
+    return plain.union(parts.select("row.*"))
