@@ -20,27 +20,27 @@ from scanlake.operators.analysis import (
     with_label,
 )
 
-# Result texts of the analysed sources, by label.
-SUCCESS = ["HTTP: null", "HTTPS: null", "ECHO: null", "DISCARD: null"]
+# Own result texts, by label.
+SUCCESS = ["HTTP: as expected", "HTTPS: as expected", "ECHO: as expected", "DISCARD: as expected"]
 INTERFERENCE = [
-    "HTTP: Get http://[IP]: net/http: request canceled (Client.Timeout exceeded while awaiting headers)",
-    "ECHO: Incorrect echo response",
-    "DISCARD: Received response",
+    "HTTP: no header within 30 s",
+    "ECHO: other bytes came back",
+    "DISCARD: bytes where none are due",
 ]
-SYSTEM_ERROR = ["HTTP: Get http://[IP]: EOF", "HTTPS: Get https://[IP]: EOF"]
+SYSTEM_ERROR = ["HTTP: closed by the probe", "HTTPS: closed by the probe"]
 
 # Events as analysed rows: the type decides the result text.
 ROWS = """SELECT event_id, 'd' || user_id % 10 AS domain,
     CASE user_id % 3 WHEN 0 THEN 'HTTP' WHEN 1 THEN 'HTTPS' ELSE 'ECHO' END AS source,
     CAST(CAST(ts AS DATE) AS STRING) AS date, user_id % 15 AS asn, 'AS name ' || user_id % 15 AS as_name,
     CAST(FLOOR(value) AS BIGINT) + 1 AS count,
-    CASE event_type WHEN 'view' THEN 'HTTP: null' WHEN 'click' THEN 'ECHO: null' WHEN 'signup' THEN 'ECHO: Incorrect echo response'
-      WHEN 'error' THEN CASE WHEN user_id % 2 = 0 THEN 'HTTPS: Get https://[IP]: EOF' ELSE 'DISCARD: Received response' END
+    CASE event_type WHEN 'view' THEN 'HTTP: as expected' WHEN 'click' THEN 'ECHO: as expected' WHEN 'signup' THEN 'ECHO: other bytes came back'
+      WHEN 'error' THEN CASE WHEN user_id % 2 = 0 THEN 'HTTPS: closed by the probe' ELSE 'DISCARD: bytes where none are due' END
       ELSE 'something else' END AS result
   FROM {events}"""
-LABELLED = f"""SELECT *, CASE result WHEN 'HTTP: null' THEN 'success' WHEN 'ECHO: null' THEN 'success'
-    WHEN 'ECHO: Incorrect echo response' THEN 'interference' WHEN 'DISCARD: Received response' THEN 'interference'
-    WHEN 'HTTPS: Get https://[IP]: EOF' THEN 'system_error' ELSE 'unknown' END AS result_type FROM ({ROWS}) source_rows"""
+LABELLED = f"""SELECT *, CASE result WHEN 'HTTP: as expected' THEN 'success' WHEN 'ECHO: as expected' THEN 'success'
+    WHEN 'ECHO: other bytes came back' THEN 'interference' WHEN 'DISCARD: bytes where none are due' THEN 'interference'
+    WHEN 'HTTPS: closed by the probe' THEN 'system_error' ELSE 'unknown' END AS result_type FROM ({ROWS}) source_rows"""
 
 
 def ratios_sql(by: str) -> str:
