@@ -10,18 +10,20 @@ copies counts as one. Classes link at ``PERCENT`` % of Jaccard similarity.
    of up to ``PERCENT`` % of K values are compared in full and need no chance). So they
    have a value in common among the first ones of each sketch in any common order. Values
    are ordered by how full their bucket is, rare ones first (counts of all values by
-   2**16 buckets): passages that many documents share come last and are hardly ever listed.
+   2**20 buckets): passages that many documents share come last and are hardly ever listed.
 2. **Short lists** (up to ``SHORT`` classes) give pairs of classes of like size. The
    sketch of their union estimates the similarity; sets as small as their sketch are
    decided by it, the others are confirmed on full sets.
-3. **Long lists**, of crowds of near copies, would give a square of pairs. Each is seen
-   from its centre instead, the values that over half of its classes have: a class becomes
-   its difference from the centre, of size s, and with weight w = 3 n - 37 s two classes
-   link exactly if w + w' + 74 * (common differences) >= 0. Those that need no common
-   difference all link to the class of greatest weight, one link each. Those that do are
-   listed again by their differences, rare ones first and only as many as may be needed.
-   At most half of a list shares a difference, so lists shrink by half at each level until
-   all are short. Nothing is capped and no list is collected.
+3. **Long lists**, of crowds of near copies, would give a square of pairs. Lists that share
+   classes are joined to one crowd, as near copies share most of them. Each crowd is seen
+   from a centre instead of pair by pair, the values that over half of some of its classes have: a class
+   becomes its difference from the centre, of size s, and with weight w = 3 n - 37 s two
+   classes link exactly if w + w' + 74 * (common differences) >= 0, whatever the centre.
+   Those that need no common difference all link to the class of greatest weight, one link
+   each. Those that do are listed again by their differences, rare ones first and only as
+   many as may be needed. No difference is common to a whole list and hardly any to much
+   more than half of it, so lists shrink at each level until all are short. Nothing is
+   capped and no list is collected.
 4. Components of the links give each document the smallest doc_id that it can reach.
 
 Full sets hold 64-bit values: two different shingles of two texts are taken for the same
@@ -43,7 +45,7 @@ from functools import partial, reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scanlake.llm.common import ready
@@ -59,7 +61,13 @@ K = 256
 SHARE = 0.65
 #: Longest inverted list whose pairs are formed.
 SHORT = 32
-BUCKET_BITS = 16
+#: Members of a long list that are asked for its centre, about.
+ASKED = 32
+MASK = (1 << 64) - 1
+#: Bits of the map that tells which rows a join can need.
+MAP_BITS = 23
+#: Buckets in which values are counted (4 MB of counts), and parts in which counts travel.
+BUCKET_BITS, PART_BITS = 20, 6
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -102,23 +110,36 @@ def _at(text: str):
     return F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")))
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket(values: np.ndarray) -> np.ndarray:
+    return (values & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)
+
+
+def _count_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << BUCKET_BITS, np.int64)
     for batch in batches:
-        for sketch in batch.column(0):
-            values = np.frombuffer(sketch.as_py(), np.uint64)
-            np.add.at(counts, (values & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64), 1)
-    used = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["bucket", "n"])
+        values = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
+        counts += np.bincount(_bucket(values), minlength=len(counts))
+    parts = np.split(counts, 1 << PART_BITS)
+    used = [i for i, part in enumerate(parts) if part.any()]
+    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array([parts[i].tobytes() for i in used], pa.binary())], names=["part", "counts"])
+
+
+def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            sums[part] = sums.get(part, 0) + np.frombuffer(counts, np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["part", "counts"])
 
 
 def bucket_counts(classes: DataFrame) -> np.ndarray:
     """How many values each of 2**BUCKET_BITS buckets has: what reaches the driver, whatever the input."""
-    rows = classes.select("sketch").mapInArrow(_buckets, "bucket BIGINT, n BIGINT").groupBy("bucket").agg(F.sum("n").alias("n"))
-    counts = np.zeros(1 << BUCKET_BITS, np.int64)
-    for row in rows.collect():
-        counts[row.bucket] = row.n
-    return counts
+    by_task = classes.select("sketch").mapInArrow(_count_values, "part BIGINT, counts BINARY")
+    summed = by_task.repartition("part").mapInArrow(_sum_counts, "part BIGINT, counts BINARY")
+    counts = np.zeros((1 << PART_BITS, 1 << (BUCKET_BITS - PART_BITS)), np.int64)
+    for row in summed.collect():
+        counts[row.part] = np.frombuffer(row.counts, np.int64)
+    return np.minimum(counts.ravel(), np.iinfo(np.int32).max).astype(np.int32)
 
 
 def _listed(batches: Iterator[pa.RecordBatch], counts: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
@@ -126,8 +147,7 @@ def _listed(batches: Iterator[pa.RecordBatch], counts: np.ndarray, k: int) -> It
         lists, nodes, sizes = [], [], []
         for node, n, sketch in zip(*(batch.column(i).to_pylist() for i in range(3))):
             values = np.frombuffer(sketch, np.uint64)
-            rank = counts[(values & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)]
-            first = values[np.lexsort((values, rank))][: len(values) - least_common(n, k) + 1]
+            first = values[np.lexsort((values, counts[_bucket(values)]))][: len(values) - least_common(n, k) + 1]
             lists.append(first.view(np.int64))
             nodes.append(np.full(len(first), node, np.int64))
             sizes.append(np.full(len(first), n, np.int64))
@@ -141,9 +161,9 @@ def counted(entries: DataFrame) -> DataFrame:
     return lookup_join(entries, lengths, ["list"], "inner")
 
 
-def inverted_lists(classes: DataFrame, k: int = K) -> DataFrame:
+def inverted_lists(classes: DataFrame, counts: np.ndarray, k: int = K) -> DataFrame:
     """Entries (list, node, n, length) of the inverted lists of retained values."""
-    listed = partial(_listed, counts=bucket_counts(classes), k=k)
+    listed = partial(_listed, counts=counts, k=k)
     return counted(classes.select("node", "n", "sketch").mapInArrow(listed, "list BIGINT, node BIGINT, n BIGINT"))
 
 
@@ -183,8 +203,29 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], names=["a", "b"])
 
 
+def _marked(batches: Iterator[pa.RecordBatch], words: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bit = batch.column(batch.num_columns - 1).to_numpy()
+        kept = (words[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1)
+        yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(kept.astype(bool)))
+
+
+def likely(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is among the given ones, and few others: what a join that follows need not shuffle.
+
+    The keys set bits of a map of 2**MAP_BITS; the map (1 MB) reaches the driver and the tasks.
+    """
+    bit = lambda: F.pmod(F.xxhash64(key), F.lit(1 << MAP_BITS))
+    set_ = keys.select(bit().alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+    words = np.zeros(1 << (MAP_BITS - 6), np.int64)
+    for row in set_.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("bit") % 64).cast("int"))).alias("bits")).collect():
+        words[row.word] = row.bits
+    return rows.withColumn("__bit", bit()).mapInArrow(partial(_marked, words=words.view(np.uint64)), rows.schema)
+
+
 def _sides(pairs: DataFrame, of: DataFrame, *columns: str) -> DataFrame:
     """Pairs with columns of both their classes, named by side."""
+    of = likely(of.select("node", *columns), pairs.select(F.explode(F.array("a", "b")).alias("node")), "node")
     for side in ("a", "b"):
         pairs = lookup_join(pairs, of.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), [side], "inner")
     return pairs
@@ -198,56 +239,82 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def whole_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, text: str, k: int) -> DataFrame:
     """The full set of each of the given classes: its sketch, or read again from a text that has it."""
-    wanted = lookup_join(classes, nodes, ["node"], "left_semi")
-    texts = docs.select(_at(text).alias("at"), F.col(text).cast("string").alias("text"))
+    wanted = lookup_join(likely(classes.select("node", "n", "at", "sketch"), nodes, "node"), nodes, ["node"], "left_semi")
     large = wanted.where(F.col("n") > k).select("node", "at")
+    texts = likely(docs.select(_at(text).alias("at"), F.col(text).cast("string").alias("text")), large, "at")
     texts = lookup_join(texts, large, ["at"], "inner").groupBy("node").agg(F.any_value("text").alias("text"))
     small = wanted.where(F.col("n") <= k).select("node", "sketch", F.lit(None).cast("string").alias("text"))
     rows = small.union(texts.select("node", F.lit(None).cast("binary"), "text"))
     return rows.mapInArrow(_whole, "node BIGINT, values ARRAY<BIGINT>")
 
 
-def crowd_level(entries: DataFrame, whole: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
-    """Links of long lists that need no common difference, and the lists of their differences."""
+def _first_differences(batches: Iterator[pa.RecordBatch], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(list, node, n, off, first) to an entry for each of the first differences, rare ones first."""
+    for batch in batches:
+        lists, nodes, sizes = [], [], []
+        for key, node, n, off, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), batch.column(4).to_pylist()):
+            values = off.values.to_numpy().view(np.uint64)
+            chosen = values[np.lexsort((values, counts[_bucket(values)]))][:first]
+            lists += [xxhash.xxh64_intdigest(v.tobytes(), key & MASK) for v in chosen]
+            nodes += [node] * len(chosen)
+            sizes += [n] * len(chosen)
+        columns = [pa.array(np.array(lists, np.uint64).view(np.int64)), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["list", "node", "n"])
+
+
+def crowd_level(entries: DataFrame, whole: DataFrame, counts: np.ndarray, tables: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links of long lists that need no common difference, the lists of their differences, and the table both read."""
     members = lookup_join(entries.select("list", "node", "n", "length"), whole, ["node"], "inner")
-    counts = members.select("list", "length", F.explode("values").alias("value")).groupBy("list", "length", "value").agg(F.count(F.lit(1)).alias("times"))
-    # What over half of the classes have: less than twice the values of a mean class.
-    centres = counts.where(2 * F.col("times") > F.col("length")).groupBy("list").agg(F.collect_list("value").alias("centre"))
+    # Any centre is right, a near one is fast: what most of some ASKED members have.
+    asked = members.where(F.pmod(F.xxhash64("list", "node"), F.col("length")) < ASKED)
+    times = asked.select("list", "node", F.explode("values").alias("value")).groupBy("list", "value").agg(F.count(F.lit(1)).alias("times"))
+    shares = lookup_join(times, asked.groupBy("list").agg(F.count(F.lit(1)).alias("asked")), ["list"], "inner")
+    centres = shares.where(2 * F.col("times") > F.col("asked")).groupBy("list").agg(F.collect_list("value").alias("centre"))  # under twice a mean set
     seen = lookup_join(members, centres, ["list"]).withColumn("centre", F.coalesce("centre", F.array().cast("array<bigint>")))
     off = F.concat(F.array_except("values", "centre"), F.array_except("centre", "values"))
-    seen = tables.written(seen.select("list", "node", "n", off.alias("off")).withColumn("weight", 3 * F.col("n") - 37 * F.size("off")), "differences")
-    most = seen.groupBy("list").agg(F.max(F.struct("weight", "node")).alias("most"))
-    seen = lookup_join(seen, most, ["list"], "inner").withColumn("lack", -(F.col("weight") + F.col("most.weight")))
+    used = tables.written(seen.select("list", "node", "n", off.alias("off")).withColumn("weight", 3 * F.col("n") - 37 * F.size("off")), "differences")
+    most = used.groupBy("list").agg(F.max(F.struct("weight", "node")).alias("most"))
+    seen = lookup_join(used, most, ["list"], "inner").withColumn("lack", -(F.col("weight") + F.col("most.weight")))
     links = seen.where("lack <= 0 and node != most.node").select(F.col("node").alias("a"), F.col("most.node").alias("b"))
     # Pairs that need common differences need at least this many, so one is among the first.
     first = F.size("off") - F.greatest(F.ceil(F.col("lack") / 74), F.lit(1)) + 1
-    each = seen.select("list", "node", "n", first.alias("first"), F.explode("off").alias("value")).where("first > 0")
-    times = each.groupBy("list", "value").agg(F.count(F.lit(1)).alias("times"))
-    ranked = lookup_join(each, times, ["list", "value"], "inner")
-    place = F.row_number().over(Window.partitionBy("list", "node").orderBy("times", "value"))  # the differences of one class
-    ranked = ranked.withColumn("place", place).where("place <= first and times > 1")
-    return links, ranked.select(F.xxhash64("list", "value").alias("list"), "node", "n")
+    each = seen.select("list", "node", "n", "off", first.alias("first")).where("first > 0")
+    return links, each.mapInArrow(partial(_first_differences, counts=counts), "list BIGINT, node BIGINT, n BIGINT"), used
+
+
+def crowds(long: DataFrame, tables: Tables) -> DataFrame:
+    """Long lists that share classes as one: near copies have most of their values, and so their lists, in common."""
+    labels = components(long.select(F.col("list").alias("a"), F.col("node").alias("b")), tables)
+    named = lookup_join(long.select("node", "n").distinct(), labels, ["node"])
+    named = named.select(F.coalesce("label", "node").alias("list"), "node", "n")
+    return lookup_join(named, named.groupBy("list").agg(F.count(F.lit(1)).alias("length")), ["list"], "inner")
 
 
 def class_links(classes: DataFrame, docs: DataFrame, tables: Tables, text: str = "text", k: int = K, short: int = SHORT) -> DataFrame:
     """Links (a, b) between classes (node, n, at, sketch) that hold every component together."""
-    entries = tables.written(inverted_lists(classes, k), "lists")
+    counts = bucket_counts(classes)
+    entries = tables.written(inverted_lists(classes, counts, k), "lists")
     pairs, links = [short_pairs(entries.where(F.col("length") <= short))], []
     long = entries.where(F.col("length") > short)
     if not long.isEmpty():
+        long = tables.written(crowds(long, tables), "crowds")
         whole = tables.written(whole_sets(long.select("node").distinct(), classes, docs, text, k), "crowd-sets")
         while True:
-            found, lists = crowd_level(long, whole, tables)
+            found, lists, used = crowd_level(long, whole, counts, tables)
             links.append(tables.written(found.distinct(), "crowd-links"))
             entries = tables.written(counted(lists.distinct()), "lists")
+            tables.remove(used)
             pairs.append(short_pairs(entries.where(F.col("length") <= short)))
             long = entries.where(F.col("length") > short)
             if long.isEmpty():
                 break
-    met = reduce(DataFrame.union, pairs).distinct()
+        tables.remove(whole)
+    met = tables.written(reduce(DataFrame.union, pairs).distinct(), "pairs")
+    tables.remove()
     met = _sides(met, classes, "n", "sketch").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
     judged = met.mapInArrow(partial(_estimated, k=k), "a BIGINT, b BIGINT, exact BOOLEAN, maybe BOOLEAN").where("exact or maybe")
     judged = tables.written(judged, "estimated")
+    tables.remove()
     maybe = judged.where("maybe").select("a", "b")
     whole = tables.written(whole_sets(maybe.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes, docs, text, k), "whole-sets")
     confirmed = _sides(maybe, whole, "values").select("a", "b", "values_a", "values_b").mapInArrow(_confirmed, "a BIGINT, b BIGINT")
@@ -261,11 +328,13 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
         found = tables.written(sketched(docs, doc_id, text, k), "sketches")
         classes = found.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("low"), F.any_value("n").alias("n"), F.min("at").alias("at"), F.any_value("sketch").alias("sketch"))
         classes = tables.written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+        rows = tables.written(found.select("doc_id", "n", "digest"), "rows")
+        tables.remove(found)
         labels = components(class_links(classes, docs, tables, text, k, short), tables)
         named = lookup_join(classes.select("digest", "node", "low"), labels, ["node"]).withColumn("label", F.coalesce("label", "node"))
         lowest = named.groupBy("label").agg(F.min("low").alias("component_id"))
         groups = lookup_join(named.select("digest", "label"), lowest, ["label"], "inner").select("digest", "component_id")
-        rows = lookup_join(found.select("doc_id", "n", "digest"), groups, ["digest"])
+        rows = lookup_join(rows, groups, ["digest"])
         component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         rows = rows.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
         return tables.result(rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))

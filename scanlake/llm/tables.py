@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,10 +38,15 @@ class Tables:
         return self._write(rows, f"{self.folder}-result")
 
     def remove(self, *tables: DataFrame) -> None:
-        """Remove tables that no later step reads, before the call ends."""
+        """Remove tables that no later step reads, before the call ends, and let go of finished shuffles.
+
+        Spark keeps the shuffle files of a finished step until the driver's heap is collected.
+        """
         for table in tables:
             for file in table.inputFiles()[:1]:
                 self._remove(file.rsplit("/", 1)[0])
+        gc.collect()
+        self.spark._jvm.System.gc()
 
     def _write(self, rows: DataFrame, path: str) -> DataFrame:
         rows.write.parquet(path)

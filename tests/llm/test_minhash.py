@@ -85,10 +85,11 @@ def test_crowds_make_few_pairs(spark):
     with Tables(spark, "crowd") as tables:
         classes = minhash.sketched(docs).withColumnRenamed("doc_id", "node")
         classes = tables.written(classes, "classes")
-        long = tables.written(minhash.inverted_lists(classes), "lists").where("length > 8")
+        counts = minhash.bucket_counts(classes)
+        long = tables.written(minhash.inverted_lists(classes, counts), "lists").where("length > 8")
         assert long.groupBy("list").count().agg({"count": "max"}).first()[0] > 300
         whole = tables.written(minhash.whole_sets(long.select("node").distinct(), classes, docs, "text", minhash.K), "sets")
-        links, lists = minhash.crowd_level(long, whole, tables)
+        links, lists, _ = minhash.crowd_level(long, whole, counts, tables)
         pairs = minhash.short_pairs(minhash.counted(lists.distinct()).where("length <= 32")).distinct().count()
         assert pairs + links.count() < len(rows) ** 2 / 10
     assert got(minhash.near_groups(docs, short=8)) == brute_groups(rows)
