@@ -3,6 +3,7 @@
 import gzip
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ from scanlake.sources.sinks import (
     write_base_table,
     write_json_export,
 )
-from scanlake.streaming.incremental import load_new_files
+from scanlake.streaming.incremental import closed_sources, load_new_files, stream_files
 
 
 def put(folder, name, *lines):
@@ -269,6 +270,48 @@ def test_sources_are_renewed_as_their_files_arrive(spark, tmp_path):
     assert run(str(tmp_path / "once"), str(tmp_path / "once-checkpoint")) == later
 
 
+def test_a_source_waits_for_all_its_kinds_of_file(spark, tmp_path):
+    kinds = {"answers": ["results.json", "responses.json"], "tags": ["tags.json"], "pages": ["pages.json"]}
+    names = [n for group in kinds.values() for n in group]
+    out, built = str(tmp_path / "out"), []
+
+    def build(lines):
+        built.append(sorted(r.value for r in lines.collect()))
+        return lines.select(F.lit("2022-06-02").cast("date").alias("date"), "value")
+
+    def run(wait_ms=None):
+        load_new_files(spark, str(tmp_path / "in"), names, build, out, str(tmp_path / "mark"), kinds, wait_ms).awaitTermination()
+
+    put(tmp_path, "in/Satellite-1/results.json", {"a": 1})
+    put(tmp_path, "in/Satellite-2/tags.json", {"b": 1})
+    run()
+    put(tmp_path, "in/Satellite-1/tags.json.gz", {"a": 2})
+    run()
+    assert built == []
+    put(tmp_path, "in/Satellite-1/pages.json", {"a": 3})
+    put(tmp_path, "in/Satellite-1/readme.json", {"a": 0})
+    run()
+    assert built == [['{"a": 1}', '{"a": 2}', '{"a": 3}']]  # parts in three runs: one build
+    put(tmp_path, "in/Satellite-1/responses.json", {"a": 4})  # late, but not lost
+    run()
+    assert built[1:] == [['{"a": 1}', '{"a": 2}', '{"a": 3}', '{"a": 4}']]
+    assert spark.read.parquet(out).count() == 4
+
+
+def test_a_waiting_source_is_closed_by_its_timer(spark, tmp_path):
+    kinds = {"answers": ["results.json"], "tags": ["tags.json"]}
+    put(tmp_path, "in/Satellite-1/results.json", {"a": 1})
+    files = stream_files(spark, str(tmp_path / "in"), ["results.json", "tags.json"])
+    query = closed_sources(files, kinds, wait_ms=1).writeStream.format("memory").queryName("closed_by_timer").outputMode("append").start()
+    try:
+        deadline = time.time() + 90
+        while not spark.sql("SELECT * FROM closed_by_timer").count() and time.time() < deadline:
+            time.sleep(0.5)
+        assert [tuple(r) for r in spark.sql("SELECT * FROM closed_by_timer").collect()] == [("Satellite-1", False)]
+    finally:
+        query.stop()
+
+
 def test_ranked_lists_are_numbered(spark, tmp_path):
     paths = [put(tmp_path, "global.csv", "http://a.com,X,One\n", "http://b.com,X,Two\n"), put(tmp_path, "ad.csv", "http://a.com,X,Three\n")]
     rows = [(r["rank"], r.line, r.category) for r in read_ranked_lists(spark, paths).collect()]
