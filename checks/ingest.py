@@ -326,8 +326,8 @@ def signature_file(spark, sf):
     """A repeated fingerprint takes the later pattern."""
     lines = relation(spark, sf, "SELECT p_partkey, 'size ' || p_size || ', brand ' || p_brand AS pattern, 'f' || p_partkey % 40 AS fingerprint FROM {part}")
     path = fresh_path(spark, "signatures")
-    lines.orderBy("p_partkey").coalesce(1).select(F.to_json(F.struct("pattern", "fingerprint"))).write.text(path)
-    found = read_signatures(spark, named_as(spark, path, path + ".json"))
+    lines.orderBy("p_partkey").select(F.to_json(F.struct("pattern", "fingerprint"))).write.text(path)  # files in order
+    found = read_signatures(spark, path)
     return spark.createDataFrame(found, "pattern STRING, fingerprint STRING").select("fingerprint", "pattern")
 
 

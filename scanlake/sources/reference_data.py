@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,20 +102,22 @@ def read_signatures(spark: SparkSession, path: str) -> list[Signature]:
     """Signatures in file order; blank lines are skipped, a repeated fingerprint keeps
     its place and takes the later pattern.
 
-    Patterns become literals of the plan, like the rules in code, so this one
-    hand-maintained file goes to the driver; one of over ``SIGNATURE_BYTES`` is refused
-    before it is read. A pattern that cannot be searched is refused by its fingerprint.
+    Lines are read and folded by fingerprint on the executors, so the file may be large and
+    may be a folder of files. What is left becomes literals of the plan, like the rules in
+    code, and goes to the driver; more than ``SIGNATURE_BYTES`` of it is refused before it
+    is fetched. A pattern that cannot be searched is refused by its fingerprint.
     """
-    sizes = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
-    if sizes > SIGNATURE_BYTES:
-        raise ValueError(f"{path} has {sizes} bytes; signatures may have {SIGNATURE_BYTES}")
-    text = spark.read.text(path, wholetext=True).first()
-    found: dict[str, str] = {}
-    for line in (text["value"] if text else "").split("\n"):
-        if line.strip():
-            item = json.loads(line)
-            found[item["fingerprint"]] = item["pattern"]
-    signatures = [Signature(pattern, fingerprint) for fingerprint, pattern in found.items()]
+    lines = spark.read.option("lineSep", "\n").text(path)
+    item = F.from_json("value", "fingerprint STRING, pattern STRING", {"mode": "FAILFAST"})
+    rows = lines.select(line_order().alias("line"), "value").where(F.col("value").rlike(r"(?U)\S")).select("line", "value", item.alias("item"))
+    whole = F.col("item.fingerprint").isNotNull() & F.col("item.pattern").isNotNull()
+    lacking = F.raise_error(F.concat(F.lit("no fingerprint or pattern: "), F.col("value"))).cast("string")
+    rows = rows.select("line", F.when(whole, F.col("item.fingerprint")).otherwise(lacking).alias("fingerprint"), "item.pattern")
+    folded = rows.groupBy("fingerprint").agg(F.min("line").alias("first"), F.max_by("pattern", "line").alias("pattern"))
+    size = folded.agg(F.sum(F.octet_length("fingerprint") + F.octet_length("pattern"))).first()[0] or 0
+    if size > SIGNATURE_BYTES:
+        raise ValueError(f"{path} has {size} bytes of signatures; there may be {SIGNATURE_BYTES}")
+    signatures = [Signature(r["pattern"], r["fingerprint"]) for r in folded.orderBy("first").select("pattern", "fingerprint").collect()]
     refuse_unsupported(spark, signatures)
     return signatures
 
