@@ -26,6 +26,7 @@ from scanlake.operators.answers import (
     join_page_fetches,
     join_resolver_tags,
 )
+from scanlake.operators.barrier import explode_once
 from scanlake.operators.postprocess import (
     broadcast_control_counts,
     dns_confidence,
@@ -74,8 +75,8 @@ def dns_rows(spark, sf, *extra: str) -> DataFrame:
     c = F.col
     base = relation(spark, sf, ROWS)
 
-    def answer(i: Column) -> Column:
-        k = (c("l_suppkey") * 7 + c("l_partkey") + i) % 97
+    def answer(place: Column) -> Column:
+        i, k = place["i"], place["k"]
         start = F.coalesce(
             F.get(F.array(*[F.lit(p) for p in ("0.0.", "127.0.", "10.1.", "172.20.", "192.168.")]), (k % 20).cast("int")),
             s("20.", k, "."),
@@ -116,7 +117,9 @@ def dns_rows(spark, sf, *extra: str) -> DataFrame:
             http_error=F.when(k % 16 == 0, s("error ", k)),
         )
 
-    answers = F.transform(steps(c("n") % 4), answer).cast(f"ARRAY<{ANSWER}>")
+    # The kind is worked out once per answer, not in each of the fields it decides.
+    places = F.transform(steps(c("n") % 4), lambda i: F.struct(i.alias("i"), ((c("l_suppkey") * 7 + c("l_partkey") + i) % 97).alias("k")))
+    answers = F.transform(places, answer).cast(f"ARRAY<{ANSWER}>")
     null = F.lit(None)
     return base.select(
         "domain", "is_control", "ip", "is_control_ip", c("day").alias("date"),
@@ -312,7 +315,7 @@ ANSWER_TAGS = """SELECT 'sat-' || p_size % 3 AS source, '20.' || p_partkey % 97
 
 def answers_of(rows: DataFrame, **fields: str) -> DataFrame:
     """One record per answer with some of its fields."""
-    exploded = rows.select("measurement_id", F.posexplode("received").alias("i", "a"))
+    exploded = explode_once(rows, ["measurement_id"], F.col("received"), "i", "a")
     return exploded.select(
         "measurement_id",
         F.col("i").cast("bigint").alias("i"),
@@ -451,7 +454,7 @@ def page_fetches(spark, sf):
 def output_rows(spark, sf):
     c = F.col
     flat = dns_table(dns_rows(spark, sf).withColumn("category", F.lit("cat")))
-    exploded = flat.select("*", F.posexplode("answers").alias("i", "a"))
+    exploded = explode_once(flat, ["*"], F.col("answers"), "i", "a")
     return exploded.select(
         "measurement_id",
         c("i").cast("bigint").alias("i"),
@@ -484,7 +487,7 @@ def exported(spark, sf):
     c = F.col
     kept = export_projection(dns_table(dns_rows(spark, sf).withColumn("category", F.lit("cat"))))
     fields = kept.schema["answers"].dataType.elementType.fieldNames()
-    exploded = kept.select("*", F.posexplode("answers").alias("i", "a"))
+    exploded = explode_once(kept, ["*"], F.col("answers"), "i", "a")
     return exploded.select(
         "measurement_id",
         c("i").cast("bigint").alias("i"),
