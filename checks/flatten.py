@@ -31,11 +31,12 @@ def json_text(**fields: Column) -> Column:
 
 
 def with_raw(text: Column, **raw: Column) -> Column:
-    """Add fields whose values are JSON text already; null ones are left out."""
-    for name, value in raw.items():
-        added = F.concat(F.substring(text, F.lit(1), F.length(text) - 1), F.lit(f',"{name}":'), value, F.lit("}"))
-        text = F.when(value.isNull(), text).otherwise(added)
-    return text
+    """Add fields whose values are JSON text already; null ones are left out.
+
+    They are put before the others, so that object and values are rendered once each.
+    """
+    first = [F.coalesce(F.concat(F.lit(f'"{name}":'), value, F.lit(",")), F.lit("")) for name, value in raw.items()]
+    return F.concat(F.lit("{"), *first, F.substring(text, 2, 2**31 - 1))
 
 
 def json_list(items: Column) -> Column:
