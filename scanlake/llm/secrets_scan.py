@@ -189,9 +189,9 @@ def ordinary(codes: np.ndarray, base: list[tuple[int, int, int]]) -> np.ndarray:
 
 
 class Windows:
-    """Counts the windows of texts by class and bin; they tile each whole text.
+    """Counts the windows of texts by class and bin; those of each class cover every letter.
 
-    Tiles of many texts wait for each other, so that the battery runs on large blocks.
+    A text shorter than a class has no window of it. Windows of many texts wait for each other, so that the battery runs on large blocks.
     """
 
     def __init__(self):
@@ -201,15 +201,12 @@ class Windows:
 
     def add(self, codes: np.ndarray) -> None:
         letters = codes[_IS_WORD[codes]]
-        stride = sum(CLASSES)
-        tiles = letters[: len(letters) // stride * stride].reshape(-1, stride)
-        start = 0
         for at, length in enumerate(CLASSES):
-            if len(tiles):
-                self.waiting[at].append(tiles[:, start : start + length])
-            elif len(letters) >= length:  # a text shorter than a tile has one window of each class
-                self.waiting[at].append(letters[None, :length])
-            start += length
+            whole = len(letters) // length * length
+            if whole:
+                self.waiting[at].append(letters[:whole].reshape(-1, length))
+                if whole < len(letters):  # the rest, in a window that ends with the text
+                    self.waiting[at].append(letters[None, -length:])
         self.held += len(letters)
         if self.held > 1 << 19:
             self.flush()

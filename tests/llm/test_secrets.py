@@ -120,3 +120,16 @@ def test_false_discovery_rule():
     limits = secrets_scan.discoveries(ordinary, tested, 0.05)
     assert 2 <= limits[1] < 100 and limits[0] < 150 and limits[2] < 150
     assert secrets_scan.discoveries(ordinary, np.zeros_like(tested), 0.05) == [-1] * 4
+
+
+def test_windows_cover_every_letter(monkeypatch):
+    seen = []
+    monkeypatch.setattr(secrets_scan, "infer", lambda windows: seen.append(windows) or np.full(len(windows), -1))
+    windows = secrets_scan.Windows()
+    codes = np.arange(250, dtype=np.uint8)  # letters are told apart by their code
+    monkeypatch.setattr(secrets_scan, "_IS_WORD", np.ones(256, bool))
+    windows.add(codes)
+    windows.flush()
+    assert [w.shape[1] for w in seen] == list(secrets_scan.CLASSES)
+    for w in seen:
+        assert set(w.ravel().tolist()) == set(range(250))
