@@ -12,6 +12,10 @@ from scanlake.operators.tables import export_projection
 from scanlake.session import shared_folder
 
 
+#: Rows of a range that is sorted in one task.
+RANGE_ROWS = 500_000
+
+
 class EmptyResult(ValueError):
     """No rows came out of a load although there were files to read."""
 
@@ -27,10 +31,15 @@ def write_base_table(table: DataFrame, path: str, append: bool = False, partitio
     Rows are dealt out by ranges of (date, country, network), with bounds from a sample, and
     sorted so inside files: the files of a large day follow each other by country and overlap
     at most with their neighbours, small days share a task, and readers skip files by minimum
-    and maximum. The sample reads the rows once more, so they had better be a table already.
+    and maximum. There are ``partitions`` ranges, or more where one would hold over
+    ``RANGE_ROWS`` rows, so that what a task sorts does not grow with the table. Count and
+    sample read the rows once more each, so they had better be a table already.
     """
     order = ["date", *[c for c in _cluster_columns(table) if c in table.columns]]
-    dealt = table.repartitionByRange(partitions, *order) if partitions else table.repartitionByRange(*order)
+    least = -(-table.count() // RANGE_ROWS)
+    if partitions is None and least > int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        partitions = least
+    dealt = table.repartitionByRange(max(partitions, least), *order) if partitions else table.repartitionByRange(*order)
     arranged = dealt.sortWithinPartitions(*order)
     arranged.write.mode("append" if append else "overwrite").partitionBy("date").parquet(path)
 
