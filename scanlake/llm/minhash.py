@@ -21,9 +21,10 @@ copies counts as one. Classes link at ``PERCENT`` % of Jaccard similarity.
    classes link exactly if w + w' + 74 * (common differences) >= 0, whatever the centre.
    Those that need no common difference all link to the class of greatest weight, one link
    each. Those that do are listed again by their differences, rare ones first and only as
-   many as may be needed. No difference is common to a whole list and hardly any to much
-   more than half of it, so lists shrink at each level until all are short. Nothing is
-   capped and no list is collected.
+   many as may be needed, and so on until all lists are short. A list whose differences
+   part it badly (the lists that follow hold over half its pairs) ends there: its classes
+   are compared by differences, block by block. So pairs at least halve at each level.
+   Nothing is capped and no list is collected.
 4. Components of the links give each document the smallest doc_id that it can reach.
 
 Full sets hold 64-bit values: two different shingles of two texts are taken for the same
@@ -62,7 +63,9 @@ SHARE = 0.65
 #: Longest inverted list whose pairs are formed.
 SHORT = 32
 #: Members of a long list that are asked for its centre, about.
-ASKED = 32
+ASKED = 8
+#: Classes of a block of a dense list, about, and values looked at together.
+BLOCK, COLUMNS = 256, 4096
 MASK = (1 << 64) - 1
 #: Bits of the map that tells which rows a join can need.
 MAP_BITS = 23
@@ -156,9 +159,16 @@ def _listed(batches: Iterator[pa.RecordBatch], counts: np.ndarray, k: int) -> It
 
 
 def counted(entries: DataFrame) -> DataFrame:
-    """Entries (list, node, n) of lists that have two or more, with the length of their list."""
-    lengths = entries.groupBy("list").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
-    return lookup_join(entries, lengths, ["list"], "inner")
+    """Entries (list, node, n) of lists that have two or more, with the length of their list.
+
+    Of lists with the same members one is kept, as near copies share most of their lists:
+    the others would give the same pairs again. Members are compared by their number and
+    128 bits of hashes.
+    """
+    marks = [F.bit_xor(F.xxhash64(F.lit(seed), "node")).alias(f"mark{seed}") for seed in range(2)]
+    lengths = entries.groupBy("list").agg(F.count(F.lit(1)).alias("length"), *marks).where("length > 1")
+    kept = lengths.groupBy("length", "mark0", "mark1").agg(F.min("list").alias("list")).select("list", "length")
+    return lookup_join(entries, kept, ["list"], "inner")
 
 
 def inverted_lists(classes: DataFrame, counts: np.ndarray, k: int = K) -> DataFrame:
@@ -251,24 +261,80 @@ def whole_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, text: str,
 def _first_differences(batches: Iterator[pa.RecordBatch], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(list, node, n, off, first) to an entry for each of the first differences, rare ones first."""
     for batch in batches:
-        lists, nodes, sizes = [], [], []
+        lists, nodes, sizes, parents = [], [], [], []
         for key, node, n, off, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), batch.column(4).to_pylist()):
             values = off.values.to_numpy().view(np.uint64)
             chosen = values[np.lexsort((values, counts[_bucket(values)]))][:first]
             lists += [xxhash.xxh64_intdigest(v.tobytes(), key & MASK) for v in chosen]
             nodes += [node] * len(chosen)
             sizes += [n] * len(chosen)
-        columns = [pa.array(np.array(lists, np.uint64).view(np.int64)), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["list", "node", "n"])
+            parents += [key] * len(chosen)
+        columns = [pa.array(np.array(lists, np.uint64).view(np.int64)), *(pa.array(c, pa.int64()) for c in (nodes, sizes, parents))]
+        yield pa.RecordBatch.from_arrays(columns, names=["list", "node", "n", "parent"])
+
+
+def dense_lists(used: DataFrame, entries: DataFrame) -> DataFrame:
+    """(list, blocks) of the long lists whose differences part them badly.
+
+    The lists that follow hold over half as many pairs as the list itself, repeats counted: the
+    same pair would come up again in each of them, and at every further level.
+    """
+    sizes = used.groupBy("list").agg(F.count(F.lit(1)).alias("size"))
+    following = entries.groupBy("parent", "list").agg(F.first("length").alias("length"))
+    following = following.groupBy(F.col("parent").alias("list")).agg(F.sum(F.col("length") * (F.col("length") - 1)).alias("pairs"))
+    dense = lookup_join(sizes, following, ["list"], "inner").where(2 * F.col("pairs") > F.col("size") * (F.col("size") - 1))
+    return dense.select("list", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+
+
+def _block_links(block: pa.Table) -> pa.Table:
+    """Links that hold the classes of two blocks (or of one) together: w + w' + 74 * (common differences) >= 0."""
+    nodes, weights, own = (block.column(c).to_numpy() for c in ("node", "weight", "own"))
+    off = block.column("off").combine_chunks()
+    lengths = np.diff(off.offsets.to_numpy())
+    values, place = np.unique(off.flatten().to_numpy(), return_inverse=True)
+    member = np.repeat(np.arange(len(nodes)), lengths)
+    left, right = np.flatnonzero(own == own.min()), np.flatnonzero(own == own.max())
+    order = np.argsort(place, kind="stable")
+    place, member = place[order], member[order]
+    common = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, len(values), COLUMNS):  # a part of the values at a time: memory stays the same
+        low, high = np.searchsorted(place, (start, start + COLUMNS))
+        has = np.zeros((len(nodes), min(COLUMNS, len(values) - start)), np.float32)
+        has[member[low:high], place[low:high] - start] = 1
+        common += has[left] @ has[right].T
+    a, b = np.nonzero(weights[left][:, None] + weights[right][None, :] + 74 * common.astype(np.int64) >= 0)
+    a, b = left[a], right[b]
+    # Near copies link with all others: each is named with the lowest class it reaches instead.
+    label = np.arange(len(nodes))
+    while True:
+        before = label.copy()
+        np.minimum.at(label, a, before[b])
+        np.minimum.at(label, b, before[a])
+        label = label[label]
+        if np.array_equal(label, before):
+            break
+    linked = np.flatnonzero(label != np.arange(len(nodes)))
+    return pa.table({"a": nodes[linked], "b": nodes[label[linked]]})
+
+
+def block_links(used: DataFrame, dense: DataFrame) -> DataFrame:
+    """Links of dense lists: every two blocks of about BLOCK classes are compared by their differences, once."""
+    rows = lookup_join(used.select("list", "node", "off", "weight"), dense, ["list"], "inner")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("list", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "own", "off", "weight")
+    return rows.groupBy("list", "low", "high").applyInArrow(_block_links, "a BIGINT, b BIGINT")
 
 
 def crowd_level(entries: DataFrame, whole: DataFrame, counts: np.ndarray, tables: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links of long lists that need no common difference, the lists of their differences, and the table both read."""
     members = lookup_join(entries.select("list", "node", "n", "length"), whole, ["node"], "inner")
-    # Any centre is right, a near one is fast: what most of some ASKED members have.
-    asked = members.where(F.pmod(F.xxhash64("list", "node"), F.col("length")) < ASKED)
-    times = asked.select("list", "node", F.explode("values").alias("value")).groupBy("list", "value").agg(F.count(F.lit(1)).alias("times"))
-    shares = lookup_join(times, asked.groupBy("list").agg(F.count(F.lit(1)).alias("asked")), ["list"], "inner")
+    # Any centre is right, a near one is fast: what most of some ASKED members have. How many
+    # were asked is joined while the rows are narrow; the values are shuffled once.
+    asked = entries.where(F.pmod(F.xxhash64("list", "node"), F.col("length")) < ASKED).select("list", "node")
+    asked = lookup_join(asked, asked.groupBy("list").agg(F.count(F.lit(1)).alias("asked")), ["list"], "inner")
+    values = lookup_join(asked, likely(whole, asked.select("node"), "node"), ["node"], "inner").select("list", "asked", F.explode("values").alias("value"))
+    shares = values.groupBy("list", "asked", "value").agg(F.count(F.lit(1)).alias("times"))
     centres = shares.where(2 * F.col("times") > F.col("asked")).groupBy("list").agg(F.collect_list("value").alias("centre"))  # under twice a mean set
     seen = lookup_join(members, centres, ["list"]).withColumn("centre", F.coalesce("centre", F.array().cast("array<bigint>")))
     off = F.concat(F.array_except("values", "centre"), F.array_except("centre", "values"))
@@ -279,7 +345,7 @@ def crowd_level(entries: DataFrame, whole: DataFrame, counts: np.ndarray, tables
     # Pairs that need common differences need at least this many, so one is among the first.
     first = F.size("off") - F.greatest(F.ceil(F.col("lack") / 74), F.lit(1)) + 1
     each = seen.select("list", "node", "n", "off", first.alias("first")).where("first > 0")
-    return links, each.mapInArrow(partial(_first_differences, counts=counts), "list BIGINT, node BIGINT, n BIGINT"), used
+    return links, each.mapInArrow(partial(_first_differences, counts=counts), "list BIGINT, node BIGINT, n BIGINT, parent BIGINT"), used
 
 
 def crowds(long: DataFrame, tables: Tables) -> DataFrame:
@@ -303,6 +369,10 @@ def class_links(classes: DataFrame, docs: DataFrame, tables: Tables, text: str =
             found, lists, used = crowd_level(long, whole, counts, tables)
             links.append(tables.written(found.distinct(), "crowd-links"))
             entries = tables.written(counted(lists.distinct()), "lists")
+            dense = tables.written(dense_lists(used, entries), "dense")
+            if not dense.isEmpty():
+                links.append(tables.written(block_links(used, dense).distinct(), "block-links"))
+                entries = tables.written(lookup_join(entries, dense.select(F.col("list").alias("parent")), ["parent"], "left_anti"), "lists")
             tables.remove(used)
             pairs.append(short_pairs(entries.where(F.col("length") <= short)))
             long = entries.where(F.col("length") > short)

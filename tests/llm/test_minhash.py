@@ -93,3 +93,28 @@ def test_crowds_make_few_pairs(spark):
         pairs = minhash.short_pairs(minhash.counted(lists.distinct()).where("length <= 32")).distinct().count()
         assert pairs + links.count() < len(rows) ** 2 / 10
     assert got(minhash.near_groups(docs, short=8)) == brute_groups(rows)
+
+
+def test_mixed_versions_end_at_once(spark, monkeypatch):
+    """Texts that mix versions of their parts share differences with about everyone: lists of differences do not part them."""
+    rng = random.Random(6)
+    parts = [[" ".join(f"w{rng.randrange(400)}" for _ in range(12)) for _ in range(2)] for _ in range(24)]
+    texts = sorted({" ".join(rng.choices(p, (3, 1))[0] for p in parts) for _ in range(160)})
+    texts += [t.replace(" ", " y ", 1) for t in texts[:20]]
+    rows = list(enumerate(texts))
+    entries, level = [], minhash.crowd_level
+
+    def counting(long, *more):
+        entries.append(long.count())
+        return level(long, *more)
+
+    monkeypatch.setattr(minhash, "crowd_level", counting)
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4)
+    assert got(minhash.near_groups(docs, short=8)) == brute_groups(rows)
+    assert entries and sum(entries) <= 3 * len(rows), entries
+
+
+def test_lists_of_the_same_members_are_kept_once(spark):
+    entries = [(v, node, 9) for v in range(1, 6) for node in (1, 2, 3)] + [(6, 1, 9), (6, 2, 9), (7, 1, 9)]
+    found = minhash.counted(spark.createDataFrame(entries, "list BIGINT, node BIGINT, n BIGINT")).collect()
+    assert sorted((r.node, r.length) for r in found) == [(1, 2), (1, 3), (2, 2), (2, 3), (3, 3)]
