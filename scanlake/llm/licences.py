@@ -2,8 +2,10 @@
 
 Everything is DataFrame, SQL and JVM machine-learning code; no Python runs on executors.
 
-* *Paragraphs* are lines and blank-line blocks with an anchor word (``ANCHORS``); a text
-  without one has none, and nothing of it is moved.
+* *Paragraphs* are lines and blank-line blocks with an anchor word (``ANCHORS``), and, of the
+  words of the whole text whatever its lines, stretches where a template may lie: a text can
+  only be confirmed for a template if it holds one of its ``key_pairs``, so each place of
+  one gives the stretch of the template's length around it, tight and wide.
 * *Classifier*: multinomial logistic regression with elastic-net penalty over hashed word
   1- and 2-grams, trained on variants of the templates (words left out, cut ends) and, for
   the class ``unknown``, on near misses and on lines of at most ``SAMPLE`` documents.
@@ -19,6 +21,8 @@ is carried along; an empty table gives an empty result; other columns are ignore
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
@@ -26,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.llm.common import ready, written
+from scanlake.operators.joins import lookup_join
 
 UNKNOWN = "unknown"
 FEATURES = 1 << 13
@@ -196,15 +201,57 @@ def paragraphs(text: Column) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
+def key_pairs() -> list[tuple[str, int, int]]:
+    """(pair, place of the pair in its template, words of the template).
+
+    Of each template so many word pairs that no text without one of them can hold COVERED
+    of all; the longest ones, as they are rare in other texts.
+    """
+    keys = []
+    for template in (t for texts in TEMPLATES.values() for t in texts):
+        tokens = [w for w in re.split("[^a-z0-9]+", template.lower()) if w]
+        at = {}
+        for place, pair in enumerate(zip(tokens, tokens[1:])):
+            at.setdefault(" ".join(pair), place)
+        needed = next(n for n in range(len(at) + 1) if n / len(at) >= COVERED)
+        chosen = sorted(at, key=lambda pair: (-len(pair), pair))[: len(at) - needed + 1]
+        keys += [(pair, at[pair], len(tokens)) for pair in chosen]
+    return keys
+
+
+def keyed(tokens: Column) -> Column:
+    """The words of a text that holds a key pair, otherwise null."""
+    keys = F.array(*[F.lit(pair) for pair in sorted({k[0] for k in key_pairs()})])
+    return F.when(F.arrays_overlap(pairs(tokens), keys), tokens)
+
+
+def stretches(texts: DataFrame) -> DataFrame:
+    """row, at (negative) and words of each stretch of the given ``tokens`` in which a template may lie."""
+    spark = texts.sparkSession
+    # Places in the text without its words; a few hundred key pairs: a bounded broadcast.
+    places = texts.select("row", F.posexplode(pairs(F.col("tokens"))).alias("place", "pair"))
+    keys = spark.createDataFrame(key_pairs(), "pair STRING, offset INT, length INT")
+    keys = keys.withColumn("slack", F.explode(F.array(F.floor(F.col("length") / 4).cast("int") + 2, F.col("length"))))
+    hits = places.join(F.broadcast(keys), "pair")
+    start = F.greatest(F.col("place") - F.col("offset") - F.col("slack"), F.lit(0))
+    spans = hits.select("row", start.alias("start"), (F.col("length") + 2 * F.col("slack")).alias("length")).distinct()
+    sliced = lookup_join(spans, texts.select("row", "tokens"), ["row"], "inner")
+    at = -1 - F.col("start").cast("bigint") * 1024 - F.col("length")
+    return sliced.select("row", at.alias("at"), F.slice("tokens", F.col("start") + 1, F.col("length")).alias("words"))
+
+
 def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, families (sorted array of confirmed ones), n_paragraphs
-    with an anchor, n_predicted and n_confirmed of them, and the highest confirmed score."""
+    (lines, blocks and stretches that were classified), n_predicted and n_confirmed of them,
+    and the highest confirmed score."""
     spark = ready(docs.sparkSession)
     named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     model, limit = fit(named)
-    found = written(named.select("doc_id", F.monotonically_increasing_id().alias("row"), paragraphs(F.col("text")).alias("paragraphs")), "licence-paragraphs")
+    found = named.select("doc_id", F.monotonically_increasing_id().alias("row"), "text", words(F.col("text")).alias("tokens"))
+    found = written(found.select("doc_id", "row", paragraphs(F.col("text")).alias("paragraphs"), keyed(F.col("tokens")).alias("tokens")), "licence-paragraphs")
     units = found.where(F.size("paragraphs") > 0).select("row", F.posexplode("paragraphs").alias("at", "paragraph"))
-    units = written(units.select("row", "at", words(F.col("paragraph")).alias("words")), "licence-words")
+    units = units.select("row", F.col("at").cast("bigint").alias("at"), words(F.col("paragraph")).alias("words"))
+    units = written(units.union(stretches(found.where("tokens IS NOT NULL"))), "licence-words")
     chance = vector_to_array("probability")
     scored = model.transform(featured(units)).select("row", "at", "words", chance.alias("chance"))
     best = F.array_max(F.slice("chance", 2, len(TEMPLATES)))
@@ -220,14 +267,13 @@ def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     compared = predicted.where("family IS NOT NULL").join(F.broadcast(known), F.col("family") == F.col("known"))
     covered = F.size(F.array_intersect("wanted", "pairs")) / F.size("wanted")
     confirmed = compared.where(covered >= COVERED).groupBy("row", "at").agg(F.first("family").alias("family"), F.first("score").alias("score"))
-    by_row = predicted.groupBy("row").agg(F.count("family").alias("n_predicted"))
+    by_row = predicted.groupBy("row").agg(F.count(F.lit(1)).alias("n_paragraphs"), F.count("family").alias("n_predicted"))
     sure_rows = confirmed.groupBy("row").agg(F.sort_array(F.collect_set("family")).alias("families"), F.count(F.lit(1)).alias("n_confirmed"), F.max("score").alias("score"))
-    rows = found.select("doc_id", "row", F.size("paragraphs").cast("bigint").alias("n_paragraphs"))
-    joined = rows.join(by_row, "row", "left").join(sure_rows, "row", "left")
+    joined = found.select("doc_id", "row").join(by_row, "row", "left").join(sure_rows, "row", "left")
     return joined.select(
         "doc_id",
         F.coalesce("families", F.array().cast("array<string>")).alias("families"),
-        "n_paragraphs",
+        F.coalesce("n_paragraphs", F.lit(0)).alias("n_paragraphs"),
         F.coalesce("n_predicted", F.lit(0)).alias("n_predicted"),
         F.coalesce("n_confirmed", F.lit(0)).alias("n_confirmed"),
         F.coalesce("score", F.lit(0.0)).alias("score"),

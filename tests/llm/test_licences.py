@@ -73,3 +73,33 @@ def test_odd_tables(odd_docs, no_docs):
     assert licences.scanned(no_docs).collect() == []
     found = licences.scanned(odd_docs).collect()
     assert len(found) == odd_docs.count() and not any(r.families for r in found)
+
+
+def test_notices_within_long_lines_and_over_lines(spark):
+    """A notice in the middle of a long line, of a text of one line, and wrapped at any word."""
+    rng = random.Random(12)
+    plain = lambda n: " ".join("".join(rng.choices(["an", "er", "th", "ou", "ing"], k=rng.randrange(1, 4))) for _ in range(n))
+    notices = {"mit": "Released under the MIT License.", "apache": "Licensed under the Apache License, Version 2.0", "gpl": "SPDX-License-Identifier: GPL-3.0-or-later"}
+    rows, want = [], []
+    for family, notice in notices.items():
+        for i in range(12):
+            tokens = notice.split(" ")
+            cut = 1 + i % max(1, len(tokens) - 1)
+            wrapped = " ".join(tokens[:cut]) + "\n" + " ".join(tokens[cut:]) if i % 3 == 0 else notice
+            rows.append((len(rows), f"{plain(60 + 25 * (i % 4))} {wrapped} {plain(80)}"))
+            want.append([family])
+    for _ in range(30):
+        rows.append((len(rows), plain(300)))
+        want.append([])
+    found = {r.doc_id: r.families for r in licences.scanned(spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3)).collect()}
+    right = sum(found[i] == want[i] for i in range(36))
+    assert right >= 33, [(rows[i], found[i]) for i in range(36) if found[i] != want[i]][:3]
+    assert not any(found[i] for i in range(36, len(rows)))
+
+
+def test_no_text_without_a_key_pair_can_be_confirmed():
+    keys = {pair for pair, _, _ in licences.key_pairs()}
+    for template in (t for texts in licences.TEMPLATES.values() for t in texts):
+        tokens = [w for w in re.split("[^a-z0-9]+", template.lower()) if w]
+        wanted = {f"{a} {b}" for a, b in zip(tokens, tokens[1:])}
+        assert len(wanted - keys) / len(wanted) < licences.COVERED
