@@ -62,3 +62,20 @@ def test_missing_rates_are_unknown(spark):
     assert one(spark, is_bad_resolver(null, F.lit(0.1), F.lit(0.1))) is None
     assert one(spark, is_bad_resolver(null, F.lit(0.8), F.lit(0.1))) is True
     assert one(spark, is_bad_resolver(F.lit(0.75), F.lit(0.1), F.lit(0.1))) is False
+
+
+def test_first_error_is_cut_out_once(spark):
+    from pyspark.sql import functions as F
+    from scanlake.functions.outcomes import classify_probe_outcome
+
+    c = F.col
+    rows = spark.createDataFrame([("a;b", "http", "200", False, False, "", ["x"])], "e STRING, t STRING, s STRING, m BOOLEAN, k BOOLEAN, p STRING, h ARRAY<STRING>")
+    found = rows.select(classify_probe_outcome(c("e"), c("t"), c("s"), c("m"), c("k"), c("p"), c("h")).alias("o"))
+    assert found._jdf.queryExecution().analyzed().toString().count("substring_index(") == 1
+    assert found.first().o == "unknown/unknown"
+
+
+def test_stages_of_large_methods_are_compiled(spark):
+    from scanlake.session import configure
+
+    assert int(configure(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
