@@ -1,10 +1,12 @@
 """Enrichment of resolver addresses and of the answers inside DNS rows.
 
-Enrichment explodes only the keys of answers (row key, place, lookup keys), joins these
-narrow records with every side table, regroups what was found by row key, and joins it
-back once: rows with their answers, however wide, are moved a single time. Rows are read
-twice for that, for the keys and for the join back; rows that are no table yet are staged
-first, so that they are worked out once.
+What is found for the answers of a row depends on its source, domain, date and answer
+addresses alone. Enrichment keeps one of each such set of answers, explodes its keys (set,
+place, lookup keys), joins these narrow records with every side table, regroups what was
+found by set, and joins it back once: rows with their answers, however wide, are moved a
+single time, and not at all where the sets are few. Rows are read twice for that, for the
+sets and for the join back; rows that are no table yet are staged first, so that they are
+worked out once.
 """
 
 from __future__ import annotations
@@ -13,12 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scanlake.constants import DNS_V2_2_START, DNS_V2_START
-from scanlake.functions.records import merge_ip_metadata
+from scanlake.functions.records import ip_metadata, merge_ip_metadata
 from scanlake.operators.barrier import explode_once
+from scanlake.operators.ip_metadata import join_row_ip_metadata
 from scanlake.operators.joins import lookup_join
 from scanlake.sources.sinks import stage
 
 ROW_KEY = ("measurement_id", "roundtrip")
+SET_KEY = "answer_set"
 #: Name under which rows are staged; ``clear_staged`` removes them once the result is written.
 STAGING = "answers"
 _RESOLVER_FIELDS = [
@@ -43,6 +47,21 @@ def join_resolver_tags(rows: DataFrame, tags: DataFrame) -> DataFrame:
     return joined.withColumn("ip_metadata", metadata).select(*rows.columns)
 
 
+def join_resolver_facts(rows: DataFrame, places: DataFrame, tags: DataFrame, lookup: DataFrame, staging: str) -> DataFrame:
+    """Tags and address metadata of resolvers, found once per (source, date, ip) and joined in one step.
+
+    ``places`` holds the ``source``, ``date`` and ``ip`` of all rows, as a table. Metadata goes before tags, and
+    tags before what the row has. Dates and sources may be null, so the key is a record of the three. What is
+    found is staged under ``staging``: the size of a table is known before rows are shuffled to meet it.
+    """
+    place = F.when(F.col("ip").isNotNull(), F.struct("source", "date", "ip"))
+    resolvers = places.select("source", "date", "ip").filter(F.col("ip").isNotNull()).distinct()
+    found = join_row_ip_metadata(join_resolver_tags(resolvers.withColumn("ip_metadata", ip_metadata()), tags), lookup)
+    facts = stage(found.select(place.alias("place"), F.col("ip_metadata").alias("facts")), staging)
+    joined = lookup_join(rows.withColumn("place", place), facts, ["place"])
+    return joined.withColumn("ip_metadata", merge_ip_metadata(F.col("ip_metadata"), F.col("facts"))).select(*rows.columns)
+
+
 def explode_answers(rows: DataFrame, row_key: tuple[str, ...] = ROW_KEY) -> DataFrame:
     """One record per answer, with the row it came from; rows without answers stay."""
     carried = [c for c in rows.columns if c != "received" and c not in row_key]
@@ -77,9 +96,21 @@ def regroup_answers(answers: DataFrame, row_key: tuple[str, ...] = ROW_KEY) -> D
     ).drop("copy")
 
 
-def answer_keys(rows: DataFrame) -> DataFrame:
-    """Row key, place and lookup keys of every answer, without the answer itself."""
-    placed = explode_once(rows, [*ROW_KEY, "source", "domain", "date"], F.col("received.ip"), "position", "ip")
+def answer_set() -> Column:
+    """Digest of all that decides what is found for the answers of a row; null without answers."""
+    decisive = F.struct("source", "domain", "date", F.col("received.ip").alias("ips"))
+    return F.when(F.size("received") > 0, F.sha2(F.to_json(decisive), 256))
+
+
+def answer_sets(rows: DataFrame) -> DataFrame:
+    """Distinct sets of answers: ``answer_set``, ``source``, ``domain``, ``date`` and the addresses ``ips``."""
+    answered = rows.filter(F.size("received") > 0)
+    return answered.select(answer_set().alias(SET_KEY), "source", "domain", "date", F.col("received.ip").alias("ips")).distinct()
+
+
+def answer_keys(sets: DataFrame) -> DataFrame:
+    """Set, place and lookup keys of every answer, without the answer itself."""
+    placed = explode_once(sets, [SET_KEY, "source", "domain", "date"], F.col("ips"), "position", "ip")
     return placed.filter(F.col("ip").isNotNull())
 
 
@@ -139,18 +170,18 @@ def merge_page_fetches(answer: Column, found: Column) -> Column:
     return answer
 
 
-def give_back(rows: DataFrame, found: DataFrame, names: list[str], merges: list) -> DataFrame:
-    """Merge what was found for answers into their rows.
+def give_back(rows: DataFrame, found: DataFrame, names: list[str], merges: list, staging: str | None = None) -> DataFrame:
+    """Merge what was found for sets of answers into the rows that have them.
 
-    Copies of a row find the same, so a set per row key holds each place once.
+    With ``staging`` what was found is a table first, whose size is known before rows are shuffled to meet it.
     """
     some = F.lit(False)
     for name in names:
         some = some | F.col(name).isNotNull()
-    by_row = found.filter(some).groupBy(*ROW_KEY).agg(F.collect_set(F.struct("position", F.struct(*names).alias("found"))).alias("places"))
-    by_row = by_row.select(*ROW_KEY, F.map_from_entries("places").alias("places"))
+    by_set = found.filter(some).groupBy(SET_KEY).agg(F.collect_set(F.struct("position", F.struct(*names).alias("found"))).alias("places"))
+    by_set = _table(by_set.select(SET_KEY, F.map_from_entries("places").alias("places")), staging)
 
-    joined = lookup_join(rows, by_row, list(ROW_KEY))
+    joined = lookup_join(rows.withColumn(SET_KEY, answer_set()), by_set, [SET_KEY])
     # Each answer with what was found for it, searched once; every merge sees both as plain values.
     pairs = F.transform("received", lambda answer, place: F.struct(answer.alias("answer"), F.try_element_at("places", place).alias("found")))
     for merge in merges:
@@ -166,17 +197,17 @@ def _table(rows: DataFrame, staging: str | None) -> DataFrame:
 
 def join_answer_tags(rows: DataFrame, tags: DataFrame, staging: str | None = STAGING) -> DataFrame:
     rows = _table(rows, staging)
-    return give_back(rows, find_tags(answer_keys(rows), tags), ["tag"], [merge_tags])
+    return give_back(rows, find_tags(answer_keys(answer_sets(rows)), tags), ["tag"], [merge_tags])
 
 
 def join_answer_ip_metadata(rows: DataFrame, lookup: DataFrame, staging: str | None = STAGING) -> DataFrame:
     rows = _table(rows, staging)
-    return give_back(rows, find_ip_metadata(answer_keys(rows), lookup), ["metadata"], [merge_answer_metadata])
+    return give_back(rows, find_ip_metadata(answer_keys(answer_sets(rows)), lookup), ["metadata"], [merge_answer_metadata])
 
 
 def join_page_fetches(rows: DataFrame, fetches: DataFrame, staging: str | None = STAGING) -> DataFrame:
     rows = _table(rows, staging)
-    found = find_page_fetches(answer_keys(rows), fetches)
+    found = find_page_fetches(answer_keys(answer_sets(rows)), fetches)
     return give_back(rows, found, ["http_fetch", "https_fetch"], [merge_page_fetches])
 
 
@@ -186,15 +217,17 @@ def answer_ip_keys(rows: DataFrame) -> DataFrame:
 
 
 def enrich_answers(
-    rows: DataFrame, tags: DataFrame, lookup: DataFrame, fetches: DataFrame, staging: str | None = STAGING, keyed: DataFrame | None = None
+    rows: DataFrame, tags: DataFrame, lookup: DataFrame, fetches: DataFrame, staging: str | None = STAGING, sets: DataFrame | None = None
 ) -> DataFrame:
     """All three answer joins with one explode of keys and one join back.
 
-    ``keyed``: the same rows as a table, before other columns were added to them; the keys of
-    answers are read from there, and ``rows`` are worked out once, without being staged.
+    ``sets``: the ``answer_sets`` of the rows as a table; then not the rows are staged, which
+    other columns may have been added to, but what is found for the sets.
     """
-    if keyed is None:
-        keyed = rows = _table(rows, staging)
-    found = find_page_fetches(find_ip_metadata(find_tags(answer_keys(keyed), tags), lookup), fetches)
+    kept = None if sets is None else staging
+    if sets is None:
+        rows = _table(rows, staging)
+        sets = answer_sets(rows)
+    found = find_page_fetches(find_ip_metadata(find_tags(answer_keys(sets), tags), lookup), fetches)
     names = ["tag", "metadata", "http_fetch", "https_fetch"]
-    return give_back(rows, found, names, [merge_tags, merge_answer_metadata, merge_page_fetches])
+    return give_back(rows, found, names, [merge_tags, merge_answer_metadata, merge_page_fetches], kept)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scanlake.constants import CDN_NAME_PREFIXES
 from scanlake.operators.joins import lookup_join
+from scanlake.sources.sinks import stage
 
 
 def count_tags(answer: Column) -> Column:
@@ -108,9 +109,13 @@ def exclude_cdn(rows: DataFrame, applies: Column | None = None) -> DataFrame:
     )
 
 
-def postprocess(rows: DataFrame) -> DataFrame:
-    """Rate and verify the test rows in one pass; control rows stay as they are."""
-    counted = broadcast_control_counts(rows, max_control_tags(rows))
+def postprocess(rows: DataFrame, staging: str | None = None) -> DataFrame:
+    """Rate and verify the test rows in one pass; control rows stay as they are.
+
+    The counts of controls are staged under ``staging``, if given: the rows are not shuffled to meet a small table.
+    """
+    counts = max_control_tags(rows)
+    counted = broadcast_control_counts(rows, counts if staging is None else stage(counts, staging))
     is_test = F.col("is_test")
     marked = counted.withColumn("is_test", row_role() == "test")
     return exclude_cdn(dns_confidence(marked, is_test), is_test).select(*rows.columns)

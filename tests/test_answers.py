@@ -6,10 +6,13 @@ from scanlake.functions.dns import all_true, any_true
 from scanlake.functions.records import ip_metadata, record, response
 from scanlake.operators.answers import (
     STAGING,
+    answer_keys,
+    answer_sets,
     enrich_answers,
     explode_answers,
     join_answer_tags,
     join_page_fetches,
+    join_resolver_facts,
     join_resolver_tags,
     regroup_answers,
 )
@@ -109,6 +112,28 @@ def test_rows_are_read_once_and_answers_searched_once(spark, tmp_path):
     assert clear_staged(spark, STAGING)
 
 
+def test_rows_with_equal_answers_are_looked_up_once(spark):
+    ips = [answer("9.0.0.1"), answer("9.0.0.2")]
+    rows = dns_row(spark, "a", ips).union(dns_row(spark, "b", ips)).union(dns_row(spark, "c", ips[::-1]))
+    rows = rows.union(dns_row(spark, "d", ips, domain=None)).union(dns_row(spark, "e", []))
+    sets = answer_sets(rows)
+    assert sets.count() == 3 and answer_keys(sets).count() == 6
+    tags = spark.createDataFrame([("s", "9.0.0.1", "h", None, "N", 5)], "source STRING, ip STRING, http STRING, cert STRING, as_name STRING, asn BIGINT")
+    found = {r.measurement_id: [a.http for a in r.received] for r in join_answer_tags(rows, tags).collect()}
+    assert found == {"a": ["h", None], "b": ["h", None], "c": [None, "h"], "d": ["h", None], "e": []}
+
+
+def test_resolver_facts_need_an_address_only(spark):
+    rows = dns_row(spark, "a", []).union(dns_row(spark, "b", [], date=None)).union(dns_row(spark, "c", [], ip=None))
+    rows = rows.union(dns_row(spark, "d", [], ip="4.3.2.1"))
+    names = ["name", "country", "non_zero_rcode_rate", "private_ip_rate", "zero_ip_rate", "connect_error_rate", "invalid_cert_rate"]
+    tags = spark.range(1).select(F.lit("s").alias("source"), F.lit("1.2.3.4").alias("ip"), *[F.lit("n" if n == "name" else None).cast("string" if n in names[:2] else "double").alias(n) for n in names])
+    lookup = spark.range(1).select(F.lit("2021-04-25").alias("date"), F.lit("1.2.3.4").alias("ip"), ip_metadata(asn=F.lit(7)).alias("metadata"))
+    joined = join_resolver_facts(rows, rows, tags, lookup, "facts")
+    found = {r.measurement_id: (r.ip_metadata.name, r.ip_metadata.asn, r.ip_metadata.country) for r in joined.collect()}
+    assert found == {"a": ("n", 7, "own"), "b": ("n", None, "own"), "c": (None, None, "own"), "d": (None, None, "own")}
+
+
 def test_tags_are_for_the_older_format(spark):
     tags = spark.createDataFrame([("s", "9.0.0.1", "h", None, "N", 5)], "source STRING, ip STRING, http STRING, cert STRING, as_name STRING, asn BIGINT")
     newer = dns_row(spark, "a", [answer("9.0.0.1")], date="2021-06-24")

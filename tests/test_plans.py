@@ -168,6 +168,12 @@ def test_dns_table(spark, dns):
     assert trusted.resolver_is_trusted and trusted.excluded is False and trusted.answers[0].match_confidence is None
 
 
+def test_dns_rows_do_not_move_to_small_lookups(dns):
+    """Lookups are tables of what is in use, so their size is known before the rows could be shuffled for them."""
+    plan = dns._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") >= 4
+
+
 def test_dashboard(spark, dns, probe, data):
     codes = data.country_names
     rules = spark.createDataFrame([("net",)], "rule STRING")
