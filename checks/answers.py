@@ -39,7 +39,7 @@ from scanlake.operators.resolvers import RATES, resolver_error_rates
 from scanlake.operators.tables import dns_table, export_projection, table_answer
 from scanlake.sources.sinks import stage
 from scanlake.operators.tags import read_answer_tags
-from scanlake.schemas import ANSWER, ANSWER_FIELDS, MATCHES_CONTROL_FIELDS
+from scanlake.schemas import ANSWER_FIELDS, MATCHES_CONTROL_FIELDS
 
 # Rows: one per line item. Columns that need no arrays are shared SQL.
 ROWS = f"""SELECT m.*,
@@ -119,7 +119,7 @@ def dns_rows(spark, sf, *extra: str) -> DataFrame:
 
     # The kind is worked out once per answer, not in each of the fields it decides.
     places = F.transform(steps(c("n") % 4), lambda i: F.struct(i.alias("i"), ((c("l_suppkey") * 7 + c("l_partkey") + i) % 97).alias("k")))
-    answers = F.transform(places, answer).cast(f"ARRAY<{ANSWER}>")
+    answers = F.transform(places, answer)
     null = F.lit(None)
     return base.select(
         "domain", "is_control", "ip", "is_control_ip", c("day").alias("date"),

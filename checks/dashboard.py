@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.answers import ANSWERS_SQL, OUTCOME_CASE, OUTCOME_CTES, dns_rows, table_rows
@@ -244,6 +246,6 @@ def dashboard(spark, sf):
         }
     )
     tables = probe_tables(spark, sf) | {"satellite": dns_table(rows)}
-    whole = build_dashboard(tables, nation_codes(spark, sf), suffix_rules(spark), EARLIEST)
+    whole = build_dashboard(tables, nation_codes(spark, sf), suffix_rules(spark), EARLIEST, f"dashboard-{uuid.uuid4().hex}")
     texts = ["date", "source", "hostname", "reg_hostname", "network", "subnetwork", "country_name", "unexpected_count"]
     return whole.select("domain", "category", "outcome", "count", *shown(*texts))

@@ -25,15 +25,18 @@ def keep_last_retry(rows: DataFrame, last: DataFrame) -> DataFrame:
     return joined.filter((F.col("retry").isNull() & has_key) | F.col("is_last")).select(*rows.columns)
 
 
-def capable_domains(rows: DataFrame) -> DataFrame:
-    """(domain, source) with at least one valid certificate among the answers."""
-    valid = F.exists(
+def has_valid_certificate() -> Column:
+    return F.exists(
         "answers",
         lambda a: F.coalesce(
             a["https_tls_cert_matches_domain"] & a["https_tls_cert_has_trusted_ca"], F.lit(False)
         ),
     )
-    return rows.filter(valid).select("domain", "source").distinct()
+
+
+def capable_domains(rows: DataFrame) -> DataFrame:
+    """(domain, source) with at least one valid certificate among the answers."""
+    return rows.filter(has_valid_certificate()).select("domain", "source").distinct()
 
 
 def capable_domain_semi_join(rows: DataFrame, capable: DataFrame) -> DataFrame:
@@ -46,19 +49,25 @@ def controls_passed(column: str) -> Column:
     return ~F.col(column)
 
 
-def bad_resolver_filter(rows: DataFrame) -> DataFrame:
-    """Rows of resolvers known to be good; a missing rate drops the row."""
-    bad = is_bad_resolver(
+def good_resolver() -> Column:
+    return ~is_bad_resolver(
         F.col("resolver_connect_error_rate"),
         F.col("resolver_invalid_cert_rate"),
         F.col("resolver_non_zero_rcode_rate"),
     )
-    return rows.filter(~bad)
+
+
+def bad_resolver_filter(rows: DataFrame) -> DataFrame:
+    """Rows of resolvers known to be good; a missing rate drops the row."""
+    return rows.filter(good_resolver())
 
 
 def project_probe_scan(rows: DataFrame, source: str) -> DataFrame:
-    """Columns of a probe table that the union needs, with a literal source."""
-    dimensions = rows.select(
+    """Columns of a probe table that the union needs, with a literal source.
+
+    Marking is cheap, so later filters may repeat it; a barrier would have it interpreted row by row.
+    """
+    return rows.select(
         F.lit(source).alias("source"),
         "date",
         "server_country",
@@ -66,12 +75,22 @@ def project_probe_scan(rows: DataFrame, source: str) -> DataFrame:
         F.lit(None).cast("string").alias("server_name"),
         "domain_is_control",
         "domain",
-        F.col("outcome").alias("plain_outcome"),
+        mark_outcome(F.col("outcome")).alias("outcome"),
         "server_asn",
         "server_organization",
         "domain_category",
     )
-    return compute_once(dimensions, outcome=mark_outcome(F.col("plain_outcome"))).drop("plain_outcome")
+
+
+DNS_DIMENSIONS = [
+    "date", "measurement_id", "retry", "source", "domain", "domain_is_control", "domain_category",
+    "resolver_country", "resolver_as_full_name", "resolver_name", "resolver_asn", "resolver_organization",
+]
+_JUDGED = ["received_error", "received_rcode", "answers"]
+_JUDGED_FIELDS = [
+    "ip", "asn", "as_name", "matches_control", "https_tls_cert_matches_domain", "https_tls_cert_has_trusted_ca",
+    "https_tls_cert_issuer", "https_tls_cert_common_name", "http_analysis_is_known_blockpage", "http_analysis_page_signature",
+]
 
 
 def with_dns_outcome(rows: DataFrame) -> DataFrame:
@@ -79,25 +98,22 @@ def with_dns_outcome(rows: DataFrame) -> DataFrame:
 
     Done before any join, so that answers with their pages are never shuffled.
     """
-    narrow = rows.select(
-        "date",
-        "measurement_id",
-        "retry",
-        "source",
-        "domain",
-        "domain_is_control",
-        "domain_category",
-        "resolver_country",
-        "resolver_as_full_name",
-        "resolver_name",
-        "resolver_asn",
-        "resolver_organization",
-        "received_error",
-        "received_rcode",
-        "answers",
-    )
     outcome = dns_outcome(F.col("received_error"), F.col("received_rcode"), F.col("answers"))
-    return compute_once(narrow, outcome=outcome).drop("received_error", "received_rcode", "answers")
+    return compute_once(rows.select(*DNS_DIMENSIONS, *_JUDGED), outcome=outcome).drop(*_JUDGED)
+
+
+def judge_dns(rows: DataFrame) -> DataFrame:
+    """All that the dashboard needs of a DNS table, from one pass over its answers.
+
+    ``fit``: the controls passed and the resolver is known to be good; only such rows get an ``outcome``.
+    ``has_valid``: one of the answers has a valid certificate.
+    """
+    fit = F.coalesce(controls_passed("domain_controls_failed") & good_resolver(), F.lit(False))
+    outcome = dns_outcome(F.col("received_error"), F.col("received_rcode"), F.col("answers"))
+    judged = F.transform("answers", lambda a: F.struct(*[a[n].alias(n) for n in _JUDGED_FIELDS]))
+    narrow = rows.select(*DNS_DIMENSIONS, "received_error", "received_rcode", judged.alias("answers"), fit.alias("fit"))
+    valid = F.coalesce(has_valid_certificate(), F.lit(False))
+    return compute_once(narrow, outcome=F.when(F.col("fit"), outcome), has_valid=valid).drop(*_JUDGED)
 
 
 def project_dns_scan(rows: DataFrame) -> DataFrame:

@@ -34,6 +34,7 @@ from scanlake.sources.reference_data import (
 )
 from scanlake.sources.sinks import (
     EmptyResult,
+    clear_staged,
     csv_export,
     fail_if_empty,
     publish_table,
@@ -189,6 +190,16 @@ def test_dashboard(spark, dns, probe, data):
     assert spark.table("reduced_scans").count() == 2 and spark.table("reduced_scans_v1").count() == 2
 
 
+def test_dashboard_reads_answers_once(spark, dns, data, tmp_path):
+    """Outcomes, tries and capable domains come from one pass over the table."""
+    dns.write.parquet(str(tmp_path / "base"))
+    rules = spark.createDataFrame([("net",)], "rule STRING")
+    whole = build_dashboard({"satellite": spark.read.parquet(str(tmp_path / "base"))}, data.country_names, rules, "2022-01-01", "judged")
+    assert not any("/base/" in f for f in whole.inputFiles()) and any("/judged/" in f for f in whole.inputFiles())
+    assert [(r.domain, r.outcome, r["count"]) for r in whole.collect()] == [("d.com", "✅tls.validcert", 1)]
+    assert clear_staged(spark, "judged")
+
+
 def test_load_scan(spark, store, data, tmp_path):
     table, out = str(tmp_path / "probe"), str(tmp_path / "out")
     put(
