@@ -15,7 +15,10 @@ and a window of scores is an annulus around the anchor in a metric space.
 * **Search.** An annulus [lo, hi] around the anchor, at distance d from split point i, can
   meet only rows whose distance from i is within [max(d - hi, lo - d), d + hi]; a subtree
   whose range from any of the split points misses that is eliminated. Leaves that are left
-  are compared exactly, a block of rows with a block of anchors at a time.
+  are compared exactly, a block of rows with a block of anchors at a time. Blocks lie in
+  groups; an anchor travels once to each group that has blocks of its leaves, with a list of
+  these leaves. Both sides are shuffled whatever size the planner expects: it cannot tell in
+  how many leaves an anchor looks, so a broadcast could outgrow the driver.
 
 Positives are the nearest rows of the anchor's label: its own leaf gives a first bound, the
 ball of that bound the rest. Negatives of a positive are the best in its window of scores:
@@ -31,7 +34,7 @@ rows; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 from typing import NamedTuple
 
@@ -48,6 +51,8 @@ SCALE = 256
 FAN, LEAVES, SAMPLE = 16, 1024, 16384
 #: Rows of a block and anchors of a search block; a leaf is to have a quarter of a block.
 BLOCK, ASKED = 1024, 128
+#: Groups of blocks, and blocks of a group above which there are more groups: a task holds one group at a time.
+GROUPS, GROUP_BLOCKS = 64, 128
 N_POSITIVES, N_NEGATIVES = 5, 5
 #: A negative scores within these shares of its positive, in percent.
 LEAST, MOST = 80, 100
@@ -193,16 +198,29 @@ def _ranges(batches: Iterator[pa.RecordBatch], nodes: list[Node], square: float)
 
 
 class Index(NamedTuple):
-    """Placed rows (id, label, v, leaf), the same in blocks (leaf, block, ids, labels, vectors), and the tree."""
+    """Placed rows (id, label, v, leaf), the same in blocks (group, leaf, ids, labels, vectors), the groups of each leaf, and the tree."""
 
     rows: DataFrame
     blocks: DataFrame
-    block_counts: list[int]
+    groups: list[tuple[int, int]]
     nodes: list[Node]
     ranges: dict
     square: float
 
 
+def groups_of(block_counts: list[int]) -> tuple[int, list[int], list[tuple[int, int]]]:
+    """Number of groups, the place of the first block of each leaf, and its first and last group.
+
+    Blocks are numbered through the leaves and cut into groups of equal size: those of a
+    full leaf lie in as many groups as it takes.
+    """
+    counts = [max(n, 1) for n in block_counts] or [1]
+    total = sum(counts)
+    groups = max(min(total, GROUPS), -(-total // GROUP_BLOCKS))
+    first = np.cumsum([0, *counts[:-1]]).tolist()
+    return groups, first, [(f * groups // total, (f + n - 1) * groups // total) for f, n in zip(first, counts)]
+
+
 def build(rows: DataFrame, tables: Tables, fan: int = FAN, leaves: int = LEAVES, block: int = BLOCK) -> Index:
     """Tree from a bounded sample of the rows (id, label, v, square), every row placed in it."""
     bounds = rows.agg(F.max("square"), F.max(F.size("v")), F.count(F.lit(1))).first()
@@ -226,17 +244,34 @@ def build(rows: DataFrame, tables: Tables, fan: int = FAN, leaves: int = LEAVES,
         low[r.point], high[r.point] = r.low, r.high
     filled = {r.leaf: r["count"] for r in placed.groupBy("leaf").count().collect()}
     block_counts = [-(-filled.get(leaf, 0) // block) for leaf in range(max(filled, default=0) + 1)]
-    number = F.pmod(F.xxhash64("id", "label", "v"), F.greatest(F.element_at(F.lit(block_counts or [1]), (F.col("leaf") + 1).cast("int")), F.lit(1)))
+    groups, first, spans = groups_of(block_counts)
+    at = (F.col("leaf") + 1).cast("int")
+    number = F.pmod(F.xxhash64("id", "label", "v"), F.greatest(F.element_at(F.lit(block_counts or [1]), at), F.lit(1)))
     lists = placed.withColumn("block", number).groupBy("leaf", "block").agg(F.array_sort(F.collect_list(F.struct("id", "label", "v"))).alias("r"))
-    blocks = tables.written(lists.select("leaf", "block", F.col("r.id").alias("ids"), F.col("r.label").alias("labels"), F.col("r.v").alias("vectors")), "blocks")
-    return Index(placed, blocks, block_counts, nodes, ranges, square)
+    group = F.floor((F.element_at(F.lit(first), at) + F.col("block")) * groups / sum(max(n, 1) for n in block_counts or [1])).cast("bigint")
+    blocks = tables.written(lists.select(group.alias("group"), "leaf", F.col("r.id").alias("ids"), F.col("r.label").alias("labels"), F.col("r.v").alias("vectors")), "blocks")
+    return Index(placed, blocks, spans, nodes, ranges, square)
 
 
 #: Of an asked anchor: its number, id, label and vector, and per slot the scores it looks for, from least to most.
 _ASKED = "q BIGINT, id BIGINT, label BIGINT, v BINARY, least ARRAY<DOUBLE>, most ARRAY<DOUBLE>"
+#: Where it looks: its leaves in each group.
+_REACH = "reach ARRAY<STRUCT<group: BIGINT, leaves: ARRAY<BIGINT>>>"
+_REACH_TYPE = pa.list_(pa.struct([("group", pa.int64()), ("leaves", pa.list_(pa.int64()))]))
+
+
+def reach_of(leaves: Iterable[int], groups: list[tuple[int, int]]) -> list[dict]:
+    """Leaves by group: a leaf is in each group that has blocks of it."""
+    by_group: dict[int, list[int]] = {}
+    for leaf in leaves:
+        first, last = groups[leaf]
+        for group in range(first, last + 1):
+            by_group.setdefault(group, []).append(int(leaf))
+    return [{"group": g, "leaves": found} for g, found in by_group.items()]
 
 
-def _leaves(batches: Iterator[pa.RecordBatch], nodes: list[Node], ranges: dict, square: float) -> Iterator[pa.RecordBatch]:
+def _reached(batches: Iterator[pa.RecordBatch], nodes: list[Node], ranges: dict, square: float, groups: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    """Where each anchor looks beside its own leaf, the last column."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -245,7 +280,8 @@ def _leaves(batches: Iterator[pa.RecordBatch], nodes: list[Node], ranges: dict,
         far = np.sqrt(np.maximum(own - 2 * np.array([min(x) for x in batch.column(4).to_pylist()]), 0.0))
         near = np.sqrt(np.maximum(own - 2 * np.array([max(x) for x in batch.column(5).to_pylist()]), 0.0))
         leaves = surviving(nodes, ranges, queries, square, near, far)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaves, pa.list_(pa.int64()))], names=[*batch.schema.names, "leaves"])
+        reach = [reach_of(found[found != leaf], groups) for found, leaf in zip(leaves, batch.column(6).to_pylist())]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(reach, _REACH_TYPE)], names=[*batch.schema.names[:6], "reach"])
 
 
 def _compared(batches: Iterator[pa.RecordBatch], same: bool, count: int) -> Iterator[pa.RecordBatch]:
@@ -253,8 +289,9 @@ def _compared(batches: Iterator[pa.RecordBatch], same: bool, count: int) -> Iter
     names = ["q", "slot", "score", "other"]
     for batch in batches:
         out: list[list[np.ndarray]] = [[] for _ in names]
-        for anchors, ids, labels, vectors in zip(*(batch.column(i) for i in range(4))):
-            anchors = anchors.as_py()
+        for anchors, leaf, ids, labels, vectors in zip(*(batch.column(i) for i in range(5))):
+            leaf = leaf.as_py()
+            anchors = [a for a in anchors.as_py() if leaf in a["leaves"]]
             ids, labels = (x.values.to_numpy() for x in (ids, labels))
             rows = np.frombuffer(b"".join(vectors.as_py())).reshape(len(ids), -1)
             asked = np.frombuffer(b"".join(a["v"] for a in anchors)).reshape(len(anchors), -1)
@@ -274,14 +311,13 @@ def _compared(batches: Iterator[pa.RecordBatch], same: bool, count: int) -> Iter
 
 
 def search(index: Index, asked: DataFrame, same: bool, count: int, chunks: int) -> DataFrame:
-    """The best ``count`` rows (q, slot, score, other, rank) of each asked anchor in its ``leaves``, by slot."""
-    anchor = F.struct("q", "id", "label", "v", "least", "most")
-    numbers = F.lit([max(n, 1) for n in index.block_counts] or [1])
-    each = asked.select(anchor.alias("anchor"), F.pmod(F.xxhash64("q"), F.lit(chunks)).alias("chunk"), F.explode("leaves").alias("leaf"))
-    grouped = each.groupBy("leaf", "chunk").agg(F.collect_list("anchor").alias("anchors"))  # some ASKED
-    last = F.element_at(numbers, (F.col("leaf") + 1).cast("int")) - 1
-    grouped = grouped.select("leaf", "anchors", F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))).alias("block"))
-    met = grouped.join(index.blocks, ["leaf", "block"]).select("anchors", "ids", "labels", "vectors")
+    """The best ``count`` rows (q, slot, score, other, rank) of each asked anchor within its ``reach``, by slot."""
+    each = asked.select("q", "id", "label", "v", "least", "most", F.pmod(F.xxhash64("q"), F.lit(chunks)).alias("chunk"), F.explode("reach").alias("to"))
+    anchor = F.struct("q", "id", "label", "v", "least", "most", F.col("to.leaves").alias("leaves"))
+    grouped = each.groupBy(F.col("to.group").alias("group"), "chunk").agg(F.collect_list(anchor).alias("anchors"))  # some ASKED
+    grouped = grouped.withColumn("wanted", F.array_distinct(F.flatten("anchors.leaves"))).hint("merge")
+    met = grouped.join(index.blocks.hint("merge"), (grouped["group"] == index.blocks["group"]) & F.array_contains("wanted", F.col("leaf")))
+    met = met.select("anchors", "leaf", "ids", "labels", "vectors")
     found = met.mapInArrow(partial(_compared, same=same, count=count), "q BIGINT, slot BIGINT, score BIGINT, other BIGINT")
     return best(found, count)
 
@@ -293,15 +329,15 @@ def best(found: DataFrame, count: int) -> DataFrame:
 
 def two_steps(index: Index, asked: DataFrame, same: bool, count: int, chunks: int, tables: Tables) -> DataFrame:
     """Best rows of each slot: of the own leaf first; what these reach bounds the search of the tree."""
-    own = asked.withColumn("leaves", F.array("leaf"))
-    first = tables.written(search(index, own, same, count, chunks), "own-leaf")
+    ends = [F.element_at(F.lit([g[end] for g in index.groups]), (F.col("leaf") + 1).cast("int")) for end in (0, 1)]
+    own = F.transform(F.sequence(*ends), lambda g: F.struct(g.cast("bigint").alias("group"), F.array("leaf").alias("leaves")))
+    first = tables.written(search(index, asked.withColumn("reach", own), same, count, chunks), "own-leaf")
     full = first.where(F.col("rank") == count).groupBy("q").agg(F.map_from_entries(F.collect_list(F.struct("slot", "score"))).alias("reached"))  # a score per slot
-    bounded = lookup_join(asked, full, ["q"])
+    bounded = lookup_join(asked, full.hint("merge"), ["q"])
     raised = F.transform("least", lambda x, i: F.greatest(x, F.coalesce(F.try_element_at("reached", i.cast("bigint")).cast("double"), x)))
     bounded = bounded.withColumn("least", raised).select("q", "id", "label", "v", "least", "most", "leaf")
-    look = partial(_leaves, nodes=index.nodes, ranges=index.ranges, square=index.square)
-    seen = bounded.mapInArrow(look, _ASKED + ", leaf BIGINT, leaves ARRAY<BIGINT>")
-    rest = seen.withColumn("leaves", F.array_remove("leaves", F.col("leaf")))
+    look = partial(_reached, nodes=index.nodes, ranges=index.ranges, square=index.square, groups=index.groups)
+    rest = bounded.mapInArrow(look, f"{_ASKED}, {_REACH}")
     return tables.written(best(first.union(search(index, rest, same, count, chunks)), count), "best")
 
 
@@ -336,10 +372,11 @@ def hard_negatives(
         near = two_steps(index, anchors, True, positives, chunks, tables)
         # Windows of an anchor's positives, by the rank of each.
         windows = near.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("rank", "score", "other"))).alias("p"))
-        asked = lookup_join(anchors.drop("least", "most"), windows, ["q"], "inner")
+        asked = lookup_join(anchors.drop("least", "most"), windows.hint("merge"), ["q"], "inner")
         asked = asked.withColumns({"least": F.transform("p", lambda p: -_hundredth(-LEAST * p["score"])), "most": F.transform("p", lambda p: _hundredth(MOST * p["score"]))})
-        far = two_steps(index, tables.written(asked.drop("p"), "windows"), False, negatives, chunks, tables)
-        named = lookup_join(far, asked.select("q", F.col("id").alias("anchor_id"), "p"), ["q"], "inner")
+        asked = tables.written(asked, "windows")
+        far = two_steps(index, asked.drop("p"), False, negatives, chunks, tables)
+        named = lookup_join(far, asked.select("q", F.col("id").alias("anchor_id"), "p").hint("merge"), ["q"], "inner")
         positive = F.element_at("p", (F.col("slot") + 1).cast("int"))
         return tables.result(
             named.select(

@@ -81,3 +81,31 @@ def test_only_leaves_without_a_match_are_left_out():
         assert inside <= set(leaves.tolist())
         visited += len(leaves)
     assert visited < 0.5 * len(queries) * len(set(leaf.tolist()))  # clustered vectors: most siblings are eliminated
+
+
+def test_asked_anchors_are_not_broadcast(spark, monkeypatch):
+    """The planner takes an anchor for one row, however many leaves it looks in."""
+    rng = random.Random(3)
+    plans = []
+    search = hn.search
+
+    def seen(*args):
+        plans.append(search(*args)._jdf.queryExecution().executedPlan().toString())
+        return search(*args)
+
+    monkeypatch.setattr(hn, "search", seen)
+    rows = list(vectors(rng, 200, 4, 5))
+    found = hn.hard_negatives(table(spark, rows), F.col("id") % 10 == 0, fan=4, leaves=20, block=16)
+    assert got(found) == brute_negatives(rows, 10)
+    assert len(plans) == 4 and not any("Broadcast" in plan for plan in plans)
+
+
+def test_groups_hold_equal_numbers_of_blocks():
+    counts = [0, 1, 5000, 3, 1]
+    groups, first, spans = hn.groups_of(counts)
+    sizes = Counter((f + b) * groups // sum(max(n, 1) for n in counts) for f, n in zip(first, counts) for b in range(max(n, 1)))
+    assert len(sizes) == groups == 64 and max(sizes.values()) <= hn.GROUP_BLOCKS
+    assert spans[0] == (0, 0) and spans[2][1] == 63 and all(a <= b for a, b in spans)
+    assert hn.groups_of([])[0] == 1 and hn.groups_of([1] * 3)[0] == 3
+    assert hn.groups_of([hn.GROUP_BLOCKS * 100])[0] == 100
+    assert hn.reach_of([2, 4], [(0, 0), (0, 0), (0, 1), (1, 1), (1, 1)]) == [{"group": 0, "leaves": [2]}, {"group": 1, "leaves": [2, 4]}]
