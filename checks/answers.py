@@ -37,7 +37,7 @@ from scanlake.operators.postprocess import (
 from scanlake.operators.reduce import capable_domains
 from scanlake.operators.resolvers import RATES, resolver_error_rates
 from scanlake.operators.tables import dns_table, export_projection, table_answer
-from scanlake.sources.sinks import stage
+from scanlake.sources.sinks import let_go, stage
 from scanlake.operators.tags import read_answer_tags
 from scanlake.schemas import ANSWER_FIELDS, MATCHES_CONTROL_FIELDS
 
@@ -393,8 +393,10 @@ def answer_metadata(spark, sf):
     rows = rows.withColumn(
         "received", F.transform("received", lambda a, i: a.withField("ip", long_to_ip(number(i))))
     ).drop("l_partkey")
-    rows = stage(rows, "answers")
-    joined = join_answer_ip_metadata(rows, lookup_of(spark, sf, answer_ip_keys(rows)), staging=None)
+    rows = stage(rows, "answers", compression="zstd")
+    keys = stage(answer_ip_keys(rows), "answers")
+    let_go(spark)
+    joined = join_answer_ip_metadata(rows, lookup_of(spark, sf, keys), staging=None)
     fields = ["netblock", "organization", "as_class", "asn", "as_name"]
     return answers_of(joined, ip="ip", http="http", **{f: f"ip_metadata.{f}" for f in fields})
 

@@ -1,12 +1,13 @@
 """Enrichment of resolver addresses and of the answers inside DNS rows.
 
 What is found for the answers of a row depends on its source, domain, date and answer
-addresses alone. Enrichment keeps one of each such set of answers, explodes its keys (set,
-place, lookup keys), joins these narrow records with every side table, regroups what was
-found by set, and joins it back once: rows with their answers, however wide, are moved a
-single time, and not at all where the sets are few. Rows are read twice for that, for the
-sets and for the join back; rows that are no table yet are staged first, so that they are
-worked out once.
+addresses alone; a single lookup depends on fewer of them still. Enrichment keeps one of each
+such set of answers, explodes its keys (set, place, lookup keys), joins these narrow records
+with every side table, regroups what was found by set, and joins it back once: rows with
+their answers, however wide, are moved a single time, and not at all where the sets are few.
+Rows are read twice for that, for the sets and for the join back; rows that are no table yet
+are staged first, so that they are worked out once. What was found is staged too, so that its
+size is known before rows are shuffled to meet it and the shuffles it took are gone by then.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ from scanlake.functions.records import ip_metadata, merge_ip_metadata
 from scanlake.operators.barrier import explode_once
 from scanlake.operators.ip_metadata import join_row_ip_metadata
 from scanlake.operators.joins import lookup_join
-from scanlake.sources.sinks import stage
+from scanlake.sources.sinks import let_go, stage
 
 ROW_KEY = ("measurement_id", "roundtrip")
 SET_KEY = "answer_set"
+#: Columns that decide, with the addresses, what any lookup finds.
+DECISIVE = ("source", "domain", "date")
 #: Name under which rows are staged; ``clear_staged`` removes them once the result is written.
 STAGING = "answers"
 _RESOLVER_FIELDS = [
@@ -96,30 +99,51 @@ def regroup_answers(answers: DataFrame, row_key: tuple[str, ...] = ROW_KEY) -> D
     ).drop("copy")
 
 
-def answer_set() -> Column:
-    """Digest of all that decides what is found for the answers of a row; null without answers."""
-    decisive = F.struct("source", "domain", "date", F.col("received.ip").alias("ips"))
-    return F.when(F.size("received") > 0, F.sha2(F.to_json(decisive), 256))
+def answer_set(by: tuple[str, ...] = DECISIVE, where: Column | None = None) -> Column:
+    """Digest of all that decides what is found for the answers of a row; null without answers or beside ``where``.
+
+    Half of a SHA-256, as bytes: it travels with every row, and does not compress.
+    """
+    decisive = F.struct(*by, F.col("received.ip").alias("ips"))
+    return F.when(_answered(where), F.unhex(F.substring(F.sha2(F.to_json(decisive), 256), 1, 32)))
+
+
+def _answered(where: Column | None) -> Column:
+    some = F.size("received") > 0
+    return some if where is None else some & where
 
 
-def answer_sets(rows: DataFrame) -> DataFrame:
-    """Distinct sets of answers: ``answer_set``, ``source``, ``domain``, ``date`` and the addresses ``ips``."""
-    answered = rows.filter(F.size("received") > 0)
-    return answered.select(answer_set().alias(SET_KEY), "source", "domain", "date", F.col("received.ip").alias("ips")).distinct()
+def answer_sets(rows: DataFrame, by: tuple[str, ...] = DECISIVE, where: Column | None = None) -> DataFrame:
+    """Distinct sets of answers: ``answer_set``, the columns ``by`` and the addresses ``ips``."""
+    return rows.filter(_answered(where)).select(answer_set(by).alias(SET_KEY), *by, F.col("received.ip").alias("ips")).distinct()
 
 
 def answer_keys(sets: DataFrame) -> DataFrame:
     """Set, place and lookup keys of every answer, without the answer itself."""
-    placed = explode_once(sets, [SET_KEY, "source", "domain", "date"], F.col("ips"), "position", "ip")
+    placed = explode_once(sets, [c for c in sets.columns if c != "ips"], F.col("ips"), "position", "ip")
     return placed.filter(F.col("ip").isNotNull())
 
 
+def has_tags() -> Column:
+    """Dated before the format whose answers have their tags."""
+    return F.col("date") < DNS_V2_2_START
+
+
+def has_fetches() -> Column:
+    return F.col("date") >= DNS_V2_START
+
+
+def _if_dated(keys: DataFrame, fits: Column) -> Column | None:
+    """Keys without a date are those of dates that fit."""
+    return fits if "date" in keys.columns else None
+
+
 def find_tags(keys: DataFrame, tags: DataFrame) -> DataFrame:
     """Answer tags by (source, answer ip), for answers dated before the format that has them."""
     names = ("http", "cert", "as_name", "asn")
     merged = tags.groupBy("source", "ip").agg(*[F.max(n).alias(n) for n in names])
     merged = merged.select("source", "ip", F.struct(*names).alias("tag"))
-    return lookup_join(keys, merged, ["source", "ip"], condition=F.col("date") < DNS_V2_2_START)
+    return lookup_join(keys, merged, ["source", "ip"], condition=_if_dated(keys, has_tags()))
 
 
 def merge_tags(answer: Column, found: Column) -> Column:
@@ -158,7 +182,7 @@ def first_page_fetches(fetches: DataFrame) -> DataFrame:
 def find_page_fetches(keys: DataFrame, fetches: DataFrame) -> DataFrame:
     """Fetched pages of (domain, source, answer ip)."""
     joined = ["domain", "source", "ip"]
-    return lookup_join(keys, first_page_fetches(fetches), joined, condition=F.col("date") >= DNS_V2_START)
+    return lookup_join(keys, first_page_fetches(fetches), joined, condition=_if_dated(keys, has_fetches()))
 
 
 def merge_page_fetches(answer: Column, found: Column) -> Column:
@@ -170,8 +194,8 @@ def merge_page_fetches(answer: Column, found: Column) -> Column:
     return answer
 
 
-def give_back(rows: DataFrame, found: DataFrame, names: list[str], merges: list, staging: str | None = None) -> DataFrame:
-    """Merge what was found for sets of answers into the rows that have them.
+def give_back(rows: DataFrame, found: DataFrame, names: list[str], merges: list, staging: str | None = None, key: Column | None = None) -> DataFrame:
+    """Merge what was found for sets of answers into the rows that have them; ``key`` is the ``answer_set`` they go by.
 
     With ``staging`` what was found is a table first, whose size is known before rows are shuffled to meet it.
     """
@@ -181,7 +205,7 @@ def give_back(rows: DataFrame, found: DataFrame, names: list[str], merges: list,
     by_set = found.filter(some).groupBy(SET_KEY).agg(F.collect_set(F.struct("position", F.struct(*names).alias("found"))).alias("places"))
     by_set = _table(by_set.select(SET_KEY, F.map_from_entries("places").alias("places")), staging)
 
-    joined = lookup_join(rows.withColumn(SET_KEY, answer_set()), by_set, [SET_KEY])
+    joined = lookup_join(rows.withColumn(SET_KEY, answer_set() if key is None else key), by_set, [SET_KEY])
     # Each answer with what was found for it, searched once; every merge sees both as plain values.
     pairs = F.transform("received", lambda answer, place: F.struct(answer.alias("answer"), F.try_element_at("places", place).alias("found")))
     for merge in merges:
@@ -190,23 +214,40 @@ def give_back(rows: DataFrame, found: DataFrame, names: list[str], merges: list,
     return joined.withColumn("received", received).select(*rows.columns)
 
 
-def _table(rows: DataFrame, staging: str | None) -> DataFrame:
+def _table(rows: DataFrame, staging: str | None, compression: str | None = None) -> DataFrame:
     """Rows as a staged table; ``staging`` is None where they are one already."""
-    return rows if staging is None else stage(rows, staging)
+    if staging is None:
+        return rows
+    staged = stage(rows, staging, compression=compression)
+    let_go(staged.sparkSession)
+    return staged
+
+
+def _row_table(rows: DataFrame, staging: str | None) -> DataFrame:
+    """Wide rows are packed tighter: their ids and texts are most of the disk."""
+    return _table(rows, staging, "zstd")
+
+
+def _found_staging(rows: DataFrame, staging: str | None) -> str | None:
+    """Where what was found is staged; its size decides nothing in a session that never broadcasts."""
+    broadcasts = not rows.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+    return (staging or STAGING) if broadcasts else None
 
 
 def join_answer_tags(rows: DataFrame, tags: DataFrame, staging: str | None = STAGING) -> DataFrame:
-    rows = _table(rows, staging)
+    rows = _row_table(rows, staging)
     return give_back(rows, find_tags(answer_keys(answer_sets(rows)), tags), ["tag"], [merge_tags])
 
 
 def join_answer_ip_metadata(rows: DataFrame, lookup: DataFrame, staging: str | None = STAGING) -> DataFrame:
-    rows = _table(rows, staging)
-    return give_back(rows, find_ip_metadata(answer_keys(answer_sets(rows)), lookup), ["metadata"], [merge_answer_metadata])
+    rows = _row_table(rows, staging)
+    by = ("date",)
+    found = find_ip_metadata(answer_keys(answer_sets(rows, by)), lookup)
+    return give_back(rows, found, ["metadata"], [merge_answer_metadata], _found_staging(rows, staging), answer_set(by))
 
 
 def join_page_fetches(rows: DataFrame, fetches: DataFrame, staging: str | None = STAGING) -> DataFrame:
-    rows = _table(rows, staging)
+    rows = _row_table(rows, staging)
     found = find_page_fetches(answer_keys(answer_sets(rows)), fetches)
     return give_back(rows, found, ["http_fetch", "https_fetch"], [merge_page_fetches])
 
@@ -226,7 +267,7 @@ def enrich_answers(
     """
     kept = None if sets is None else staging
     if sets is None:
-        rows = _table(rows, staging)
+        rows = _row_table(rows, staging)
         sets = answer_sets(rows)
     found = find_page_fetches(find_ip_metadata(find_tags(answer_keys(sets), tags), lookup), fetches)
     names = ["tag", "metadata", "http_fetch", "https_fetch"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -117,7 +118,7 @@ def csv_export(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def stage(rows: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+def stage(rows: DataFrame, name: str, folder: str | None = None, compression: str | None = None) -> DataFrame:
     """Write rows to the shared folder and read them back.
 
     Several later steps read different columns of the flattened rows; a written
@@ -127,10 +128,16 @@ def stage(rows: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """
     spark: SparkSession = rows.sparkSession
     path = f"{folder or shared_folder(spark)}/{name}/{uuid.uuid4().hex}"
-    rows.write.parquet(path)
+    rows.write.parquet(path, compression=compression)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Remove the shuffle files of finished steps now; Spark keeps them until the driver's heap is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def clear_staged(spark: SparkSession, name: str, folder: str | None = None) -> bool:
     """Remove what was staged under a name, when no table read from it is used any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder or shared_folder(spark)}/{name}")

@@ -1,9 +1,12 @@
 """Answer enrichment, confidence and exclusion on small rows."""
 
+import functools
+
 from pyspark.sql import functions as F
 
 from scanlake.functions.dns import all_true, any_true
 from scanlake.functions.records import ip_metadata, record, response
+from scanlake.operators import answers
 from scanlake.operators.answers import (
     STAGING,
     answer_keys,
@@ -199,3 +202,39 @@ def test_logical_aggregates_ignore_nulls(spark):
     assert both(False, None, True) == (True, False)
     assert both(None) == (None, None)
     assert both() == (None, None)
+
+
+def asked_sets(monkeypatch):
+    """Number of sets of answers that each enrichment looks up."""
+    counts, give_back = [], answers.give_back
+
+    def seen(rows, found, *args, **more):
+        counts.append(found.select("answer_set").distinct().count())
+        return give_back(rows, found, *args, **more)
+
+    monkeypatch.setattr(answers, "give_back", seen)
+    return counts
+
+
+def dated_rows(spark, dates, domains=("d.com",), sources=("s",)):
+    rows = [
+        dns_row(spark, f"{source}{domain}{date}", [answer("9.0.0.1"), answer("9.0.0.2", as_name="old")], date=date, domain=domain, source=source)
+        for date in dates for domain in domains for source in sources
+    ]
+    return functools.reduce(lambda a, b: a.union(b), [*rows, dns_row(spark, "none", [], date=dates[0])])
+
+
+def test_metadata_is_looked_up_by_date_and_addresses(spark, monkeypatch):
+    counts = asked_sets(monkeypatch)
+    rows = dated_rows(spark, ["2021-04-25", "2021-04-26", None], domains=("d.com", None), sources=("s", "t"))
+    lookup = spark.range(1).select(
+        F.lit("2021-04-25").alias("date"), F.lit("9.0.0.2").alias("ip"), ip_metadata(asn=F.lit(7)).alias("metadata")
+    )
+    joined = answers.join_answer_ip_metadata(rows, lookup)
+    got = sorted((str(r.date), *[(a.ip_metadata.asn, a.ip_metadata.as_name) for a in r.received]) for r in joined.collect())
+    plain, found = ((None, None), (None, "old")), ((None, None), (7, "old"))
+    assert got == sorted([("2021-04-25",)] + [("2021-04-25", *found)] * 4 + [(d, *plain) for d in ("2021-04-26", "None")] * 4)
+    assert counts == [3]  # one a date
+    # What was found is a table before rows are shuffled to meet it, and its key is short.
+    assert "collect_set" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert answer_sets(rows).select(F.max(F.length("answer_set"))).first()[0] == 16
