@@ -248,8 +248,9 @@ def join_answer_ip_metadata(rows: DataFrame, lookup: DataFrame, staging: str | N
 
 def join_page_fetches(rows: DataFrame, fetches: DataFrame, staging: str | None = STAGING) -> DataFrame:
     rows = _row_table(rows, staging)
-    found = find_page_fetches(answer_keys(answer_sets(rows)), fetches)
-    return give_back(rows, found, ["http_fetch", "https_fetch"], [merge_page_fetches])
+    by, where = ("domain", "source"), has_fetches()
+    found = find_page_fetches(answer_keys(answer_sets(rows, by, where)), fetches)
+    return give_back(rows, found, ["http_fetch", "https_fetch"], [merge_page_fetches], _found_staging(rows, staging), answer_set(by, where))
 
 
 def answer_ip_keys(rows: DataFrame) -> DataFrame:

@@ -238,3 +238,17 @@ def test_metadata_is_looked_up_by_date_and_addresses(spark, monkeypatch):
     # What was found is a table before rows are shuffled to meet it, and its key is short.
     assert "collect_set" not in joined._jdf.queryExecution().optimizedPlan().toString()
     assert answer_sets(rows).select(F.max(F.length("answer_set"))).first()[0] == 16
+
+
+def test_page_fetches_are_looked_up_once_for_all_dates(spark, monkeypatch):
+    counts = asked_sets(monkeypatch)
+    rows = dated_rows(spark, ["2021-02-27", "2021-02-28", "2021-03-01", "2021-04-02", "2021-05-03", None], domains=("d.com", "e.com"))
+    fetches = spark.range(1).select(
+        F.lit("d.com").alias("domain"), F.lit("s").alias("source"), F.lit("9.0.0.2").alias("ip"), F.lit("t").alias("start_time"),
+        F.lit("t").alias("end_time"), F.lit(True).alias("https"), F.lit("late").alias("error"), response(status=F.lit("200")).alias("received"),
+    )
+    got = {r.measurement_id: [(a.https_error, a.http_error) for a in r.received] for r in join_page_fetches(rows, fetches).collect()}
+    fetched = {m for m, found in got.items() if ("late", None) in found}
+    assert len(got) == 13 and fetched == {f"sd.com{d}" for d in ("2021-03-01", "2021-04-02", "2021-05-03")}
+    assert all(found == [(None, None), ("late", None)] for m, found in got.items() if m in fetched)
+    assert counts == [2]  # one a domain
