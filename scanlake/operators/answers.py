@@ -236,7 +236,9 @@ def _found_staging(rows: DataFrame, staging: str | None) -> str | None:
 
 def join_answer_tags(rows: DataFrame, tags: DataFrame, staging: str | None = STAGING) -> DataFrame:
     rows = _row_table(rows, staging)
-    return give_back(rows, find_tags(answer_keys(answer_sets(rows)), tags), ["tag"], [merge_tags])
+    by, where = ("source",), has_tags()
+    found = find_tags(answer_keys(answer_sets(rows, by, where)), tags)
+    return give_back(rows, found, ["tag"], [merge_tags], _found_staging(rows, staging), answer_set(by, where))
 
 
 def join_answer_ip_metadata(rows: DataFrame, lookup: DataFrame, staging: str | None = STAGING) -> DataFrame:

@@ -252,3 +252,14 @@ def test_page_fetches_are_looked_up_once_for_all_dates(spark, monkeypatch):
     assert len(got) == 13 and fetched == {f"sd.com{d}" for d in ("2021-03-01", "2021-04-02", "2021-05-03")}
     assert all(found == [(None, None), ("late", None)] for m, found in got.items() if m in fetched)
     assert counts == [2]  # one a domain
+
+
+def test_answer_tags_are_looked_up_once_for_all_dates_and_domains(spark, monkeypatch):
+    counts = asked_sets(monkeypatch)
+    rows = dated_rows(spark, ["2021-06-23", "2021-06-22", "2021-06-24", "2021-07-01", None], domains=("d.com", "e.com"))
+    tags = spark.createDataFrame([("s", "9.0.0.2", "h", None, "N", 5)], "source STRING, ip STRING, http STRING, cert STRING, as_name STRING, asn BIGINT")
+    joined = {r.measurement_id: [(a.http, a.ip_metadata.as_name, a.ip_metadata.asn) for a in r.received] for r in join_answer_tags(rows, tags).collect()}
+    tagged = {m for m, found in joined.items() if found and found[1][0] == "h"}
+    assert len(joined) == 11 and tagged == {f"s{n}{d}" for n in ("d.com", "e.com") for d in ("2021-06-22", "2021-06-23")}
+    assert all(found == [(None, None, None), ("h", "N", 5)] for m, found in joined.items() if m in tagged)
+    assert counts == [1]
