@@ -333,3 +333,13 @@ def test_ranked_lists_are_numbered(spark, tmp_path):
     paths = [put(tmp_path, "global.csv", "http://a.com,X,One\n", "http://b.com,X,Two\n"), put(tmp_path, "ad.csv", "http://a.com,X,Three\n")]
     rows = [(r["rank"], r.line, r.category) for r in read_ranked_lists(spark, paths).collect()]
     assert rows == [(0, 0, "One"), (0, 1, "Two"), (1, 0, "Three")]
+
+
+def test_address_lookup_is_a_table_before_probe_rows_meet_it(spark, make_lines, data):
+    line = json.dumps(probe_line("5.1.1.1", page="a blocked <b> page"))
+    table = build_probe_table(make_lines(("https/Quack-https-2022-06-02-01/results.json", line)), data, staging="narrow")
+    (row,) = table.collect()
+    assert (row.server_asn, row.received_tls_cert_issuer, row.received_tls_cert_matches_domain, row.domain_category) == (77, "CA", False, "News Media")
+    assert (row.outcome, row.received_headers) == ("content/blockpage:fp_b", ["Server: x"])
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Window" not in plan  # nothing of the lookup is left to work out
