@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from checks.authored import certificate_text
@@ -414,16 +414,16 @@ def certificates(spark, sf):
 CERTIFIED = "SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 9 = 8 THEN 1 ELSE c_custkey END AS cert_of FROM {customer}"
 
 
-def _certificate_texts(frames):
+def _certificate_texts(batches):
     """The certificates of customers: some cut off, no base64, or of a version that is none."""
-    for frame in frames:
-        texts = []
+    for batch in batches:
+        frame, texts = batch.to_pandas(), []
         for key, name, nation, of in frame[["c_custkey", "c_name", "c_nationkey", "cert_of"]].itertuples(index=False):
             name, nation = (name, nation) if of == key else ("Customer#000000001", 0)
             names = [f"n{nation}.example.org", "*.a.com"] if of % 2 else []
             text = certificate_text(name, f"CA{nation}", f"2101{1 + nation:02}000000Z", "20510630235959Z", names, version=2 if of % 7 == 2 else 3)
             texts.append({0: text[: len(text) // 2 // 4 * 4], 1: "?" + text}.get(of % 7, text) if of != 1 else text)
-        yield pd.DataFrame({"c_custkey": frame["c_custkey"], "tls_cert": texts})
+        yield pa.RecordBatch.from_arrays([batch.column("c_custkey").cast(pa.int64()), pa.array(texts, pa.string())], names=["c_custkey", "tls_cert"])
 
 
 @query(
@@ -441,7 +441,7 @@ def _certificate_texts(frames):
     + " FROM g",
 )
 def decoded_certificates(spark, sf):
-    texts = relation(spark, sf, CERTIFIED).mapInPandas(_certificate_texts, "c_custkey BIGINT, tls_cert STRING")
+    texts = relation(spark, sf, CERTIFIED).mapInArrow(_certificate_texts, "c_custkey BIGINT, tls_cert STRING")
     keyed = texts.withColumn("cert_sha", cert_key(F.col("tls_cert")))
     joined = lookup_join(keyed, decode_certificates(texts), ["cert_sha"])
     return joined.select("c_custkey", *shown("common_name", "issuer", "not_before", "not_after", sans=F.array_join("sans", "|")))
